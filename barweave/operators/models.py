@@ -25,32 +25,32 @@ from barweave.schema import FEATURES
 SEED = 42
 
 
-def _columns(name: str) -> dict[str, str]:
+def _named(classifier: Estimator, name: str) -> Estimator:
     """Own output columns per model, so that several models fit into one pass over the rows."""
-    return {
-        "featuresCol": "features",
-        "labelCol": "target",
-        "predictionCol": f"{name}_pred",
-        "rawPredictionCol": f"{name}_raw",
-        "probabilityCol": f"{name}_probability",
-    }
+    return (
+        classifier.setFeaturesCol("features")
+        .setLabelCol("target")
+        .setPredictionCol(f"{name}_pred")
+        .setRawPredictionCol(f"{name}_raw")
+        .setProbabilityCol(f"{name}_probability")
+    )
 
 
 def logistic(name: str = "lr", *, max_iter: int = 100, l2_rows: int | None = None) -> Estimator:
     """Logistic regression. ``l2_rows`` gives the unit L2 penalty common elsewhere: 1/n on
     unstandardised features, n being the number of training rows."""
     penalty = {"regParam": 1.0 / l2_rows, "standardization": False} if l2_rows else {}
-    return LogisticRegression(maxIter=max_iter, **penalty, **_columns(name))
+    return _named(LogisticRegression(maxIter=max_iter, **penalty), name)
 
 
 def random_forest(
     name: str = "rf", *, trees: int = 100, depth: int = 5, seed: int = SEED
 ) -> Estimator:
-    return RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **_columns(name))
+    return _named(RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed), name)
 
 
 def boosted_trees(name: str = "gbt", *, rounds: int = 20, seed: int = SEED) -> Estimator:
-    return GBTClassifier(maxIter=rounds, seed=seed, **_columns(name))
+    return _named(GBTClassifier(maxIter=rounds, seed=seed), name)
 
 
 def sampled_boosted_trees(
@@ -64,15 +64,15 @@ def sampled_boosted_trees(
     seed: int = SEED,
 ) -> Estimator:
     """Boosting with shrinkage, sampling rows per round and features per node."""
-    return GBTClassifier(
+    boosted = GBTClassifier(
         maxIter=rounds,
         maxDepth=depth,
         stepSize=step,
         subsamplingRate=rows,
         featureSubsetStrategy=str(features),
         seed=seed,
-        **_columns(name),
     )
+    return _named(boosted, name)
 
 
 def sequence_net(
@@ -85,12 +85,10 @@ def sequence_net(
     seed: int = SEED,
 ) -> Estimator:
     """A feed-forward net over the flattened window, in place of a recurrent one."""
-    return MultilayerPerceptronClassifier(
-        layers=[n_features * length, units, 2],
-        maxIter=epochs,
-        seed=seed,
-        **_columns(name),
+    net = MultilayerPerceptronClassifier(
+        layers=[n_features * length, units, 2], maxIter=epochs, seed=seed
     )
+    return _named(net, name)
 
 
 def assembler(columns: Sequence[str] = FEATURES, output: str = "features") -> VectorAssembler:

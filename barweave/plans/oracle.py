@@ -56,6 +56,8 @@ predictions AS (
   UNION ALL SELECT symbol, date, target, 'rf', rf_pred FROM wide
   UNION ALL SELECT symbol, date, target, 'gbt', gbt_pred FROM wide)"""
 
+_TEST = ", test AS (SELECT * FROM placed WHERE place > floor(n * CAST(0.9 AS DOUBLE))) "
+
 _BROKEN = "(CAST(symbol AS BIGINT) + dayofyear(date)) % 17 = 0"
 
 _TITLE = """CASE model WHEN 'lr' THEN 'Logistic Regression' WHEN 'rf' THEN 'Random Forest'
@@ -121,8 +123,8 @@ joined AS (
 SELECT symbol, date, target, sequence FROM joined WHERE place > {length}"""
 
 
-def _scaled(fit: str = "") -> str:
-    w = "(PARTITION BY symbol)"
+def _scaled(fit: str = "", over: str = "(PARTITION BY symbol)") -> str:
+    w = over
 
     def one(c: str) -> str:
         value = f"CASE WHEN {fit} THEN {c} END" if fit else c
@@ -277,4 +279,40 @@ FROM feat GROUP BY 1""",
 FROM feat""",
     "dead_letter": f"""WITH {_FEAT} SELECT symbol, date AS day,
   CASE WHEN {_BROKEN} THEN 'dead letter' ELSE 'scored' END AS route FROM feat""",
+    "stream_ingest": f"WITH {_FEAT} SELECT * FROM feat",
+    "stream_parse": f"""WITH {_FEAT} SELECT
+  CASE WHEN NOT {_BROKEN} THEN CAST(date AS VARCHAR) END AS date,
+  {', '.join(f'CASE WHEN NOT {_BROKEN} THEN {c} END AS {c}' for c in [*_FEATURES, 'target'])}
+FROM feat""",
+    "stream_restart": f"WITH {_FEAT} SELECT * FROM feat",
+    "paced_replay": f"WITH {_FEAT} SELECT * FROM feat",
+    "stream_score": f"""WITH {_WIDE} SELECT CAST(date AS VARCHAR) AS date, lr_pred, rf_pred,
+  gbt_pred, target, TRUE AS timed FROM wide WHERE NOT {_BROKEN}""",
+    "stream_dead_letters": f"""WITH {_FEAT} SELECT count(*) AS n_dead, CAST(0 AS BIGINT) AS n_readable
+FROM feat WHERE {_BROKEN}""",
+    "stream_metrics": f"""WITH {_LONG} SELECT model, count(*) AS n_rows,
+  CAST(sum(CAST(actual = predicted AS INTEGER)) AS BIGINT) AS n_correct,
+  round(avg(CAST(actual = predicted AS INTEGER)), 6) AS accuracy
+FROM predictions WHERE NOT {_BROKEN} GROUP BY model""",
+    "stream_sequences": f"""WITH {_PLACED},
+steps AS (SELECT symbol, date, place, {_vector_text()} AS step FROM placed)
+SELECT symbol, date, CASE WHEN place >= 5 THEN string_agg(step, ';') OVER (
+  PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) END AS sequence
+FROM steps""",
+    "stream_score_map": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
+    "model_roundtrip": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
+    "multi_model_chain": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
+    "batch_predict": f"""WITH {_PLACED}{_TEST}
+SELECT symbol, date, target, TRUE AS consistent FROM test""",
+    "udf_score": f"""WITH {_PLACED}{_TEST}SELECT symbol, date,
+  CASE WHEN day(date) % 5 <> 0 THEN TRUE END AS scored FROM test""",
+    "route_by_model": f"""WITH {_FEAT},
+requests AS (
+  SELECT *, CASE dayofyear(date) % 6 WHEN 0 THEN 'log' WHEN 1 THEN 'rf' WHEN 2 THEN 'xgb'
+    WHEN 3 THEN 'lstm' WHEN 4 THEN 'other' END AS model FROM feat)
+SELECT symbol, date, model, CASE coalesce(model, 'log') WHEN 'log' THEN CAST(close > sma5 AS INTEGER)
+  WHEN 'rf' THEN CAST(ret1 > 0 AS INTEGER) WHEN 'xgb' THEN CAST(ret5 > 0 AS INTEGER)
+  WHEN 'lstm' THEN CAST(close > sma10 AS INTEGER) ELSE -1 END AS prediction FROM requests""",
+    "minmax_stage": f"""WITH {_RAW_FEAT} SELECT symbol, date, {_scaled(over='()')},
+  CAST(0.5 AS DOUBLE) AS flat FROM feat""",
 }

@@ -110,11 +110,15 @@ def weighted_metrics(predictions: DataFrame, keys: Sequence[str] = _KEYS) -> Dat
 def classification_report(predictions: DataFrame, keys: Sequence[str] = _KEYS) -> DataFrame:
     """One row per class and three summary rows: accuracy, macro avg and weighted avg.
 
-    As in the printed report, the accuracy row shows its value in the F1 column only.
+    As in the printed report, the accuracy row shows its value in the F1 column only. The list
+    per key holds one entry per class.
     """
-    classes = class_metrics(predictions, keys)
     nothing = F.lit(None).cast("double")
-    summary = classes.groupBy(*keys).agg(
+    one_class = F.struct(
+        F.col("label").cast("string").alias("label"), "precision", "recall", "f1", "support"
+    )
+    summary = class_metrics(predictions, keys).groupBy(*keys).agg(
+        F.collect_list(one_class).alias("_classes"),
         F.sum("support").alias("_support"),
         _ratio(F.sum("hits"), F.sum("support")).alias("_accuracy"),
         *[F.avg(c).alias(f"_macro_{c}") for c in ("precision", "recall", "f1")],
@@ -138,11 +142,7 @@ def classification_report(predictions: DataFrame, keys: Sequence[str] = _KEYS) -
         line("macro avg", *averages("macro")),
         line("weighted avg", *averages("weighted")),
     )
-    return (
-        classes.drop("hits")
-        .withColumn("label", F.col("label").cast("string"))
-        .unionByName(summary.select(*keys, F.inline(lines)))
-    )
+    return summary.select(*keys, F.inline(F.concat("_classes", lines)))
 
 
 def comparison_table(

@@ -18,8 +18,8 @@ from barweave.sources import bars as B
 
 
 def marked_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """Features with the chronological mark."""
-    return split.chronological(feature_rows(spark, sf)).rows()
+    """Features with the chronological mark, as a table: training and scoring both read it."""
+    return storage.hand_over(split.chronological(feature_rows(spark, sf)).rows(), "marked")
 
 
 def fitted_and_scored(
@@ -66,7 +66,9 @@ def train_sequence(spark, sf):
     """Windows of five scaled feature rows, scaling and net fitted on the training part."""
     marked = split.chronological(feature_rows(spark, sf), skip=5)
     scaled = features.scale(marked, FEATURES, F.coalesce("is_train", F.lit(True)))
-    rows = sequences.complete_sequences(sequences.add_sequences(scaled, 5).rows())
+    windows = sequences.complete_sequences(sequences.add_sequences(scaled, 5).rows())
+    columns = ("symbol", "date", "target", "sequence", "is_train")
+    rows = storage.hand_over(windows.select(*columns), "windows")
     vectors = models.sequence_vectors(rows).select("symbol", "date", "target", "features", "is_train")
     training = split.train_rows(vectors).withColumn("target", F.col("target").cast("double"))
     net = {"lstm": models.sequence_net()}

@@ -1,7 +1,7 @@
 """SQL with the same answers as the registered queries, for a check by another engine."""
 
 _SUPPLIER = """supplier_bars AS (
-  SELECT CAST(l_suppkey AS VARCHAR) AS symbol, CAST(l_shipdate AS DATE) AS date,
+  SELECT l_suppkey AS symbol, CAST(l_shipdate AS DATE) AS date,
          arg_min(l_extendedprice, ROW(l_orderkey, l_linenumber, l_extendedprice)) AS open,
          max(l_extendedprice) AS high, min(l_extendedprice) AS low,
          arg_max(l_extendedprice, ROW(l_orderkey, l_linenumber, l_extendedprice)) AS close,
@@ -58,7 +58,7 @@ predictions AS (
 
 _TEST = ", test AS (SELECT * FROM placed WHERE place > floor(n * CAST(0.9 AS DOUBLE))) "
 
-_BROKEN = "(CAST(symbol AS BIGINT) + dayofyear(date)) % 17 = 0"
+_BROKEN = "(symbol + dayofyear(date)) % 17 = 0"
 
 _TITLE = """CASE model WHEN 'lr' THEN 'Logistic Regression' WHEN 'rf' THEN 'Random Forest'
      WHEN 'gbt' THEN 'Gradient Boosted Trees' END AS model"""

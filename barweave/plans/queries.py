@@ -15,7 +15,6 @@ from barweave.operators.ordered import OrderedRows
 from barweave.plans.preprocess import prepare
 from barweave.schema import (
     DERIVED_COLUMNS,
-    FEATURE_BARS,
     FEATURES,
     MODEL_TITLES,
     PRICE_COLUMNS,
@@ -98,7 +97,7 @@ def keyed_messages(spark: SparkSession, sf: str) -> DataFrame:
     whole = messages.as_messages(
         rounded_features(spark, sf).withColumn("day", F.col("date")), keep=("symbol", "day")
     )
-    broken = F.pmod(F.col("symbol").cast("long") + F.dayofyear("day"), F.lit(17)) == 0
+    broken = F.pmod(F.col("symbol") + F.dayofyear("day"), F.lit(17)) == 0
     half = F.expr("substring(value, 1, cast(length(value) / 2 as int))")
     return whole.withColumn("value", F.when(broken, half).otherwise(F.col("value")))
 
@@ -170,10 +169,8 @@ def minmax_scaled(spark, sf):
 @query
 def minmax_stored(spark, sf):
     """Fit, store the parameters as a table, read them back and apply them."""
-    table = feature_table(spark, sf)
-    path = storage.new_path(spark, "scaler")
-    features.scaler_params(table).write.parquet(path)
-    params = spark.read.parquet(path)
+    table = storage.hand_over(feature_table(spark, sf), "features")
+    params = storage.hand_over(features.scaler_params(table), "scaler")
     return rounded(features.scale_with(table, params).drop("target"), *FEATURES)
 
 
@@ -307,15 +304,17 @@ def rule_scores(spark, sf):
 
 @query
 def multi_model_join(spark, sf):
-    return score.join_predictions(rounded_features(spark, sf), rule_models())
+    table = storage.hand_over(rounded_features(spark, sf), "features")
+    return score.join_predictions(table, rule_models())
 
 
 @query
 def multi_model_join_by_date(spark, sf):
     """Joined on the date alone, a repeated date multiplies: one row per combination."""
     bars = features.add_features(B.ordered_daily(B.event_bars(spark, sf))).rows()
-    one = rounded(bars.where(F.col("symbol").isin("click", "view")), *DERIVED_COLUMNS)
-    return score.join_predictions(one, rule_models(), on=("date",))
+    two = rounded(bars.where(F.col("symbol").isin("click", "view")), *DERIVED_COLUMNS)
+    table = storage.hand_over(two, "features")
+    return score.join_predictions(table, rule_models(), on=("date",))
 
 
 @query
@@ -416,14 +415,15 @@ def prediction_json(spark, sf):
 @query
 def csv_roundtrip(spark, sf):
     path = storage.new_path(spark, "features") + ".csv"
-    files.write_csv(rounded_features(spark, sf), path)
-    return files.read_bars(spark, path, FEATURE_BARS)
+    table = rounded_features(spark, sf)
+    files.write_csv(table, path)
+    return files.read_bars(spark, path, table.schema)
 
 
 @query
 def read_dispatch(spark, sf):
     """The same bars through each file format, chosen by suffix."""
-    bars = B.supplier_bars(spark, sf)
+    bars = storage.hand_over(B.supplier_bars(spark, sf), "bars")
     paths = {s: storage.new_path(spark, "bars") + f".{s}" for s in ("csv", "json", "parquet")}
     files.write_csv(bars, paths["csv"])
     bars.write.json(paths["json"])

@@ -28,7 +28,7 @@ from barweave.streaming.state import stream_sequences as sequences_of
 
 DRAIN = sinks.trigger(drain=True)
 
-SYMBOL_SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), *message_schema().fields])
+SYMBOL_SCHEMA = T.StructType([T.StructField("symbol", T.LongType()), *message_schema().fields])
 
 
 def run(
@@ -68,7 +68,7 @@ def stream_parse(spark, sf):
 @query
 def stream_restart(spark, sf):
     """Two runs over a growing topic with one checkpoint: every message exactly once."""
-    rows = rounded_features(spark, sf)
+    rows = storage.hand_over(rounded_features(spark, sf), "features")
     early = F.year("date") < 1998
     topic = publish(messages.as_messages(rows.where(early)), "topic")
     sink, progress = storage.new_path(spark, "sink"), storage.new_path(spark, "progress")
@@ -133,7 +133,7 @@ def stream_metrics(spark, sf):
 @query
 def stream_sequences(spark, sf):
     """The last five feature rows per symbol, remembered over a restart between two halves."""
-    rows = rounded_features(spark, sf)
+    rows = storage.hand_over(rounded_features(spark, sf), "features")
     early = F.year("date") < 1998
     topic = publish(messages.as_messages(rows.where(early)), "topic")
     sink, progress = storage.new_path(spark, "sink"), storage.new_path(spark, "progress")
@@ -159,7 +159,7 @@ def stream_sequences(spark, sf):
 @query
 def stream_score_map(spark, sf):
     """A fitted pipeline applied to the stream agrees with the same pipeline on the table."""
-    rows = split.chronological(feature_rows(spark, sf)).rows()
+    rows = storage.hand_over(split.chronological(feature_rows(spark, sf)).rows(), "marked")
     fitted = models.fit_all(
         models.training_rows(split.train_rows(rows)), {"rf": models.random_forest(trees=20)}
     )

@@ -58,7 +58,7 @@ def supplier_bars(spark: SparkSession, folder: str) -> DataFrame:
     cents = F.least(F.floor(F.col("l_extendedprice") * 100 + 0.5), F.lit(10**9 - 1))
     line = F.col("l_linenumber").cast("long") * F.lit(10**9) + cents
     trades = table(spark, folder, "lineitem").select(
-        F.col("l_suppkey").cast("string").alias("symbol"),
+        F.col("l_suppkey").alias("symbol"),
         F.to_date("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").alias("amount"),

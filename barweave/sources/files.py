@@ -1,6 +1,7 @@
 """Bar files: readers chosen by suffix, CSV sink, several symbols side by side."""
 
 from collections.abc import Iterator, Mapping
+from pathlib import PurePosixPath
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,6 @@ from pyspark.sql import types as T
 from barweave.schema import RAW_BARS
 
 
-def _suffix(path: str) -> str:
-    return path.rstrip("/").rsplit("/", 1)[-1].rpartition(".")[2].lower()
-
-
 def read_bars(
     spark: SparkSession, path: str, schema: T.StructType | None = RAW_BARS
 ) -> DataFrame:
@@ -21,7 +18,7 @@ def read_bars(
 
     ``schema=None`` lets Spark infer the types, which costs a pass over the data.
     """
-    suffix = _suffix(path)
+    suffix = PurePosixPath(path).suffix.lower().removeprefix(".")
     if suffix == "xlsx":
         return read_workbooks(spark, path, schema or RAW_BARS)
     if suffix not in ("csv", "parquet", "json"):

@@ -15,15 +15,12 @@ _CONF = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and handed-over tables, registered with the Spark context."""
     sc = spark.sparkContext
-    folder = spark.conf.get(_CONF, None) or sc.getConf().get(_CONF, None)
-    if folder is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(f"set {_CONF} to a folder every executor can reach")
-        folder = tempfile.mkdtemp(prefix="barweave-")
-        spark.conf.set(_CONF, folder)
+    named = spark.conf.get(_CONF, None)
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return folder
+        if named is None and not sc.master.startswith("local"):
+            raise RuntimeError(f"set {_CONF} to a folder every executor can reach")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="barweave-"))
+    return named or sc.getCheckpointDir()
 
 
 def new_path(spark: SparkSession, label: str) -> str:
@@ -31,6 +28,17 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def hand_over(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write a table and read it back: for rows that several jobs need.
+
+    Each reader then prunes columns and row groups, and the files split evenly however the keys
+    are distributed.
+    """
+    path = new_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint: later stages read these exact rows."""
     shared_dir(df.sparkSession)

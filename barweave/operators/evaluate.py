@@ -156,10 +156,10 @@ def comparison_table(
     )
 
 
-def result_rows(predictions: DataFrame) -> DataFrame:
+def result_rows(predictions: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
     """Date as text, actual, predicted and whether they match."""
     return predictions.select(
-        "symbol",
+        *keys,
         C.result_date(F.col("date")).alias("date"),
         "actual",
         "predicted",

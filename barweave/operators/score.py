@@ -105,7 +105,8 @@ def route(
     """Score each row with the model its ``model`` column names.
 
     A missing name means ``default``; an unknown name gives the failure mark. Each branch filters
-    before it scores, so a row meets one model only.
+    before it scores, so a row meets one model only; ``requests`` should be a table, because every
+    branch reads it.
     """
     name = F.coalesce(F.col("model"), F.lit(default))
     unknown = requests.where(~F.coalesce(name.isin(*models), F.lit(False)))

@@ -178,7 +178,8 @@ def route_by_model(spark, sf):
     """Each request goes to the model it names: none means the default, unknown ones fail."""
     names = F.array(*[F.lit(n) for n in ("log", "rf", "xgb", "lstm", "other")], F.lit(None))
     turn = F.pmod(F.dayofyear("date"), F.lit(6)) + 1
-    requests = rounded_features(spark, sf).withColumn("model", F.element_at(names, turn))
+    table = rounded_features(spark, sf).withColumn("model", F.element_at(names, turn))
+    requests = storage.hand_over(table, "requests")
     rules = {
         "log": F.col("close") > F.col("sma5"),
         "rf": F.col("ret1") > 0,

@@ -16,19 +16,32 @@ def read_bars(
 ) -> DataFrame:
     """Read a bar file or folder; its suffix names the format.
 
-    ``schema=None`` lets Spark infer the types, which costs a pass over the data.
+    ``schema=None`` keeps all columns and lets Spark infer the types, which costs a pass over the
+    data. CSV columns are matched by the names in the header, in any order and case; text that
+    does not fit its type becomes NULL.
     """
     suffix = PurePosixPath(path).suffix.lower().removeprefix(".")
     if suffix == "xlsx":
         return read_workbooks(spark, path, schema or RAW_BARS)
     if suffix not in ("csv", "parquet", "json"):
         raise ValueError("Unsupported file format")
-    reader = spark.read if schema is None else spark.read.schema(schema)
     if suffix == "csv":
-        return reader.csv(path, header=True, inferSchema=schema is None)
+        table = spark.read.csv(path, header=True, inferSchema=schema is None)
+        return table if schema is None else _typed(table, schema)
+    reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.format(suffix).load(path)
 
 
+def _typed(table: DataFrame, schema: T.StructType) -> DataFrame:
+    known = {c.lower(): F.col(f"`{c}`") for c in table.columns}
+    return table.select(
+        *[
+            known.get(f.name.lower(), F.lit(None)).try_cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
 def _parse_workbook(content: bytes) -> pd.DataFrame:
     import io
 

@@ -17,6 +17,18 @@ def trigger(every: str | None = None, *, drain: bool = False) -> dict:
     return {"processingTime": every or "0 seconds"}
 
 
+def paced(rows_per_second: float, seconds: int = 1) -> tuple[int, dict]:
+    """(rows per trigger, trigger) that replay at most this many rows per second; rates below one
+    count as one."""
+    return int(max(rows_per_second, 1) * seconds), trigger(f"{seconds} seconds")
+
+
+def show_batch(batch: DataFrame, batch_id: int) -> None:
+    """Print the first twenty rows of a batch in full, a writer for ``each_batch``."""
+    print(f"batch {batch_id}")
+    batch.show(20, truncate=False)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one micro-batch under its id. A batch replayed after a failure replaces itself."""
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")

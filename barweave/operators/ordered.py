@@ -20,7 +20,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from barweave.storage import freeze
+from barweave.storage import freeze, hand_over
 
 # Rows of one key that a single task sorts and windows without trouble. Above MAX_DAILY_ROWS, so
 # unique daily bars never need the measurement.
@@ -213,13 +213,14 @@ def _number(
     """Exact positions for heavy keys without gathering a key in one task.
 
     The range exchange balances on (key, order) values; the row index inside each sorted partition
-    comes from the generated id, frozen by the checkpoint so that a lost executor cannot change
-    it. One summary row per (key, partition) then turns local indexes into positions.
+    comes from the generated id. The table written here freezes it, so that a lost executor cannot
+    change it, and lets the next step read the key columns alone. One summary row per (key, partition) then turns local indexes into positions.
     """
-    ids = freeze(
+    ids = hand_over(
         heavy.repartitionByRange(parts, *key, *by)
         .sortWithinPartitions(*key, *by)
-        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_id", F.monotonically_increasing_id()),
+        "heavy",
     ).withColumn("_part", F.shiftright("_id", _ROW_BITS))
     runs = ids.groupBy(*key, "_part").agg(
         F.count("*").alias("_len"), F.min("_id").alias("_first_id")

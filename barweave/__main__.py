@@ -26,6 +26,7 @@ def arguments() -> argparse.Namespace:
     p.add_argument("--reports", required=True)
     p.add_argument("--names", default="lr,rf,gbt")
     p.add_argument("--symbols")
+    p.add_argument("--set", action="append", default=[], metavar="MODEL.OPTION=NUMBER")
 
     p = steps.add_parser("evaluate", help="compare stored models on test rows")
     p.add_argument("--table", required=True)
@@ -47,12 +48,24 @@ def arguments() -> argparse.Namespace:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--starting", choices=["latest", "earliest"], default="latest")
     p.add_argument("--every", help="trigger interval, such as '1 second'")
+    p.add_argument("--flags", action="store_true", help="add whether each model was right")
     p.add_argument("--drain", action="store_true", help="read what is there and stop")
     p.add_argument("--limit", type=int, help="messages (topic) or files (folder) per trigger")
     _target(p)
     return parser.parse_args()
 
 
+def settings(items: list[str]) -> dict[str, dict[str, float]]:
+    """['rf.trees=300'] to {'rf': {'trees': 300}}."""
+    found: dict[str, dict[str, float]] = {}
+    for item in items:
+        place, value = item.split("=", 1)
+        model, option = place.split(".", 1)
+        number = float(value)
+        found.setdefault(model, {})[option] = int(number) if number.is_integer() else number
+    return found
+
+
 def _target(p: argparse.ArgumentParser) -> None:
     p.add_argument("--folder")
     p.add_argument("--servers")
@@ -70,7 +83,9 @@ def main() -> None:
         )
     elif a.step == "train":
         symbols = a.symbols.split(",") if a.symbols else None
-        predictions = programs.train(spark, a.table, a.models, names, symbols)
+        predictions = programs.train(
+            spark, a.table, a.models, names, symbols, settings(a.set)
+        )
         programs.report(predictions, a.reports).show(truncate=False)
     elif a.step == "evaluate":
         programs.evaluate_stored(spark, a.table, a.models, a.symbol, names).show(truncate=False)
@@ -89,7 +104,7 @@ def main() -> None:
             stream = messages.topic_stream(spark, options)
         when = sinks.trigger(a.every, drain=a.drain)
         query = programs.score_stream(
-            stream, a.models, a.symbol, names, a.out, a.checkpoint, **when
+            stream, a.models, a.symbol, names, a.out, a.checkpoint, flags=a.flags, **when
         )
         sinks.drained(query)
 

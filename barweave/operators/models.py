@@ -177,6 +177,19 @@ def predict(df: DataFrame, models: Mapping[str, PipelineModel]) -> DataFrame:
     return scored.select(*df.columns, *[F.col(f"{name}_pred") for name in models])
 
 
+def predict_sequences(df: DataFrame, name: str, model: PipelineModel, width: int) -> DataFrame:
+    """``<name>_pred`` from ``sequence``, NULL where there is none yet.
+
+    ``width`` is the number of values in a sequence. Rows without one are scored on zeros and the
+    result is discarded, which keeps one pass and works on streams.
+    """
+    zeros = F.array_repeat(F.lit(0.0), width)
+    values = F.coalesce(flat(F.col("sequence")), zeros)
+    scored = model.transform(df.withColumn("features", array_to_vector(values)))
+    known = F.when(F.col("sequence").isNotNull(), F.col(f"{name}_pred"))
+    return scored.select(*df.columns, known.alias(f"{name}_pred"))
+
+
 def predict_probability(df: DataFrame, name: str, model: PipelineModel) -> DataFrame:
     """``<name>_pred`` and the probability of class 1."""
     scored = model.transform(df)

@@ -287,7 +287,13 @@ FROM feat""",
     "stream_restart": f"WITH {_FEAT} SELECT * FROM feat",
     "paced_replay": f"WITH {_FEAT} SELECT * FROM feat",
     "stream_score": f"""WITH {_WIDE} SELECT CAST(date AS VARCHAR) AS date, lr_pred, rf_pred,
-  gbt_pred, target, TRUE AS timed FROM wide WHERE NOT {_BROKEN}""",
+  gbt_pred, target, TRUE AS timed, lr_pred = target AS lr_correct, rf_pred = target AS rf_correct,
+  gbt_pred = target AS gbt_correct FROM wide WHERE NOT {_BROKEN}""",
+    "stream_prediction_json": f"""WITH {_WIDE} SELECT CAST(date AS VARCHAR) AS date,
+  lr_pred AS lr_prediction, rf_pred AS rf_prediction, gbt_pred AS xgb_prediction,
+  CAST(NULL AS INTEGER) AS lstm_prediction FROM wide WHERE NOT {_BROKEN}""",
+    "stream_sequence_score": f"""WITH {_PLACED}
+SELECT symbol, date, place >= 5 AS answered, TRUE AS same FROM placed""",
     "stream_dead_letters": f"""WITH {_FEAT} SELECT count(*) AS n_dead, CAST(0 AS BIGINT) AS n_readable
 FROM feat WHERE {_BROKEN}""",
     "stream_metrics": f"""WITH {_LONG} SELECT model, count(*) AS n_rows,

@@ -26,6 +26,7 @@ RECIPES: dict[str, Callable[[], Estimator]] = {
     "xgb": models.sampled_boosted_trees,
 }
 SEQUENCE_LENGTH = 5
+Settings = Mapping[str, Mapping[str, float]]
 MAX_SYMBOLS = 1000
 
 
@@ -76,11 +77,16 @@ def sequence_table(table: DataFrame, length: int = SEQUENCE_LENGTH) -> DataFrame
 
 
 def _one_symbol(
-    rows: DataFrame, windows: DataFrame | None, names: Sequence[str], root: str, symbol: str
+    rows: DataFrame,
+    windows: DataFrame | None,
+    names: Sequence[str],
+    settings: Settings,
+    root: str,
+    symbol: str,
 ) -> DataFrame:
     """Fit and store the models of one symbol; long predictions of its test rows."""
     parts = []
-    plain = {n: RECIPES[n]() for n in names if n != "lstm"}
+    plain = {n: RECIPES[n](**settings.get(n, {})) for n in names if n != "lstm"}
     if plain:
         fitted = models.fit_all(models.training_rows(split.train_rows(rows)), plain)
         scored = models.predict(split.test_rows(rows), fitted)
@@ -89,7 +95,8 @@ def _one_symbol(
             models.save(model, root, symbol, name)
     if windows is not None:
         training = split.train_rows(windows).withColumn("target", F.col("target").cast("double"))
-        fitted = models.fit_all(training, {"lstm": models.sequence_net()}, stages=list)
+        net = models.sequence_net(**settings.get("lstm", {}))
+        fitted = models.fit_all(training, {"lstm": net}, stages=list)
         scored = models.predict(split.test_rows(windows), fitted)
         parts.append(score.long_predictions(scored, ["lstm"]))
         models.save(fitted["lstm"], root, symbol, "lstm")
@@ -102,22 +109,27 @@ def train(
     root: str,
     names: Sequence[str],
     symbols: Sequence[str] | None = None,
+    settings: Settings | None = None,
 ) -> DataFrame:
     """Train the named models for every symbol, store them under ``root/<symbol>/<model>`` and
-    return long predictions of the test rows, themselves stored."""
+    return long predictions of the test rows, themselves stored.
+
+    ``settings`` overrides options of a model's recipe, such as ``{"rf": {"trees": 300}}``.
+    """
+    settings = settings or {}
     unknown = set(names) - set(RECIPES) - {"lstm"}
     if unknown:
         raise ValueError(f"unknown models: {sorted(unknown)}")
     table = read_table(spark, table_path)
-    windows = storage.hand_over(sequence_table(table), "windows") if "lstm" in names else None
+    length = settings.get("lstm", {}).get("length", SEQUENCE_LENGTH)
+    windows = None
+    if "lstm" in names:
+        windows = storage.hand_over(sequence_table(table, length), "windows")
     parts = []
     for symbol in symbols or symbols_of(table):
         own = F.col("symbol") == symbol
-        parts.append(
-            _one_symbol(
-                table.where(own), None if windows is None else windows.where(own), names, root, symbol
-            )
-        )
+        own_windows = None if windows is None else windows.where(own)
+        parts.append(_one_symbol(table.where(own), own_windows, names, settings, root, symbol))
     return storage.hand_over(reduce(DataFrame.unionByName, parts), "predictions")
 
 
@@ -171,6 +183,8 @@ def score_stream(
     names: Sequence[str],
     out: str,
     checkpoint: str,
+    *,
+    flags: bool = False,
     **when: object,
 ) -> StreamingQuery:
     """Score messages of one symbol with its stored models.
@@ -184,6 +198,7 @@ def score_stream(
         f"{out}/predictions",
         dead_letters=f"{out}/dead_letters",
         metrics=f"{out}/metrics",
+        flags=flags,
         required=("open", "high", "low", "close", "volume"),
     )
     return sinks.each_batch(scoring.bars_from_messages(stream), write, checkpoint, **when)

@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barweave import storage
-from barweave.operators import models, score, sequences, split
+from barweave.operators import features, models, score, sequences, split
 from barweave.plans.queries import (
     feature_rows,
+    feature_table,
     keyed_messages,
     publish,
     query,
     rounded_features,
     rule_models,
 )
-from barweave.schema import message_schema, to_internal
+from barweave.schema import FEATURES, message_schema, to_internal
 from barweave.sources import messages
+from barweave.sources.bars import ordered_daily
 from barweave.streaming import scoring, sinks
 from barweave.streaming.state import stream_sequences as sequences_of
 
@@ -101,6 +103,7 @@ def _scored(spark: SparkSession, sf: str) -> dict[str, str]:
         lambda df: score.chain(df, rule_models()),
         names,
         out["predictions"],
+        flags=True,
         dead_letters=out["dead"],
         metrics=out["metrics"],
     )
@@ -113,8 +116,7 @@ def _scored(spark: SparkSession, sf: str) -> dict[str, str]:
 @query
 def stream_score(spark, sf):
     rows = written(spark, _scored(spark, sf)["predictions"])
-    timed = (F.col("latency_ms") >= 0).alias("timed")
-    return rows.select("date", "lr_pred", "rf_pred", "gbt_pred", "target", timed)
+    return rows.withColumn("timed", F.col("latency_ms") >= 0).drop("latency_ms", "batch_id")
 
 
 @query
@@ -132,7 +134,10 @@ def stream_metrics(spark, sf):
 
 @query
 def stream_sequences(spark, sf):
-    """The last five feature rows per symbol, remembered over a restart between two halves."""
+    """The last five feature rows per symbol, remembered over a restart between two halves.
+
+    Daily bars have one row per symbol and day, which bounds a symbol's share of each half.
+    """
     rows = storage.hand_over(rounded_features(spark, sf), "features")
     early = F.year("date") < 1998
     topic = publish(messages.as_messages(rows.where(early)), "topic")
@@ -156,6 +161,58 @@ def stream_sequences(spark, sf):
     return written(spark, sink).select("symbol", "date", text.alias("sequence"))
 
 
+@query
+def stream_prediction_json(spark, sf):
+    """Bars in, predictions out, both as JSON; read back from the sink."""
+    topic = publish(keyed_messages(spark, sf), "topic")
+    names = {"LR": "lr_pred", "RF": "rf_pred", "XGB": "gbt_pred", "LSTM": "lstm_pred"}
+
+    def predict(df: DataFrame) -> DataFrame:
+        return score.chain(df, rule_models()).withColumn("lstm_pred", F.lit(None).cast("int"))
+
+    stream = scoring.json_predictions(messages.folder_stream(spark, topic), predict, names)
+    path = run(spark, lambda p, c: sinks.to_files(stream, p, c, **DRAIN))
+    fields = [T.StructField("Date", T.StringType())]
+    fields += [T.StructField(f"{n}_Prediction", T.IntegerType()) for n in names]
+    parsed = messages.parse(written(spark, path), T.StructType(fields))
+    return parsed.withColumnsRenamed({c: c.lower() for c in parsed.columns})
+
+
+@query
+def stream_sequence_score(spark, sf):
+    """Serving a sequence model: stored scaling, remembered rows, fitted net. Every row gets what
+    the table gets: nothing before the fifth row of a symbol, then the net's answer."""
+    table = storage.hand_over(feature_table(spark, sf), "features")
+    params = storage.hand_over(features.scaler_params(table), "scaler")
+    scaled = features.scale_with(table, params)
+    windows = storage.hand_over(
+        sequences.add_sequences(ordered_daily(scaled), 5, include_current=True)
+        .rows()
+        .select("symbol", "date", "sequence", F.col("target").cast("double").alias("target")),
+        "windows",
+    )
+    training = models.sequence_vectors(sequences.complete_sequences(windows))
+    net = models.sequence_net(epochs=10)
+    fitted = models.fit_all(training, {"lstm": net}, stages=list)["lstm"]
+    width = 5 * len(FEATURES)
+
+    topic = publish(messages.as_messages(table), "topic")
+    parsed = dated(to_internal(messages.parse(messages.folder_stream(spark, topic), SYMBOL_SCHEMA)))
+    stream = models.predict_sequences(
+        sequences_of(features.scale_with(parsed, params)), "lstm", fitted, width
+    ).drop("sequence")
+    path = run(spark, lambda p, c: sinks.to_files(stream, p, c, **DRAIN))
+    batch = models.predict_sequences(windows, "lstm", fitted, width)
+    batch = batch.select("symbol", "date", F.col("lstm_pred").alias("batch_pred"))
+    both = written(spark, path).join(batch, ["symbol", "date"], "full")
+    return both.select(
+        "symbol",
+        "date",
+        F.col("lstm_pred").isNotNull().alias("answered"),
+        F.col("lstm_pred").eqNullSafe(F.col("batch_pred")).alias("same"),
+    )
+
+
 @query
 def stream_score_map(spark, sf):
     """A fitted pipeline applied to the stream agrees with the same pipeline on the table."""

@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 
 from barweave.functions import columns as C
 from barweave.operators.clean import split_valid
-from barweave.operators.score import long_predictions
+from barweave.operators.score import long_predictions, with_flags
 from barweave.schema import FEATURES, to_internal
-from barweave.sources.messages import parse
+from barweave.sources.messages import parse, prediction_messages
 from barweave.streaming.sinks import BatchWriter, stamped, write_batch
 
 
@@ -24,6 +24,17 @@ def bars_from_messages(messages: DataFrame, schema: T.StructType | None = None)
     return stamped(to_internal(parse(kept, schema)).withColumnRenamed("text", "value"))
 
 
+def json_predictions(
+    stream: DataFrame, predict: Callable[[DataFrame], DataFrame], names: dict[str, str]
+) -> DataFrame:
+    """Message by message from bar to prediction, both as JSON; nothing is kept between rows.
+
+    ``names`` maps the JSON prefix to a prediction column; a model without an answer writes null.
+    """
+    good, _ = split_valid(bars_from_messages(stream).drop("value"))
+    return prediction_messages(predict(good), names).select("value")
+
+
 def scoring_writer(
     predict: Callable[[DataFrame], DataFrame],
     models: Sequence[str],
@@ -31,11 +42,13 @@ def scoring_writer(
     *,
     dead_letters: str | None = None,
     metrics: str | None = None,
+    flags: bool = False,
     keep: Sequence[str] = ("date",),
     required: Sequence[str] = FEATURES,
 ) -> BatchWriter:
     """Score one batch and write predictions, unusable messages and per-model counts.
 
+    ``flags`` adds whether each model was right.
     The parsed batch is stored while it feeds the outputs; every output is keyed by the batch id.
     """
 
@@ -47,6 +60,9 @@ def scoring_writer(
                 "latency_ms", C.latency_ms(F.col("ingest_time"), F.current_timestamp())
             )
             columns = [*keep, *[f"{m}_pred" for m in models], "target", "latency_ms"]
+            if flags:
+                scored = with_flags(scored, models)
+                columns += [f"{m}_correct" for m in models]
             write_batch(scored.select(*columns), path, batch_id)
             if dead_letters:
                 write_batch(bad.select("value", "ingest_time"), dead_letters, batch_id)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barweave import __main__ as command
+from barweave.operators import models
 from barweave.plans import programs
 
 
@@ -48,7 +49,10 @@ def test_train_report_evaluate_and_stream(spark, work, monkeypatch, capsys):
 
     table, stored = f"{work}/table", f"{work}/models"
     common = ["--table", table, "--models", stored]
-    out = run("train", *common, "--names", "lr,lstm", "--reports", f"{work}/reports")
+    options = ["--set", "lr.max_iter=40", "--set", "lstm.length=4", "--set", "lstm.units=6"]
+    out = run("train", *common, "--names", "lr,lstm", "--reports", f"{work}/reports", *options)
+    assert models.load(stored, "AA", "lr").stages[-1].getMaxIter() == 40
+    assert models.load(stored, "BB", "lstm").stages[-1].getLayers() == [36, 6, 2]
     assert "Logistic Regression" in out and "LSTM" in out
     last = spark.read.csv(f"{work}/reports/last_rows", header=True)
     assert last.groupBy("symbol", "model").count().where("count <> 10").isEmpty()
@@ -61,10 +65,11 @@ def test_train_report_evaluate_and_stream(spark, work, monkeypatch, capsys):
     run("publish", "--table", table, "--symbol", "AA", "--folder", f"{work}/topic")
     run(
         "score", "--models", stored, "--symbol", "AA", "--names", "lr", "--folder", f"{work}/topic",
-        "--out", f"{work}/live", "--checkpoint", f"{work}/progress", "--drain",
+        "--out", f"{work}/live", "--checkpoint", f"{work}/progress", "--drain", "--flags",
     )
     rows = spark.read.parquet(f"{work}/live/predictions")
     assert rows.count() == 119
+    assert rows.where("lr_correct <> (lr_pred = target)").isEmpty()
     assert rows.where(~F.col("lr_pred").isin(0.0, 1.0)).isEmpty()
     assert spark.read.parquet(f"{work}/live/metrics").first().n_rows == 119
 

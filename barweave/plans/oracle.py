@@ -17,6 +17,9 @@ _EVENT = """event_bars AS (
 _TICKS = """ticks AS (
   SELECT user_id AS symbol, ts, event_id AS seq, value AS price FROM events)"""
 
+_TYPED = """ticks AS (
+  SELECT event_type AS symbol, ts, event_id AS seq, value AS price FROM events)"""
+
 
 def _derived(price: str, by: str) -> str:
     w = f"PARTITION BY symbol ORDER BY {by}"
@@ -146,6 +149,28 @@ ORACLE: dict[str, str] = {
 SELECT symbol, date, open, high, low, close, CAST(volume AS DOUBLE) AS volume,
 {_derived('close', 'date')} FROM event_bars""",
     "tick_features": f"WITH {_TICKS} SELECT symbol, seq, price, {_derived('price', 'ts, seq')} FROM ticks",
+    "hot_key_features": f"""WITH {_TYPED}
+SELECT symbol, seq, price, {_derived('price', 'ts, seq')} FROM ticks""",
+    "hot_key_fill": f"""WITH {_TYPED}, f AS (SELECT symbol, seq, ts,
+  last_value(CASE WHEN seq % 7 >= 3 THEN price END IGNORE NULLS) OVER (
+    PARTITION BY symbol ORDER BY ts, seq
+    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS price FROM ticks)
+SELECT symbol, seq, coalesce(price, first_value(price IGNORE NULLS) OVER (
+    PARTITION BY symbol ORDER BY ts, seq
+    ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS price FROM f""",
+    "hot_key_split": f"""WITH {_TYPED} SELECT symbol, seq,
+  row_number() OVER (PARTITION BY symbol ORDER BY ts, seq)
+    <= floor(count(*) OVER (PARTITION BY symbol) * CAST(0.9 AS DOUBLE)) AS is_train FROM ticks""",
+    "hot_key_scaled": f"""WITH {_TYPED} SELECT symbol, seq,
+  round((price - min(price) OVER (PARTITION BY symbol)) / (max(price) OVER (PARTITION BY symbol)
+    - min(price) OVER (PARTITION BY symbol)), 6) AS price FROM ticks""",
+    "hot_key_sequences": f"""WITH {_TYPED},
+steps AS (SELECT symbol, seq,
+  row_number() OVER (PARTITION BY symbol ORDER BY ts, seq) AS place,
+  string_agg(CAST(CAST(price AS DECIMAL(38,6)) AS VARCHAR), ';') OVER (
+    PARTITION BY symbol ORDER BY ts, seq ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING) AS sequence
+  FROM ticks)
+SELECT symbol, seq, sequence FROM steps WHERE place > 5""",
     "sma": f"WITH {_FEAT} SELECT symbol, date, sma5, sma10 FROM feat",
     "returns": f"WITH {_FEAT} SELECT symbol, date, ret1, ret5 FROM feat",
     "target": f"WITH {_FEAT} SELECT symbol, date, target FROM feat",

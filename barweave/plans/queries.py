@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from barweave import storage
 from barweave.functions import columns as C
 from barweave.operators import clean, evaluate, features, models, score, sequences, split
-from barweave.operators.ordered import OrderedRows
+from barweave.operators.ordered import SLAB_ROWS, OrderedRows
 from barweave.plans.preprocess import prepare
 from barweave.schema import (
     DERIVED_COLUMNS,
@@ -132,6 +132,54 @@ def tick_features(spark, sf):
     return rounded(rows, *DERIVED_COLUMNS).drop("ts")
 
 
+def _event_type_ticks(spark: SparkSession, sf: str) -> OrderedRows:
+    """Events as one price series per event type: a handful of keys hold everything.
+
+    The slab length follows the table, so that these keys count as heavy at any scale, and never
+    exceeds what one task takes by default.
+    """
+    rows = B.table(spark, sf, "events").select(
+        F.col("event_type").alias("symbol"),
+        "ts",
+        F.col("event_id").alias("seq"),
+        F.col("value").alias("price"),
+    )
+    slab = min(SLAB_ROWS, max(100, rows.count() // 16))
+    return OrderedRows.arrange(rows, ("symbol",), ("ts", "seq"), slab_rows=slab)
+
+
+@query
+def hot_key_features(spark, sf):
+    rows = features.add_features(_event_type_ticks(spark, sf), price="price").rows()
+    return rounded(rows, *DERIVED_COLUMNS).drop("ts")
+
+
+@query
+def hot_key_fill(spark, sf):
+    known = F.when(F.col("seq") % 7 >= 3, F.col("price"))
+    rows = _event_type_ticks(spark, sf).map(lambda df: df.withColumn("price", known))
+    return clean.fill_gaps(rows, ["price"]).rows().drop("ts")
+
+
+@query
+def hot_key_split(spark, sf):
+    rows = split.chronological(_event_type_ticks(spark, sf)).rows()
+    return rows.select("symbol", "seq", "is_train")
+
+
+@query
+def hot_key_scaled(spark, sf):
+    rows = features.scale(_event_type_ticks(spark, sf), ["price"]).rows()
+    return rounded(rows, "price").drop("ts")
+
+
+@query
+def hot_key_sequences(spark, sf):
+    rows = sequences.add_sequences(_event_type_ticks(spark, sf), 5, ["price"]).rows()
+    text = sequences.as_text(F.col("sequence"))
+    return sequences.complete_sequences(rows).select("symbol", "seq", text.alias("sequence"))
+
+
 @query
 def sma(spark, sf):
     rows = features.add_averages(supplier_rows(spark, sf)).rows()

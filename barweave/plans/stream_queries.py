@@ -142,21 +142,16 @@ def stream_sequences(spark, sf):
     early = F.year("date") < 1998
     topic = publish(messages.as_messages(rows.where(early)), "topic")
     sink, progress = storage.new_path(spark, "sink"), storage.new_path(spark, "progress")
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
 
     def drain() -> None:
         parsed = messages.parse(messages.folder_stream(spark, topic), SYMBOL_SCHEMA)
         stream = sequences_of(dated(to_internal(parsed)))
         sinks.drained(sinks.to_files(stream, sink, progress, **DRAIN))
 
-    # State partitions stay as they are at the first start, so they get a number of their own.
-    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
-    try:
+    with sinks.state_partitions(spark):
         drain()
         messages.publish_folder(messages.as_messages(rows.where(~early)), topic)
         drain()
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     text = sequences.as_text(F.col("sequence"))
     return written(spark, sink).select("symbol", "date", text.alias("sequence"))
 
@@ -201,7 +196,8 @@ def stream_sequence_score(spark, sf):
     stream = models.predict_sequences(
         sequences_of(features.scale_with(parsed, params)), "lstm", fitted, width
     ).drop("sequence")
-    path = run(spark, lambda p, c: sinks.to_files(stream, p, c, **DRAIN))
+    with sinks.state_partitions(spark):
+        path = run(spark, lambda p, c: sinks.to_files(stream, p, c, **DRAIN))
     batch = models.predict_sequences(windows, "lstm", fitted, width)
     batch = batch.select("symbol", "date", F.col("lstm_pred").alias("batch_pred"))
     both = written(spark, path).join(batch, ["symbol", "date"], "full")

@@ -1,8 +1,9 @@
 """Running streams and writing their batches."""
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -34,6 +35,19 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[None]:
+    """Start stateful queries inside with ``n`` state partitions (default: one per core). Their
+    checkpoint keeps the number for good, so it should not be the batch setting of the day."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, n or spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def each_batch(
     stream: DataFrame, write: BatchWriter, checkpoint: str, **when: object
 ) -> StreamingQuery:

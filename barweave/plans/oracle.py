@@ -26,8 +26,8 @@ def _derived(price: str, by: str) -> str:
     return f"""
     round(avg({price}) OVER ({w} ROWS BETWEEN 4 PRECEDING AND CURRENT ROW), 6) AS sma5,
     round(avg({price}) OVER ({w} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 6) AS sma10,
-    round(coalesce({price} / nullif(lag({price}, 1) OVER ({w}), 0) - 1, 0), 6) AS ret1,
-    round(coalesce({price} / nullif(lag({price}, 5) OVER ({w}), 0) - 1, 0), 6) AS ret5,
+    coalesce({price} / nullif(lag({price}, 1) OVER ({w}), 0) - 1, 0) AS ret1,
+    coalesce({price} / nullif(lag({price}, 5) OVER ({w}), 0) - 1, 0) AS ret5,
     coalesce(CAST(lead({price}) OVER ({w}) > {price} AS INTEGER), 0) AS target"""
 
 
@@ -67,7 +67,15 @@ _TITLE = """CASE model WHEN 'lr' THEN 'Logistic Regression' WHEN 'rf' THEN 'Rand
      WHEN 'gbt' THEN 'Gradient Boosted Trees' END AS model"""
 
 
-def _binary(keys: str, digits: int) -> str:
+_F1 = "coalesce(2 * precision * recall / nullif(precision + recall, 0), 0)"
+
+
+def _digits(expression: str, digits: int | None, name: str = "") -> str:
+    shown = expression if digits is None else f"round({expression}, {digits})"
+    return f"{shown} AS {name or expression}"
+
+
+def _binary(keys: str, digits: int | None) -> str:
     return f"""counts AS (
   SELECT {keys}, CAST(count(*) AS DOUBLE) AS n,
          CAST(sum(CAST(actual = predicted AS INTEGER)) AS DOUBLE) AS hit,
@@ -75,12 +83,14 @@ def _binary(keys: str, digits: int) -> str:
          CAST(sum(CAST(predicted = 1 AS INTEGER)) AS DOUBLE) AS pp,
          CAST(sum(CAST(actual = 1 AS INTEGER)) AS DOUBLE) AS ap
   FROM predictions GROUP BY {keys}),
+parts AS (
+  SELECT {keys}, hit / n AS accuracy, coalesce(tp / nullif(pp, 0), 0) AS precision,
+         coalesce(tp / nullif(ap, 0), 0) AS recall
+  FROM counts),
 metrics AS (
-  SELECT {keys}, round(hit / n, {digits}) AS accuracy,
-         round(coalesce(tp / nullif(pp, 0), 0), {digits}) AS precision,
-         round(coalesce(tp / nullif(ap, 0), 0), {digits}) AS recall,
-         round(coalesce(2 * tp / nullif(pp + ap, 0), 0), {digits}) AS f1
-  FROM counts)"""
+  SELECT {keys}, {_digits('accuracy', digits)}, {_digits('precision', digits)},
+         {_digits('recall', digits)}, {_digits(_F1, digits, 'f1')}
+  FROM parts)"""
 
 
 def _classes(keys: str) -> str:
@@ -96,19 +106,19 @@ class_counts AS (
          sum(CASE WHEN p.predicted = l.label THEN n ELSE 0 END) AS pp,
          sum(CASE WHEN p.predicted = l.label AND p.actual = l.label THEN n ELSE 0 END) AS tp
   FROM labels_seen l JOIN cells p ON {on} GROUP BY {group}, l.label),
-classes AS (
+ratios AS (
   SELECT {keys}, label, coalesce(CAST(tp AS DOUBLE) / nullif(pp, 0), 0) AS precision,
          coalesce(CAST(tp AS DOUBLE) / nullif(ap, 0), 0) AS recall,
-         coalesce(CAST(2 * tp AS DOUBLE) / nullif(pp + ap, 0), 0) AS f1,
          CAST(ap AS DOUBLE) AS support, CAST(tp AS DOUBLE) AS tp
-  FROM class_counts)"""
+  FROM class_counts),
+classes AS (SELECT *, {_F1} AS f1 FROM ratios)"""
 
 
-def _average(digits: int) -> str:
-    return f"""round(sum(tp) / sum(support), {digits}) AS accuracy,
-  round(sum(precision * support) / sum(support), {digits}) AS precision,
-  round(sum(recall * support) / sum(support), {digits}) AS recall,
-  round(sum(f1 * support) / sum(support), {digits}) AS f1"""
+def _average(digits: int | None) -> str:
+    means = [_digits("sum(tp) / sum(support)", digits, "accuracy")]
+    for c in ("precision", "recall", "f1"):
+        means.append(_digits(f"sum({c} * support) / sum(support)", digits, c))
+    return ", ".join(means)
 
 
 def _vector_text(row: str = "") -> str:
@@ -126,20 +136,22 @@ joined AS (
 SELECT symbol, date, target, sequence FROM joined WHERE place > {length}"""
 
 
-def _scaled(fit: str = "", over: str = "(PARTITION BY symbol)") -> str:
+def _scaled(
+    fit: str = "", over: str = "(PARTITION BY symbol)", rounded: tuple = ("sma5", "sma10")
+) -> str:
     w = over
 
     def one(c: str) -> str:
         value = f"CASE WHEN {fit} THEN {c} END" if fit else c
         low, high = f"min({value}) OVER {w}", f"max({value}) OVER {w}"
-        return f"round(CASE WHEN {low} = {high} THEN 0.0 ELSE ({c} - {low}) / ({high} - {low}) END, 6) AS {c}"
+        part = f"CASE WHEN {low} = {high} THEN 0.0 ELSE ({c} - {low}) / ({high} - {low}) END"
+        return f"round({part}, 6) AS {c}" if c in rounded else f"{part} AS {c}"
 
     return ", ".join(one(c) for c in _FEATURES)
 
 
 # Features before rounding, for what is computed from them.
 _RAW_FEAT = _FEAT.replace("round(avg(", "(avg(").replace("ROW), 6)", "ROW))")
-_RAW_FEAT = _RAW_FEAT.replace("round(coalesce(", "(coalesce(").replace("- 1, 0), 6)", "- 1, 0))")
 
 ORACLE: dict[str, str] = {
     "event_bars": f"WITH {_EVENT} SELECT * FROM event_bars",
@@ -162,8 +174,8 @@ SELECT symbol, seq, coalesce(price, first_value(price IGNORE NULLS) OVER (
   row_number() OVER (PARTITION BY symbol ORDER BY ts, seq)
     <= floor(count(*) OVER (PARTITION BY symbol) * CAST(0.9 AS DOUBLE)) AS is_train FROM ticks""",
     "hot_key_scaled": f"""WITH {_TYPED} SELECT symbol, seq,
-  round((price - min(price) OVER (PARTITION BY symbol)) / (max(price) OVER (PARTITION BY symbol)
-    - min(price) OVER (PARTITION BY symbol)), 6) AS price FROM ticks""",
+  (price - min(price) OVER (PARTITION BY symbol)) / (max(price) OVER (PARTITION BY symbol)
+    - min(price) OVER (PARTITION BY symbol)) AS price FROM ticks""",
     "hot_key_sequences": f"""WITH {_TYPED},
 steps AS (SELECT symbol, seq,
   row_number() OVER (PARTITION BY symbol ORDER BY ts, seq) AS place,
@@ -249,21 +261,21 @@ FROM feat a JOIN feat b ON a.date = b.date JOIN feat c ON a.date = c.date""",
   rf_pred = target AS rf_correct, gbt_pred = target AS gbt_correct FROM wide""",
     "match_label": f"""WITH {_LONG} SELECT *,
   CASE WHEN actual = predicted THEN '✔ Correct' ELSE '❌ Incorrect' END AS match FROM predictions""",
-    "metrics_binary": f"WITH {_LONG}, {_binary('symbol, model', 6)} SELECT * FROM metrics",
+    "metrics_binary": f"WITH {_LONG}, {_binary('symbol, model', None)} SELECT * FROM metrics",
     "metrics_weighted": f"""WITH {_LONG}, {_classes('symbol, model')}
-SELECT symbol, model, {_average(6)} FROM classes GROUP BY symbol, model""",
+SELECT symbol, model, {_average(None)} FROM classes GROUP BY symbol, model""",
     "classification_report": f"""WITH {_LONG}, {_classes('symbol, model')}
-SELECT symbol, model, CAST(label AS VARCHAR) AS label, round(precision, 6) AS precision,
-  round(recall, 6) AS recall, round(f1, 6) AS f1, CAST(support AS BIGINT) AS support FROM classes
+SELECT symbol, model, CAST(label AS VARCHAR) AS label, precision, recall, f1,
+  CAST(support AS BIGINT) AS support FROM classes
 UNION ALL
-SELECT symbol, model, 'accuracy', NULL, NULL, round(sum(tp) / sum(support), 6),
+SELECT symbol, model, 'accuracy', NULL, NULL, sum(tp) / sum(support),
   CAST(sum(support) AS BIGINT) FROM classes GROUP BY symbol, model
 UNION ALL
-SELECT symbol, model, 'macro avg', round(avg(precision), 6), round(avg(recall), 6),
-  round(avg(f1), 6), CAST(sum(support) AS BIGINT) FROM classes GROUP BY symbol, model
+SELECT symbol, model, 'macro avg', avg(precision), avg(recall), avg(f1),
+  CAST(sum(support) AS BIGINT) FROM classes GROUP BY symbol, model
 UNION ALL
-SELECT symbol, model, 'weighted avg', round(sum(precision * support) / sum(support), 6),
-  round(sum(recall * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6),
+SELECT symbol, model, 'weighted avg', sum(precision * support) / sum(support),
+  sum(recall * support) / sum(support), sum(f1 * support) / sum(support),
   CAST(sum(support) AS BIGINT) FROM classes GROUP BY symbol, model""",
     "model_comparison": f"""WITH {_LONG}, {_binary('model', 4)}
 SELECT {_TITLE}, accuracy, precision, recall, f1 FROM metrics""",
@@ -344,6 +356,6 @@ requests AS (
 SELECT symbol, date, model, CASE coalesce(model, 'log') WHEN 'log' THEN CAST(close > sma5 AS INTEGER)
   WHEN 'rf' THEN CAST(ret1 > 0 AS INTEGER) WHEN 'xgb' THEN CAST(ret5 > 0 AS INTEGER)
   WHEN 'lstm' THEN CAST(close > sma10 AS INTEGER) ELSE -1 END AS prediction FROM requests""",
-    "minmax_stage": f"""WITH {_RAW_FEAT} SELECT symbol, date, {_scaled(over='()')},
+    "minmax_stage": f"""WITH {_RAW_FEAT} SELECT symbol, date, {_scaled(over='()', rounded=tuple(_FEATURES))},
   CAST(0.5 AS DOUBLE) AS flat FROM feat""",
 }

@@ -81,3 +81,42 @@ def stay(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> Data
         .where(F.col(mark).isNull() | (F.col(mark) != F.col(digest)))
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
+
+
+def id_key(name: str) -> Column:
+    """The id as text that tells a null from every value."""
+    return F.coalesce(F.concat(F.lit("="), F.col(f"`{name}`").cast("string")), F.lit(""))
+
+
+def digest(name: str) -> Column:
+    """sha2-256 of a text, as 32 bytes."""
+    return F.unhex(F.sha2(text_or_empty(name), 256))
+
+
+def numbered_copies(rows: DataFrame) -> DataFrame:
+    """Add _copy: numbers rows (_row, _key, _digest) that repeat both id and text, from 1."""
+    from pyspark.sql import Window
+
+    same = Window.partitionBy("_key", "_digest").orderBy("_row")
+    return rows.withColumn("_copy", F.row_number().over(same))
+
+
+def with_results(docs: DataFrame, results: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _text, results...) for every row of ``docs``; ``results`` has _key, _digest, _copy.
+
+    Texts are shuffled once. Only where rows repeat id and text are the copies told apart.
+    """
+    from pyspark.sql import Window
+
+    left = docs.select(
+        F.col(f"`{id_col}`").alias("_id"),
+        text_or_empty(text_col).alias("_text"),
+        id_key(id_col).alias("_key"),
+        digest(text_col).alias("_digest"),
+    )
+    on = ["_key", "_digest"]
+    if not results.where("_copy > 1").isEmpty():
+        same = Window.partitionBy(*on).orderBy("_digest")
+        left, on = left.withColumn("_copy", F.row_number().over(same)), [*on, "_copy"]
+        return left.join(results, on, "left").drop(*on)
+    return left.join(results.drop("_copy"), on, "left").drop(*on)

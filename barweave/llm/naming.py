@@ -15,14 +15,15 @@ HEAVY_PART = 4096
 LEAST_HEAVY = 1000
 
 
-def name_pairs(rows: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
+def name_pairs(rows: DataFrame, columns: Sequence[str], name: str, least: int = 1) -> DataFrame:
     """Add ``name``: the place of the row's values among all distinct ones, sorted.
 
     For narrow columns (numbers, short keys). Distinct values are combined before they are
     shuffled, sorted by range and numbered by place; a written table fixes the numbers. The join
-    back may be split by Spark wherever one value has many rows. Nulls are values.
+    back may be split by Spark wherever one value has many rows. Nulls are values. Rows of values
+    that occur less than ``least`` times are left out.
     """
-    values = rows.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    values = rows.groupBy(*columns).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= least)
     ordered = values.repartitionByRange(*columns).sortWithinPartitions(*columns)
     names = hand_over(
         ordered.select(*columns, "_rows", F.monotonically_increasing_id().alias(name)), "names"
@@ -74,9 +75,9 @@ def name_blocks(rows: DataFrame, block: str, tie: Sequence[str], name: str) -> D
     if heavy.isEmpty():
         return named.drop("_spread", "_head")
     heads = named.where(F.col("_head").isNotNull()).select(F.col(name).alias("_run"), "_head")
-    one = heads.groupBy("_head").agg(F.min("_run").alias("_name"))
-    merged = heads.join(one, "_head").select(F.col("_run").alias(name), "_name")
+    one = heads.groupBy("_head").agg(F.min("_run").alias("_one"))
+    merged = heads.join(one, "_head").select(F.col("_run").alias(name), "_one")
     spread = named.where("_spread").join(merged, name)
     return named.where(~F.col("_spread")).select(*others, name).unionByName(
-        spread.select(*others, F.col("_name").alias(name))
+        spread.select(*others, F.col("_one").alias(name))
     )

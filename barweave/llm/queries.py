@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barweave.llm import exact_dedup, language_id, secrets, token_files, toxicity
+from barweave.llm import (
+    decontaminate,
+    exact_dedup,
+    language_id,
+    line_dedup,
+    near_dedup,
+    packing,
+    secrets,
+    substring_dedup,
+    token_files,
+    toxicity,
+)
 from barweave.llm.common import id_fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +31,12 @@ def query(function):
     return function
 
 
+@query
+def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return decontaminate.contaminated(docs, table(spark, folder, "benchmark"))
+
+
 @query
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
@@ -41,6 +58,19 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.token_table(table(spark, folder, "documents"), path, end_id=2)
 
 
+@query
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    )
+
+
+@query
+def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.packed(table(spark, folder, "documents"), path, end_id=0)
+
+
 @query
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, folder, "documents"))
@@ -79,6 +109,60 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_groups(table(spark, folder, "documents"))
+
+
+@query
+def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.sha2("kept_text", 256).alias("kept_sha256")
+    )
+
+
+ORACLE["op9_line_dedup"] = r"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+lines AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS i, len(parts) AS n_lines
+  FROM cut
+),
+solid AS (
+  SELECT doc_id, line, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n,
+         lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS following
+  FROM lines WHERE regexp_matches(line, '\S')
+),
+later AS (
+  SELECT doc_id, n FROM (
+    SELECT doc_id, n,
+           row_number() OVER (PARTITION BY line, following ORDER BY doc_id, n) AS k
+    FROM solid WHERE following IS NOT NULL
+  ) WHERE k > 1
+),
+gone AS (SELECT doc_id, n FROM later UNION SELECT doc_id, n + 1 FROM later),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) AS b FROM (
+    SELECT s.doc_id, s.i, s.n - row_number() OVER (PARTITION BY s.doc_id ORDER BY s.n) AS run
+    FROM gone JOIN solid s ON s.doc_id = gone.doc_id AND s.n = gone.n
+  ) GROUP BY doc_id, run
+),
+counted AS (
+  SELECT doc_id, sum(b - a + 1) AS removed, count(*) AS runs FROM runs GROUP BY doc_id
+),
+kept AS (
+  SELECT l.doc_id, string_agg(l.line, chr(10) ORDER BY l.i) AS text
+  FROM lines l LEFT JOIN runs r ON r.doc_id = l.doc_id AND l.i BETWEEN r.a AND r.b
+  WHERE r.doc_id IS NULL GROUP BY l.doc_id
+)
+SELECT c.doc_id, CAST(len(c.parts) AS BIGINT) AS n_lines,
+       CAST(coalesce(n.removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n.runs, 0) AS BIGINT) AS n_runs,
+       sha256(coalesce(k.text, '')) AS kept_sha256
+FROM cut c LEFT JOIN counted n ON n.doc_id = c.doc_id LEFT JOIN kept k ON k.doc_id = c.doc_id
+"""
+
+
 @query
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")

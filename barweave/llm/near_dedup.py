@@ -9,11 +9,12 @@ register after that are followed further. So long documents cost little more tha
 their elements.
 
 Rows with the same weighted set form a class first. Classes that agree on all registers of a band
-meet in a bucket. A bucket compares its members with one of them, not with each other; members
-that are not linked by that are compared further, with pivot after pivot, until every pair of a
-bucket was compared, is linked through others, or is too far apart by the triangle inequality
-(one minus the similarity is a metric). Each comparison is exact. Groups are the connected
-components of the links.
+meet in a bucket. Links are sought where they can still join components: first each class is
+compared with the least class of all its buckets, then with the least class of each bucket that
+is not in its component. Buckets that still hold several components are searched in blocks of
+bounded size inside tasks, by signatures: pairs of different components whose registers agree
+as often as similar ones do (three deviations below the level) are compared. Each comparison of
+sets is exact. Groups are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barweave.llm.common import chunks, text_or_empty
@@ -30,9 +31,10 @@ from barweave.llm.words import counted, mix, shingle_hashes, word_hashes
 from barweave.storage import hand_over
 
 SIMILARITY = 0.8
-BANDS, ROWS = 24, 4
-#: Members that a bucket compares with all others in the second round; doubled in each later one.
-PIVOTS = 8
+#: A pair of similarity 0.8 shares no band with probability 0.0002, one of 0.85 with 0.000002.
+BANDS, ROWS = 28, 6
+#: Members of a bucket that a task compares with so many others at a time.
+BLOCK = 1000
 _U = np.uint64
 
 
@@ -73,7 +75,7 @@ def prob_minhash(
 
 
 def signatures(texts: list[str], bands: int = BANDS, rows: int = ROWS):
-    """(fingerprints, band keys) per text; None for texts without words.
+    """(fingerprints, band keys, registers) per text; None for texts without words.
 
     A fingerprint is a 128-bit sum over the weighted set: equal sets, equal fingerprints.
     """
@@ -82,8 +84,9 @@ def signatures(texts: list[str], bands: int = BANDS, rows: int = ROWS):
     with_words, place = np.unique(doc, return_inverse=True)
     prints: list[bytes | None] = [None] * len(texts)
     keys: list[np.ndarray | None] = [None] * len(texts)
+    registers: list[bytes | None] = [None] * len(texts)
     if not len(with_words):
-        return prints, keys
+        return prints, keys, registers
     starts = np.searchsorted(place, np.arange(len(with_words)))
     sums = [
         np.add.reduceat(mix(found + mix(count.astype(np.uint64), s), s), starts) for s in (21, 22)
@@ -94,10 +97,12 @@ def signatures(texts: list[str], bands: int = BANDS, rows: int = ROWS):
     for r in range(rows):
         band = mix(band * _U(0xD1342543DE82EF95) + held[:, :, r], 23)
     both = np.stack(sums, axis=1)
+    short = (mix(held, 24) >> _U(48)).astype("<u2")
     for i, at in enumerate(with_words.tolist()):
         prints[at] = both[i].tobytes()
         keys[at] = band[i].view(np.int64)
-    return prints, keys
+        registers[at] = short[i].tobytes()
+    return prints, keys, registers
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -177,11 +182,94 @@ def components(links: DataFrame) -> DataFrame:
     return ends.unionByName(roots)
 
 
+def labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
+    """Add the component of a node; one without links is its own."""
+    known = labels.select(F.col("node").alias(node), F.col("label").alias(name))
+    return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
+
+
+def mixed_pairs(
+    members: DataFrame,
+    labels: DataFrame,
+    heads: DataFrame,
+    bands: int,
+    rows: int,
+    level: float,
+    block: int,
+) -> DataFrame:
+    """Pairs (a, b) of different components in one bucket whose registers agree often enough.
+
+    A bucket of more than two blocks of members is searched as pairs of blocks, each a task's
+    worth; only pairs that pass leave it.
+    """
+    placed = labelled(members, labels, "node", "label")
+    spans = placed.groupBy("key").agg(
+        F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_n")
+    )
+    # The two members of a bucket of two have been compared.
+    wide = spans.where("_a != _b and _n > 2").select(
+        "key", F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_blocks")
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
+    spread = (
+        placed.join(wide, "key")
+        .withColumn("_own", own)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        .select(
+            "key",
+            F.least("_own", "_other").alias("_low"),
+            F.greatest("_own", "_other").alias("_high"),
+            "_own",
+            "node",
+            "label",
+            (F.col("node") == F.col("pivot")).alias("_first"),
+        )
+    )
+    known = heads.select(F.col("_row").alias("node"), "registers")
+    rows_of = spread.join(known, "node")
+    least = level - 3 * (level * (1 - level) / (bands * rows)) ** 0.5
+
+    def search(table: pa.Table) -> pa.Table:
+        node, label = (table.column(c).to_numpy() for c in ("node", "label"))
+        side = table.column("_own").to_numpy()
+        first = table.column("_first").to_numpy()
+        low, high = table.column("_low")[0].as_py(), table.column("_high")[0].as_py()
+        shape = (len(node), bands, rows)
+        held = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(shape)
+        found: list[tuple[int, int]] = []
+        for i in range(len(node)):
+            if side[i] != low:
+                continue
+            other = label != label[i]
+            other &= (node > node[i]) if low == high else side == high
+            if first[i]:
+                continue
+            at = np.flatnonzero(other & ~first)
+            if not len(at):
+                continue
+            same = held[at] == held[i]
+            often = same.reshape(len(at), -1).mean(axis=1) >= least
+            for j in at[often].tolist():
+                found.append((int(node[i]), int(node[j])))
+        return pa.table(
+            {
+                "a": pa.array([min(f) for f in found], pa.int64()),
+                "b": pa.array([max(f) for f in found], pa.int64()),
+            }
+        )
+
+    groups = rows_of.groupBy("key", "_low", "_high")
+    return groups.applyInArrow(search, "a long, b long").distinct()
+
+
 def near_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     level: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per document: ``id_col``, class_id, class_size, kept and text_sha256.
 
@@ -194,7 +282,7 @@ def near_groups(
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in chunks(batches):
-            prints, keys = signatures(piece.column("text").to_pylist())
+            prints, keys, registers = signatures(piece.column("text").to_pylist(), bands, rows)
             yield pa.RecordBatch.from_arrays(
                 [
                     piece.column("_row"),
@@ -202,20 +290,22 @@ def near_groups(
                     piece.column("_sha"),
                     pa.array(prints, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(registers, pa.binary()),
                 ],
-                ["_row", "_id", "_sha", "print", "bands"],
+                ["_row", "_id", "_sha", "print", "bands", "registers"],
             )
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = docs.select(
+    read = docs.select(
         F.monotonically_increasing_id().alias("_row"),
         F.col(f"`{id_col}`").alias("_id"),
         F.unhex(F.sha2(text_or_empty(text_col), 256)).alias("_sha"),
         text_or_empty(text_col).alias("text"),
     )
     signed = hand_over(
-        rows.mapInArrow(
-            sign, f"_row long, _id {id_type}, _sha binary, print binary, bands array<long>"
+        read.mapInArrow(
+            sign, f"_row long, _id {id_type}, _sha binary, print binary, bands array<long>, "
+            "registers binary",
         ),
         "signed",
     )
@@ -240,59 +330,23 @@ def near_groups(
     )
     same = source["_id"].eqNullSafe(shas["_id"]) & (source["_sha"] == shas["_sha"])
     texts = hand_over(source.join(shas, same).select("node", "text"), "texts")
-    pairs = members.where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    compared = compare(pairs.distinct(), texts)
-    links = compared.where(F.col("sim") >= level).select("a", "b")
-    labels = hand_over(components(links), "labels")
-    far = compared.select(
-        F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("sim")).alias("away")
-    )
-    # Members that may still gain a link, with their distance to the bucket's first pivot.
-    todo = members.join(far, ["pivot", "node"], "left").select(
-        "key", "node", F.coalesce("away", F.lit(0.0)).alias("away")
-    )
-    todo, width = hand_over(todo, "todo"), PIVOTS
-    first = buckets.select("key", F.col("pivot").alias("node"))
-    done = first
-    while True:
-        named = todo.join(labels, "node", "left").select(
-            "key", "node", "away", F.coalesce("label", "node").alias("label")
-        )
-        spans = named.groupBy("key").agg(F.min("label").alias("_a"), F.max("label").alias("_b"))
-        mixed = hand_over(named.join(spans.where("_a != _b").select("key"), "key"), "mixed")
-        waiting = mixed.join(done, ["key", "node"], "left_anti")
-        # Whoever is linked to the first pivot of the bucket waits on the other side.
-        base = first.withColumnRenamed("node", "_pivot").join(
-            labels.select(F.col("node").alias("_pivot"), F.col("label").alias("_base")), "_pivot", "left"
-        )
-        waiting = waiting.join(
-            base.select("key", F.coalesce("_base", "_pivot").alias("_base")), "key"
-        ).where(F.col("label") != F.col("_base"))
-        order = Window.partitionBy("key").orderBy("node")
-        pivots = hand_over(
-            waiting.withColumn("_n", F.row_number().over(order))
-            .where(F.col("_n") <= width)
-            .select("key", F.col("node").alias("a"), F.col("away").alias("_away"), F.col("label").alias("_label")),
-            "pivots",
-        )
-        if pivots.isEmpty():
-            break
-        near = mixed.join(pivots, "key").where(
-            (F.col("label") != F.col("_label"))
-            & (F.abs(F.col("away") - F.col("_away")) <= 1 - level + 1e-9)
-        )
-        finished = done.select("key", "node", F.lit(True).alias("_done"))
-        near = near.join(finished, ["key", "node"], "left").where(F.col("_done").isNull())
-        pairs = near.select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        found = compare(pairs.distinct(), texts).where(F.col("sim") >= level).select("a", "b")
-        done = hand_over(
-            done.unionByName(pivots.select("key", F.col("a").alias("node"))), "done"
-        )
-        if not found.isEmpty():
-            old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
-            labels = hand_over(components(old.unionByName(found)), "labels")
-        todo = mixed.select("key", "node", "away")
-        width *= 2
+    stars = members.where("node != pivot").select("pivot", "node")
+    nearest = stars.groupBy("node").agg(F.min("pivot").alias("pivot"))
+    links, labels = None, None
+    for pairs in (nearest, stars.distinct()):
+        if labels is not None:
+            pairs = labelled(labelled(pairs, labels, "pivot", "_a"), labels, "node", "_b")
+            pairs = pairs.where("_a != _b").select("pivot", "node")
+            pairs = pairs.join(nearest, ["pivot", "node"], "left_anti")
+        found = compare(pairs.select(F.col("pivot").alias("a"), F.col("node").alias("b")), texts)
+        found = found.where(F.col("sim") >= level).select("a", "b")
+        links = found if links is None else links.unionByName(found)
+        labels = hand_over(components(links), "labels")
+    rest = mixed_pairs(members, labels, heads, bands, rows, level, block)
+    found = compare(rest, texts).where(F.col("sim") >= level).select("a", "b")
+    if not found.isEmpty():
+        old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+        labels = hand_over(components(old.unionByName(found)), "labels")
     named = classes.join(labels, "node", "left").select(
         "print", F.coalesce("label", "node").alias("_label")
     )

@@ -34,7 +34,10 @@ LENGTH, GRAM = 100, 24
 #: Bytes of a long text that are parsed at a time; neighbouring parts overlap by LENGTH - 1.
 PART = 1_000_000
 #: Entries that a task gathers before it combines and sends them.
-GATHERED = 2_000_000
+GATHERED = 700_000
+#: A trigger with more different entries than this in a bucket has its strings dealt out by
+#: themselves instead of by trigger.
+HOT = 20_000
 NO_ID = -(2**63)
 _U = np.uint64
 _PLACE_BITS = 30
@@ -150,7 +153,7 @@ _SENT_ARROW = pa.schema(
         ("sha", pa.binary()),
     ]
 )
-ENTRIES, DOCUMENT, LATER = 0, 1, 2
+ENTRIES, DOCUMENT, LATER, BORDER, STRETCHES = range(5)
 
 
 def _packed(columns: list[np.ndarray]) -> dict:
@@ -247,15 +250,14 @@ _FOUND_ARROW = pa.schema(
         ("sha", pa.binary()),
     ]
 )
-BORDER = 3
 
 
-def _found(kind: int, bucket: int, columns: list[np.ndarray]) -> pa.Table:
+def _found(kind: int, bucket: int | np.ndarray, columns: list[np.ndarray]) -> pa.Table:
     n = len(columns[0])
     return pa.table(
         [
             pa.array(np.full(n, kind, np.int32)),
-            pa.array(np.full(n, bucket, np.int32)),
+            pa.array(np.broadcast_to(np.asarray(bucket, np.int32), n)),
             pa.array(columns[0].view(np.int64)),
             pa.array(columns[2]),
             pa.array(columns[3]),
@@ -277,7 +279,7 @@ def _documents(rows: list[dict]) -> pa.Table:
     )
 
 
-def _sort_parse(key, table):
+def _sort_parse(table: pa.Table, hot: int) -> pa.Table:
     rows = table.to_pylist()
     out = [_documents([r for r in rows if r["kind"] == DOCUMENT])]
     known = [r for r in rows if r["kind"] == LATER]
@@ -291,48 +293,71 @@ def _sort_parse(key, table):
         out.append(_found(LATER, 0, [c[~first] for c in columns]))
         heads = [c[first] for c in columns]
         same = heads[0][1:] == heads[0][:-1]
-        many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        out.append(_found(BORDER, sent[0]["bucket"], [c[many[: len(c)]] for c in heads]))
+        many = (np.concatenate([[False], same]) | np.concatenate([same, [False]]))[: len(heads[0])]
+        borders = [c[many] for c in heads]
+        _, kind, size = np.unique(borders[0], return_inverse=True, return_counts=True)
+        bucket = np.where(size[kind] > hot, -1, sent[0]["bucket"]) if len(kind) else 0
+        out.append(_found(BORDER, bucket, borders))
     return pa.concat_tables(out)
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fingerprints of the strings at the borders, sent to the buckets of their triggers."""
-    held, size = [], 0
-    for piece in chunks(batches, "_text"):
-        for document in piece.to_pylist():
-            text = document["_text"].encode()
-            borders = sorted(document["_borders"], key=lambda b: b["place"])
-            for at in range(0, len(borders), 5000):
-                own = borders[at : at + 5000]
-                low = own[0]["place"]
-                high = max(b["place"] + b["strings"] for b in own) + LENGTH
-                data = np.frombuffer(text[low:high], np.uint8)
-                count = np.array([b["strings"] for b in own])
-                begin = np.array([b["place"] for b in own]) - low
-                first = np.repeat(begin, count) + np.arange(count.sum()) - np.repeat(
-                    np.cumsum(count) - count, count
-                )
-                prints = [Rolled(data, w).of(first, first + LENGTH) for w in (0, 1)]
-                n = len(first)
-                held.append(
-                    [
-                        *prints,
-                        np.full(n, document["_order"], np.int64),
-                        np.full(n, document["_row"], np.int64),
-                        first + low,
-                        np.ones(n, np.int64),
-                        np.repeat(np.array([b["bucket"] for b in own]), count),
-                    ]
-                )
-                size += n
-        if size >= GATHERED:
-            columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-            yield from _send(columns[:6], columns[6])
-            held, size = [], 0
-    if size:
-        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
-        yield from _send(columns[:6], columns[6])
+def _numbered(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... for each entry, ``count`` of them."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def _strings(buckets: int):
+    """What the borders cover: stretches of text to the buckets of their triggers, or, of a hot
+    trigger, the fingerprints of all its strings to buckets of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stretches, hot, size = [], [], 0
+
+        def send():
+            if stretches:
+                columns = [np.array(c, np.int64) for c in list(zip(*stretches))[:5]]
+                own = [s[5] for s in stretches]
+                order = np.argsort(columns[0], kind="stable")
+                for group in np.split(order, np.flatnonzero(np.diff(columns[0][order])) + 1):
+                    zero = np.zeros(len(group), np.uint64)
+                    row = _packed([zero, zero, *[c[group] for c in columns[1:]]])
+                    row |= {"bucket": int(columns[0][group[0]]), "kind": STRETCHES}
+                    row["sha"] = b"".join(own[i] for i in group.tolist())
+                    yield pa.RecordBatch.from_pylist([row], _SENT_ARROW)
+            if hot:
+                columns = [np.concatenate(c) for c in zip(*hot, strict=True)]
+                yield from _send(columns, (columns[0] % _U(buckets)).astype(np.int64))
+
+        for piece in chunks(batches, "_text"):
+            for document in piece.to_pylist():
+                text = document["_text"].encode()
+                where = document["_order"], document["_row"]
+                for b in document["_borders"]:
+                    own = text[b["place"] : b["place"] + b["strings"] + LENGTH - 1]
+                    if b["bucket"] >= 0:
+                        stretches.append((b["bucket"], *where, b["place"], b["strings"], own))
+                        size += 10
+                        continue
+                    columns = [np.array([x]) for x in (*where, b["place"], b["strings"])]
+                    hot.append(_told(columns, own))
+                    size += b["strings"]
+            if size >= GATHERED:
+                yield from send()
+                stretches, hot, size = [], [], 0
+        yield from send()
+
+    return run
+
+
+def _told(columns: list[np.ndarray], data: bytes) -> list[np.ndarray]:
+    """Every string of some stretches: two fingerprints, document id, row, place, one string."""
+    order, row, place, count = columns
+    data = np.frombuffer(data, np.uint8)
+    length = count + LENGTH - 1
+    first = _numbered(np.cumsum(length) - length, count)
+    prints = [Rolled(data, which).of(first, first + LENGTH) for which in (0, 1)]
+    where = [np.repeat(order, count), np.repeat(row, count), _numbered(place, count)]
+    return [*prints, *where, np.ones(len(first), np.int64)]
 
 
 def _runs(columns: list[np.ndarray]) -> list[np.ndarray]:
@@ -349,16 +374,23 @@ def _runs(columns: list[np.ndarray]) -> list[np.ndarray]:
 
 def _sort_strings(key, table):
     rows = table.to_pylist()
-    out = [_found(LATER, 0, _runs(_unpacked([r])) ) for r in rows if r["kind"] == LATER]
+    out = [_found(LATER, 0, _runs(_unpacked([r]))) for r in rows if r["kind"] == LATER]
+    told = [
+        _told([c.astype(np.int64) for c in _unpacked([r])[2:]], r["sha"])
+        for r in rows
+        if r["kind"] == STRETCHES
+    ]
     sent = [r for r in rows if r["kind"] == ENTRIES]
     if sent:
-        columns = _unpacked(sent)
+        told.append(_unpacked(sent))
+    if told:
+        columns = [np.concatenate(c) for c in zip(*told, strict=True)]
         order, first = _sorted_firsts(columns, 2)
         out.append(_found(LATER, 0, _runs([c[order][~first] for c in columns])))
     return pa.concat_tables(out)
 
 
-def repeated_strings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def repeated_strings(docs: DataFrame, id_col: str, text_col: str, hot: int) -> DataFrame:
     """_key, _digest, _copy of documents with repeated strings, and _starts: (place, strings)."""
     spark = docs.sparkSession
     parts = max(docs.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -369,7 +401,7 @@ def repeated_strings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         text_or_empty(text_col).alias("_text"),
     )
     sent = rows.mapInArrow(_read(4 * parts), _SENT)
-    parsed = hand_over(sent.groupBy("bucket").applyInArrow(_sort_parse, _FOUND), "parse")
+    parsed = hand_over(sent.groupBy("bucket").applyInArrow(lambda t: _sort_parse(t, hot), _FOUND), "parse")
     ids = F.when(F.col("id") != NO_ID, F.col("id"))
     documents = parsed.where(F.col("kind") == DOCUMENT).select(
         F.col("row").alias("_row"), ids.alias("_id"), F.col("sha").alias("_digest")
@@ -394,7 +426,7 @@ def repeated_strings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "borders",
     )
     texts = with_results(docs, asked, id_col, text_col).where(F.col("_borders").isNotNull())
-    strings = texts.select("_row", "_order", "_text", "_borders").mapInArrow(_strings, _SENT)
+    strings = texts.select("_row", "_order", "_text", "_borders").mapInArrow(_strings(4 * parts), _SENT)
     told = hand_over(strings.groupBy("bucket").applyInArrow(_sort_strings, _FOUND), "strings")
     later = parsed.where(F.col("kind") == LATER).select("row", "place", "strings")
     starts = (
@@ -441,7 +473,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup_substrings(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, spans.
 
@@ -452,7 +484,7 @@ def dedup_substrings(
     are integers. Texts under 100 bytes stay whole.
     """
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = with_results(docs, repeated_strings(docs, id_col, text_col), id_col, text_col)
+    rows = with_results(docs, repeated_strings(docs, id_col, text_col, hot), id_col, text_col)
     schema = (
         f"_id {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
         "spans array<struct<start:long,end:long>>"

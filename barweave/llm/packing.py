@@ -28,6 +28,8 @@ GROUP = 8192
 CLOSED = 0.98
 #: An exchange is sought with so many bins, those with the most room.
 NEIGHBOURS = 256
+#: After an exchange so many of the emptiest bins are tried again.
+WOKEN = 4
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -123,6 +125,8 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
         if not bins[source]:
             filled -= 1
             fill[source] = capacity  # an empty bin takes no part any more
+        emptiest = np.argpartition(fill, WOKEN)[:WOKEN] if len(fill) > WOKEN else slice(None)
+        waiting[emptiest] = fill[emptiest] < capacity
     return [b for b in bins if b]
 
 

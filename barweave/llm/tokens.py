@@ -16,8 +16,10 @@ import numpy as np
 #: Words that a worker remembers; when full, it starts anew.
 MEMORY_WORDS = 600_000
 
-# Outside this, composition of characters or other white space could reach over a cut.
-_ODD = re.compile(r"[^\x00-˿]|[^\S \n]|<\|")
+# A text with one of these is not cut: characters above Latin letters may compose over a cut, other
+# white space may join a run of it, raised digits and fractions belong to numbers, and one capital
+# turns into two characters.
+_ODD = re.compile("[^\x00-˿]|[^\\S \n]|[²³¹¼-¾İ]|<\\|")
 _LETTERS = r"[^\W\d_]+"
 _REST = r"(?:[^\w \n]|[\d_])[^ \n]*"
 

@@ -24,9 +24,14 @@ from barweave.llm.words import mix, word_hashes
 MOST_ROWS = 20_000
 TERMS = 2**18
 FACTORS = 4
-EPOCHS = 10
+#: Passes over the sample, more of them if these make fewer steps than the second number.
+EPOCHS, LEAST_STEPS = 10, 3000
 BATCH = 64
-STEP = 0.1
+STEP = 0.3
+#: Terms that a model weighs: those that tell most about the label by themselves.
+KEPT_TERMS = 2048
+#: Vectors move slower than weights and shrink, since each takes part in hundreds of pairs.
+VECTOR_STEP, VECTOR_DECAY = 0.1, 1e-3
 #: Terms in fewer labelled rows than this carry no weight.
 LEAST_ROWS = 5
 LEVEL = 0.5
@@ -69,18 +74,23 @@ def _chance(x: np.ndarray) -> np.ndarray:
 def learn(rows: list[np.ndarray], labels: np.ndarray, terms: int = TERMS) -> Machine:
     """Stochastic gradient steps on the logistic loss, with a step size for each parameter."""
     random = np.random.default_rng(7)
-    df = np.zeros(terms, np.int64)
-    for row in rows:
-        df[row] += 1
-    common = df >= LEAST_ROWS
+    every = np.concatenate(rows)
+    df = np.bincount(every, minlength=terms)
+    hits = np.bincount(every, np.repeat(labels, [len(r) for r in rows]), minlength=terms)
+    # Chi-squared of term against label, one degree of freedom.
+    n, rate = len(rows), labels.mean()
+    spread = df * rate * (1 - rate) * (1 - df / n)
+    told = np.where(df >= LEAST_ROWS, (hits - df * rate) ** 2 / np.maximum(spread, 1e-9), -1)
+    common = np.zeros(terms, bool)
+    common[np.argsort(-told, kind="stable")[:KEPT_TERMS]] = True
+    common &= told >= 0
     rows = [row[common[row]] for row in rows]
     weights = np.zeros(terms, np.float32)
     vectors = np.where(common[:, None], random.normal(0, 0.01, (terms, FACTORS)), 0)
     vectors = vectors.astype(np.float32)
-    rate = labels.mean()
     bias = float(np.log(rate / (1 - rate)))
     seen_w, seen_v, seen_b = np.full(terms, 1e-6), np.full((terms, FACTORS), 1e-2), 1e-6
-    for _ in range(EPOCHS):
+    for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // max(BATCH, len(rows)))):
         order = random.permutation(len(rows))
         for at in range(0, len(order), BATCH):
             own = order[at : at + BATCH]
@@ -100,7 +110,8 @@ def learn(rows: list[np.ndarray], labels: np.ndarray, terms: int = TERMS) -> Mac
             for k in range(FACTORS):
                 grad = np.bincount(where, off[doc] * (sums[doc, k] - v[:, k])) / len(own)
                 seen_v[used, k] += grad**2
-                vectors[used, k] -= STEP * grad / np.sqrt(seen_v[used, k])
+                vectors[used, k] *= 1 - VECTOR_DECAY
+                vectors[used, k] -= VECTOR_STEP * grad / np.sqrt(seen_v[used, k])
             grad = off.mean()
             seen_b += grad**2
             bias -= STEP * grad / np.sqrt(seen_b)

@@ -74,7 +74,7 @@ def stay(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> Data
     # The join leaves rows partitioned and sorted by (key, digest); the window needs no more.
     from pyspark.sql import Window
 
-    joined = left.join(right, [key, digest], "left_semi")
+    joined = left.join(right.hint("merge"), [key, digest], "left_semi")
     order = Window.partitionBy(key).orderBy(digest)
     return (
         joined.withColumn(mark, F.lag(digest).over(order))
@@ -104,7 +104,8 @@ def numbered_copies(rows: DataFrame) -> DataFrame:
 def with_results(docs: DataFrame, results: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _text, results...) for every row of ``docs``; ``results`` has _key, _digest, _copy.
 
-    Texts are shuffled once. Only where rows repeat id and text are the copies told apart.
+    Results grow with the documents, so they are merged at every size and never broadcast. Texts
+    are shuffled once. Only where rows repeat id and text are the copies told apart.
     """
     from pyspark.sql import Window
 
@@ -118,5 +119,5 @@ def with_results(docs: DataFrame, results: DataFrame, id_col: str, text_col: str
     if not results.where("_copy > 1").isEmpty():
         same = Window.partitionBy(*on).orderBy("_digest")
         left, on = left.withColumn("_copy", F.row_number().over(same)), [*on, "_copy"]
-        return left.join(results, on, "left").drop(*on)
-    return left.join(results.drop("_copy"), on, "left").drop(*on)
+        return left.join(results.hint("merge"), on, "left").drop(*on)
+    return left.join(results.drop("_copy").hint("merge"), on, "left").drop(*on)

@@ -56,7 +56,9 @@ def exact_groups(
         # The id and digest travel with the first block only.
         .withColumns({c: F.when(F.col("_pos") == 0, F.col(c)) for c in ("_id", "_sha")})
     )
-    named = name_blocks(rows, "_block", ("_row", "_pos"), "_name")
+    blocks = F.greatest(F.lit(1), F.ceil(F.length(text) / F.lit(block)))
+    total = docs.agg(F.coalesce(F.sum(blocks), F.lit(0))).first()[0]
+    named = name_blocks(rows, "_block", ("_row", "_pos"), "_name", total)
     base = named.where(F.col("_pos") == 0).select("_row", "_id", "_sha")
     ends, level = [], 0
     while True:

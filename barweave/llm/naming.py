@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barweave.storage import hand_over
@@ -33,23 +33,24 @@ def name_pairs(rows: DataFrame, columns: Sequence[str], name: str, least: int =
     return rows.join(keyed, match).drop(*[f"_n_{c}" for c in columns])
 
 
-def name_blocks(rows: DataFrame, block: str, tie: Sequence[str], name: str) -> DataFrame:
+def name_blocks(
+    rows: DataFrame, block: str, tie: Sequence[str], name: str, total: int
+) -> DataFrame:
     """Replace the wide column ``block`` by an integer ``name``; equal blocks, equal names.
 
     Every block is shuffled once, to the task that sorts the blocks of its hash; the first row of
     a run of equal blocks names the run. A block on very many rows is first spread over several
-    salts, whose first rows alone meet again. The result is a written table.
+    salts, whose first rows alone meet again. ``total`` is the number of rows. The result is a
+    written table.
     """
-    seen = Observation()
     hashed = rows.withColumn("_h", F.xxhash64(block))
     sizes = (
-        hashed.observe(seen, F.count(F.lit(1)).alias("rows"))
-        .groupBy("_h")
+        hashed.groupBy("_h")
         .agg(F.count("*").alias("_n"))
         .where(F.col("_n") > LEAST_HEAVY)
     )
     sizes = hand_over(sizes, "sizes")
-    least = max(LEAST_HEAVY, seen.get["rows"] // HEAVY_PART)
+    least = max(LEAST_HEAVY, total // HEAVY_PART)
     heavy = sizes.where(F.col("_n") > least).select(
         "_h", F.ceil(F.col("_n") / F.lit(least)).cast("int").alias("_salts")
     )

@@ -329,7 +329,7 @@ def near_groups(
         text_or_empty(text_col).alias("text"),
     )
     same = source["_id"].eqNullSafe(shas["_id"]) & (source["_sha"] == shas["_sha"])
-    texts = hand_over(source.join(shas, same).select("node", "text"), "texts")
+    texts = hand_over(source.join(shas.hint("merge"), same).select("node", "text"), "texts")
     stars = members.where("node != pivot").select("pivot", "node")
     nearest = stars.groupBy("node").agg(F.min("pivot").alias("pivot"))
     links, labels = None, None

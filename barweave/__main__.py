@@ -50,6 +50,7 @@ def arguments() -> argparse.Namespace:
     p.add_argument("--every", help="trigger interval, such as '1 second'")
     p.add_argument("--flags", action="store_true", help="add whether each model was right")
     p.add_argument("--drain", action="store_true", help="read what is there and stop")
+    p.add_argument("--scaler", help="bounds stored by preprocess, for models of scaled rows")
     p.add_argument("--limit", type=int, help="messages (topic) or files (folder) per trigger")
     _target(p)
     return parser.parse_args()
@@ -104,7 +105,8 @@ def main() -> None:
             stream = messages.topic_stream(spark, options)
         when = sinks.trigger(a.every, drain=a.drain)
         query = programs.score_stream(
-            stream, a.models, a.symbol, names, a.out, a.checkpoint, flags=a.flags, **when
+            stream, a.models, a.symbol, names, a.out, a.checkpoint,
+            flags=a.flags, scaler=a.scaler, **when
         )
         sinks.drained(query)
 

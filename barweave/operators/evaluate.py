@@ -170,7 +170,10 @@ def result_rows(predictions: DataFrame, keys: Sequence[str] = ("symbol",)) -> Da
 def last_rows(df: DataFrame, n: int = 10, key: Sequence[str] = ("symbol",)) -> DataFrame:
     """The ``n`` latest rows of each key.
 
-    Spark limits the rows per key before the exchange, so a task sends at most ``n`` rows per key.
+    Rows of one date are ordered by their other columns, so repeated dates give the same rows on
+    every run. Spark limits the rows per key before the exchange, so a task sends at most ``n``
+    rows per key.
     """
-    newest = Window.partitionBy(*key).orderBy(F.col("date").desc())
+    rest = [c for c in df.columns if c not in (*key, "date")]
+    newest = Window.partitionBy(*key).orderBy(F.col("date").desc(), *rest)
     return df.withColumn("_rank", F.row_number().over(newest)).where(F.col("_rank") <= n).drop("_rank")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+import itertools
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -145,29 +146,35 @@ def fit_all(
         vectors.unpersist()
 
 
-def fit_symbols(
-    df: DataFrame,
-    symbols: Sequence[str],
-    recipes: Callable[[], Mapping[str, Estimator]],
-    parallelism: int = 1,
-) -> dict[str, dict[str, PipelineModel]]:
-    """Every recipe for every named symbol.
+def for_each_symbol(
+    symbols: Iterable[str], work: Callable[[int, str], None], parallelism: int = 4
+) -> None:
+    """Run ``work(number, symbol)`` for every symbol, a few at a time.
 
-    ``symbols`` is a list somebody configured, not a column: the loop is over models to build, and
-    every fit inside is distributed. ``df`` should be a table, so that the filter prunes files.
+    The loop is over models to build; every job inside is distributed. ``work`` stores what it
+    makes, so nothing grows on the driver with the number of symbols.
     """
-    return {
-        s: fit_all(training_rows(df.where(F.col("symbol") == s)), recipes(), parallelism=parallelism)
-        for s in symbols
-    }
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        for some in itertools.batched(enumerate(symbols), 16 * parallelism):
+            for _ in pool.map(lambda item: work(*item), some):
+                pass
+
+
+def _preparation(stage: Transformer) -> tuple:
+    """What a preparing stage does, without the name it happens to have."""
+    settings = {p.name: stage.getOrDefault(p) for p in stage.params if stage.isDefined(p)}
+    return type(stage).__name__, *[f"{k}={v}" for k, v in sorted(settings.items())]
 
 
 def combine(models: Mapping[str, PipelineModel]) -> PipelineModel:
     """One pipeline with all classifiers behind a single preparation.
 
-    The models must come from one ``fit_all`` call, hence share their preparing stages.
+    The models must share their preparing stages, as those of one ``fit_all`` call do.
     """
     first = next(iter(models.values()))
+    plans = {tuple(map(_preparation, m.stages[:-1])) for m in models.values()}
+    if len(plans) > 1:
+        raise ValueError("these models prepare their rows differently: score them apart")
     return PipelineModel(stages=[*first.stages[:-1], *[m.stages[-1] for m in models.values()]])
 
 

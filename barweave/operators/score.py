@@ -6,9 +6,11 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barweave.functions import columns as C
 from barweave.schema import FAILED, FEATURES
+from barweave.storage import new_path
 
 # A model for the functions below: adds the named prediction column and nothing else.
 Predictor = Callable[[DataFrame, str], DataFrame]
@@ -104,13 +106,24 @@ def route(
 ) -> DataFrame:
     """Score each row with the model its ``model`` column names.
 
-    A missing name means ``default``; an unknown name gives the failure mark. Each branch filters
-    before it scores, so a row meets one model only; ``requests`` should be a table, because every
-    branch reads it.
+    A missing name means ``default``; an unknown name gives the failure mark. ``requests`` are
+    stored by the model they go to, so that each branch reads its own files only.
     """
-    name = F.coalesce(F.col("model"), F.lit(default))
-    unknown = requests.where(~F.coalesce(name.isin(*models), F.lit(False)))
+    known = F.col("model").isNull() | F.col("model").isin(*models)
+    goes_to = F.when(known, F.coalesce(F.col("model"), F.lit(default)))
+    path = new_path(requests.sparkSession, "requests")
+    requests.withColumn("_goes_to", goes_to).write.partitionBy("_goes_to").parquet(path)
+    schema = T.StructType([*requests.schema.fields, T.StructField("_goes_to", T.StringType())])
+    stored = requests.sparkSession.read.schema(schema).parquet(path)
     parts = [
-        requests.where(name == m).transform(score) for m, score in models.items()
-    ] + [unknown.withColumn("prediction", F.lit(FAILED))]
-    return reduce(DataFrame.unionByName, parts)
+        stored.where(F.col("_goes_to") == m).drop("_goes_to").transform(score)
+        for m, score in models.items()
+    ]
+    unknown = stored.where(F.col("_goes_to").isNull()).drop("_goes_to")
+    return reduce(DataFrame.unionByName, [*parts, unknown.withColumn("prediction", F.lit(FAILED))])
+
+
+def unknown_models(requests: DataFrame, models: Sequence[str]) -> DataFrame:
+    """How many requests name each model that does not exist."""
+    unknown = requests.where(F.col("model").isNotNull() & ~F.col("model").isin(*models))
+    return unknown.groupBy("model").agg(F.count("*").alias("n_requests"))

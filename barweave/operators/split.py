@@ -47,5 +47,6 @@ def random_part(*key: Column, share: float = TRAIN_SHARE, seed: int = 42) -> Col
     Unlike a sampled split it does not depend on the partitioning and needs no sort, so a retried
     task or a second run puts every row on the same side.
     """
-    buckets = 1_000_000
-    return F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(buckets)) < round(share * buckets)
+    text = F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in key])
+    digits = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    return digits < round(share * 2**32)

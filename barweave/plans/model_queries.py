@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from barweave import storage
 from barweave.operators import evaluate, features, models, score, sequences, split
+from barweave.plans import programs
 from barweave.plans.queries import feature_rows, feature_table, gapped, query, rounded_features
 from barweave.schema import FEATURES, MODEL_TITLES
 from barweave.sources import bars as B
@@ -57,8 +58,7 @@ def train_gbt(spark, sf):
 
 @query
 def train_gbt_sampled(spark, sf):
-    """Shrinkage and sampling as by default, with a tenth of the rounds."""
-    return fitted_and_scored(spark, sf, {"xgb": models.sampled_boosted_trees(rounds=30)})
+    return fitted_and_scored(spark, sf, {"xgb": models.sampled_boosted_trees()})
 
 
 @query
@@ -86,16 +86,18 @@ def train_all(spark, sf):
     path = storage.new_path(spark, "bars")
     rows.write.partitionBy("symbol").parquet(path)
     table = spark.read.parquet(path)
-    symbols = ["click", "error", "purchase", "signup", "view"]
-    fitted = models.fit_symbols(split.train_rows(table), symbols, standard_recipes, parallelism=3)
-    parts = [
-        models.predict(split.test_rows(table.where(F.col("symbol") == s)), fitted[s])
-        for s in symbols
-    ]
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
-    return score.long_predictions(scored, list(standard_recipes()))
+    out = storage.new_path(spark, "predictions")
+
+    def one(number: int, symbol: str) -> None:
+        own = table.where(F.col("symbol") == symbol)
+        training = models.training_rows(split.train_rows(own))
+        fitted = models.fit_all(training, standard_recipes())
+        scored = models.predict(split.test_rows(own), fitted)
+        long = score.long_predictions(scored, list(standard_recipes()))
+        long.write.parquet(f"{out}/part={number}")
+
+    models.for_each_symbol(programs.symbols_of(table), one)
+    return spark.read.parquet(out).drop("part")
 
 
 @query
@@ -108,13 +110,20 @@ def evaluate_all(spark, sf):
 
 @query
 def batch_predict(spark, sf):
-    """Class and probability of the test rows; the class is the probability over one half."""
+    """Class and probability of the test rows, against the logistic function of the stored
+    coefficients worked out from the columns."""
     rows = marked_rows(spark, sf)
     fitted = models.fit_all(
-        models.training_rows(split.train_rows(rows)), {"lr": models.logistic(max_iter=20)}
+        models.training_rows(split.train_rows(rows)), {"lr": models.logistic()}
     )
     scored = models.predict_probability(split.test_rows(rows), "lr", fitted["lr"])
-    agrees = F.col("lr_pred") == (F.col("lr_probability") > 0.5).cast("double")
+    stage = fitted["lr"].stages[-1]
+    margin = F.lit(float(stage.intercept))
+    for name, weight in zip(FEATURES, stage.coefficients.toArray(), strict=True):
+        margin = margin + F.col(name) * F.lit(float(weight))
+    worked_out = 1 / (1 + F.exp(-margin))
+    same = F.abs(worked_out - F.col("lr_probability")) < 1e-9
+    agrees = same & (F.col("lr_pred") == (worked_out > 0.5).cast("double"))
     return scored.select("symbol", "date", "target", agrees.alias("consistent"))
 
 
@@ -123,7 +132,7 @@ def model_roundtrip(spark, sf):
     """A stored and reloaded pipeline predicts what the original predicts."""
     rows = marked_rows(spark, sf)
     fitted = models.fit_all(
-        models.training_rows(split.train_rows(rows)), {"rf": models.random_forest(trees=20)}
+        models.training_rows(split.train_rows(rows)), {"rf": models.random_forest()}
     )
     root = storage.new_path(spark, "models")
     models.save(fitted["rf"], root, "all", "rf")
@@ -137,11 +146,7 @@ def model_roundtrip(spark, sf):
 def multi_model_chain(spark, sf):
     """Fitted models in one chain give the rows and values that joined branches give."""
     rows = marked_rows(spark, sf)
-    recipes = {
-        "lr": models.logistic(max_iter=20),
-        "rf": models.random_forest(trees=20),
-        "gbt": models.boosted_trees(rounds=5),
-    }
+    recipes = standard_recipes()
     fitted = models.fit_all(models.training_rows(split.train_rows(rows)), recipes)
     test = split.test_rows(rows)
     branches = {n: _branch(n, m) for n, m in fitted.items()}
@@ -165,7 +170,7 @@ def udf_score(spark, sf):
     """In-engine scoring of rows with gaps: absent averages count as 0, absent prices fail."""
     rows = marked_rows(spark, sf)
     fitted = models.fit_all(
-        models.training_rows(split.train_rows(rows)), {"lr": models.logistic(max_iter=20)}
+        models.training_rows(split.train_rows(rows)), {"lr": models.logistic()}
     )
     holes = gapped(split.test_rows(rows)).fillna(0.0, subset=["sma5", "sma10", "ret1", "ret5"])
     scored = holes.transform(score.score_with(_branch("lr", fitted["lr"])))
@@ -194,7 +199,7 @@ def route_by_model(spark, sf):
 @query
 def minmax_stage(spark, sf):
     """Scaling inside the pipeline: over all rows, a constant column gives one half."""
-    table = feature_table(spark, sf).withColumn("flat", F.lit(7.0))
+    table = storage.hand_over(feature_table(spark, sf).withColumn("flat", F.lit(7.0)), "features")
     columns = [*FEATURES, "flat"]
     scaled = Pipeline(stages=models.scaled_stages(columns)).fit(table).transform(table)
     values = scaled.withColumn("_v", vector_to_array("features"))

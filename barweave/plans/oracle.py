@@ -250,12 +250,6 @@ FROM placed GROUP BY symbol""",
   place - 5 <= floor((n - 5) * CAST(0.9 AS DOUBLE)) AS is_train FROM placed WHERE place > 5""",
     "rule_scores": f"WITH {_LONG} SELECT * FROM predictions",
     "multi_model_join": f"WITH {_WIDE} SELECT * FROM wide",
-    "multi_model_join_by_date": f"""WITH {_EVENT},
-feat AS (SELECT symbol, date, close, {_derived('close', 'date')} FROM event_bars
-         WHERE symbol IN ('click', 'view'))
-SELECT a.date, a.target, CAST(a.close > a.sma5 AS INTEGER) AS lr_pred,
-  CAST(b.ret1 > 0 AS INTEGER) AS rf_pred, CAST(c.ret5 > 0 AS INTEGER) AS gbt_pred
-FROM feat a JOIN feat b ON a.date = b.date JOIN feat c ON a.date = c.date""",
     "multi_model_rules": f"WITH {_WIDE} SELECT * FROM wide",
     "correct_flags": f"""WITH {_WIDE} SELECT symbol, date, lr_pred = target AS lr_correct,
   rf_pred = target AS rf_correct, gbt_pred = target AS gbt_correct FROM wide""",
@@ -301,7 +295,7 @@ SELECT symbol AS supplier, * EXCLUDE (symbol) FROM supplier_bars,
   (VALUES ('csv'), ('json'), ('parquet')) AS f(format)""",
     "union_symbols": """SELECT event_type AS symbol, CAST(ts AS DATE) AS date,
   max(value) AS close, count(*) AS volume FROM events
-WHERE event_type IN ('click', 'view') GROUP BY 1, 2""",
+WHERE event_type IS NOT NULL GROUP BY 1, 2""",
     "publish_json": f"""WITH {_FEAT}
 SELECT * EXCLUDE (symbol) REPLACE (CAST(date AS VARCHAR) AS date) FROM feat""",
     "publish_typed": f"""WITH {_SUPPLIER} SELECT CAST(date AS VARCHAR) AS date, {_PRICES},
@@ -342,6 +336,14 @@ steps AS (SELECT symbol, date, place, {_vector_text()} AS step FROM placed)
 SELECT symbol, date, CASE WHEN place >= 5 THEN string_agg(step, ';') OVER (
   PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) END AS sequence
 FROM steps""",
+    "stream_hot_sequences": """WITH steps AS (
+  SELECT event_type AS symbol, event_id AS seq, CAST(CAST(value AS DECIMAL(38,6)) AS VARCHAR) AS step
+  FROM events)
+SELECT symbol, seq, CASE WHEN row_number() OVER (PARTITION BY symbol ORDER BY seq) >= 3
+  THEN string_agg(step, ';') OVER (
+    PARTITION BY symbol ORDER BY seq ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) END AS sequence
+FROM steps""",
+    "stream_score_fitted": f"""WITH {_PLACED}{_TEST}SELECT symbol, date, target, TRUE AS same FROM test""",
     "stream_score_map": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
     "model_roundtrip": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
     "multi_model_chain": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
@@ -356,6 +358,9 @@ requests AS (
 SELECT symbol, date, model, CASE coalesce(model, 'log') WHEN 'log' THEN CAST(close > sma5 AS INTEGER)
   WHEN 'rf' THEN CAST(ret1 > 0 AS INTEGER) WHEN 'xgb' THEN CAST(ret5 > 0 AS INTEGER)
   WHEN 'lstm' THEN CAST(close > sma10 AS INTEGER) ELSE -1 END AS prediction FROM requests""",
+    "random_split": f"""WITH {_FEAT} SELECT symbol, date,
+  CAST('0x' || substr(md5('42|' || CAST(symbol AS VARCHAR) || '|' || CAST(date AS VARCHAR)), 1, 8)
+       AS BIGINT) < round(0.9 * 4294967296) AS is_train FROM feat""",
     "minmax_stage": f"""WITH {_RAW_FEAT} SELECT symbol, date, {_scaled(over='()', rounded=tuple(_FEATURES))},
   CAST(0.5 AS DOUBLE) AS flat FROM feat""",
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,9 +15,9 @@ from barweave import storage
 from barweave.operators import clean, evaluate, features, models, score, sequences, split
 from barweave.operators.ordered import OrderedRows
 from barweave.plans.preprocess import prepare_raw
-from barweave.schema import FEATURES, MODEL_TITLES
+from barweave.schema import FEATURES, MODEL_TITLES, PRICE_COLUMNS
 from barweave.sources import files, messages
-from barweave.streaming import scoring, sinks
+from barweave.streaming import scoring, sinks, state
 
 # The models a run can name, with their default settings.
 RECIPES: dict[str, Callable[[], Estimator]] = {
@@ -27,7 +28,6 @@ RECIPES: dict[str, Callable[[], Estimator]] = {
 }
 SEQUENCE_LENGTH = 5
 Settings = Mapping[str, Mapping[str, float]]
-MAX_SYMBOLS = 1000
 
 
 def preprocess(
@@ -43,12 +43,18 @@ def preprocess(
 
     ``scaler`` also stores the scaling bounds of the training rows, one row per symbol and column.
     """
-    table = prepare_raw(files.read_symbols(spark, paths), fit_on=fit_on, scaled=scaled)
-    table.write.mode("overwrite").partitionBy("symbol").parquet(out)
-    if scaler:
-        written = read_table(spark, out)
-        fitted = written if fit_on == "all" else written.where("is_train")
-        features.scaler_params(fitted).write.mode("overwrite").parquet(scaler)
+    raw = files.read_symbols(spark, paths)
+    if not scaler:
+        table = prepare_raw(raw, fit_on=fit_on, scaled=scaled)
+        table.write.mode("overwrite").partitionBy("symbol").parquet(out)
+        return
+    # The bounds come from the rows before scaling; serving applies the same ones.
+    plain = storage.hand_over(prepare_raw(raw, scaled=False), "unscaled")
+    fitted = plain if fit_on == "all" else plain.where("is_train")
+    features.scaler_params(fitted).write.mode("overwrite").parquet(scaler)
+    if scaled:
+        plain = features.scale_with(plain, spark.read.parquet(scaler))
+    plain.write.mode("overwrite").partitionBy("symbol").parquet(out)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -56,26 +62,45 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("symbol", F.col("symbol").cast("string"))
 
 
-def symbols_of(table: DataFrame) -> list[str]:
-    """The symbols of a table that gets one set of models each. More than a person would list are
-    refused: such a table wants one model over all symbols."""
-    found = [r.symbol for r in table.select("symbol").distinct().limit(MAX_SYMBOLS + 1).collect()]
-    if len(found) > MAX_SYMBOLS:
-        raise ValueError(f"more than {MAX_SYMBOLS} symbols: name the ones to train")
-    return sorted(found)
+def symbols_of(table: DataFrame) -> Iterator[str]:
+    """The symbols of a table in order, fetched piece by piece."""
+    names = table.select("symbol").distinct().orderBy("symbol")
+    return (r.symbol for r in names.toLocalIterator())
 
 
-def sequence_table(table: DataFrame, length: int = SEQUENCE_LENGTH) -> DataFrame:
+def sequence_scaler(table: DataFrame, length: int) -> DataFrame:
+    """Scaling bounds for windows: from the rows that no test window has as its label."""
+    bars = OrderedRows.arrange(table.drop("is_train"), ("symbol",), ("date", *PRICE_COLUMNS))
+    marked = split.chronological(bars, skip=length).rows()
+    return features.scaler_params(marked.where(F.coalesce("is_train", F.lit(True))))
+
+
+def sequence_table(
+    table: DataFrame, scaler: DataFrame, length: int = SEQUENCE_LENGTH
+) -> DataFrame:
     """Windows of scaled features with their own chronological mark."""
-    bars = OrderedRows.arrange(table.drop("is_train"), ("symbol",), ("date",))
-    marked = split.chronological(bars, skip=length)
-    scaled = features.scale(marked, FEATURES, F.coalesce("is_train", F.lit(True)))
-    windows = sequences.complete_sequences(sequences.add_sequences(scaled, length).rows())
+    bars = OrderedRows.arrange(table.drop("is_train"), ("symbol",), ("date", *PRICE_COLUMNS))
+    marked = split.chronological(bars, skip=length).rows()
+    by = ("date", *PRICE_COLUMNS)
+    scaled = features.scale_with(marked, scaler)
+    windows = sequences.add_sequences(OrderedRows.arrange(scaled, ("symbol",), by), length).rows()
     return models.sequence_vectors(
-        windows.select("symbol", "date", "target", "sequence", "is_train")
+        sequences.complete_sequences(windows).select(
+            "symbol", "date", "target", "sequence", "is_train"
+        )
     ).drop("sequence")
 
 
+def scaler_path(root: str) -> str:
+    """Where the scaling bounds of a run's sequence models are kept."""
+    return f"{root.rstrip('/')}/sequence_scaler"
+
+
+def window_length(model: PipelineModel) -> int:
+    """Rows in the windows of a stored sequence model."""
+    return model.stages[-1].getLayers()[0] // len(FEATURES)
+
+
 def _one_symbol(
     rows: DataFrame,
     windows: DataFrame | None,
@@ -124,13 +149,19 @@ def train(
     length = settings.get("lstm", {}).get("length", SEQUENCE_LENGTH)
     windows = None
     if "lstm" in names:
-        windows = storage.hand_over(sequence_table(table, length), "windows")
-    parts = []
-    for symbol in symbols or symbols_of(table):
+        sequence_scaler(table, length).write.mode("overwrite").parquet(scaler_path(root))
+        scaler = spark.read.parquet(scaler_path(root))
+        windows = storage.hand_over(sequence_table(table, scaler, length), "windows")
+    out = storage.new_path(spark, "predictions")
+
+    def one(number: int, symbol: str) -> None:
         own = F.col("symbol") == symbol
         own_windows = None if windows is None else windows.where(own)
-        parts.append(_one_symbol(table.where(own), own_windows, names, settings, root, symbol))
-    return storage.hand_over(reduce(DataFrame.unionByName, parts), "predictions")
+        found = _one_symbol(table.where(own), own_windows, names, settings, root, symbol)
+        found.write.parquet(f"{out}/part={number}")
+
+    models.for_each_symbol(symbols or symbols_of(table), one)
+    return spark.read.parquet(out).drop("part")
 
 
 def report(predictions: DataFrame, out: str) -> DataFrame:
@@ -148,11 +179,21 @@ def report(predictions: DataFrame, out: str) -> DataFrame:
 def evaluate_stored(
     spark: SparkSession, table_path: str, root: str, symbol: str, names: Sequence[str]
 ) -> DataFrame:
-    """Support-weighted comparison of stored models on the test rows of one symbol."""
+    """Support-weighted comparison of stored models on the test rows of one symbol; sequence models
+    on their test windows."""
     table = read_table(spark, table_path).where(F.col("symbol") == symbol)
     stored = {n: models.load(root, symbol, n) for n in names}
-    scored = models.predict(split.test_rows(table), stored)
-    long = score.long_predictions(scored, list(names))
+    plain = {n: m for n, m in stored.items() if n != "lstm"}
+    parts = []
+    if plain:
+        scored = models.predict(split.test_rows(table), plain)
+        parts.append(score.long_predictions(scored, list(plain)))
+    if "lstm" in stored:
+        scaler = spark.read.parquet(scaler_path(root))
+        windows = sequence_table(table, scaler, window_length(stored["lstm"]))
+        scored = models.predict(split.test_rows(windows), {"lstm": stored["lstm"]})
+        parts.append(score.long_predictions(scored, ["lstm"]))
+    long = reduce(DataFrame.unionByName, parts)
     return evaluate.comparison_table(long, weighted=True).replace(MODEL_TITLES, subset=["model"])
 
 
@@ -185,20 +226,54 @@ def score_stream(
     checkpoint: str,
     *,
     flags: bool = False,
+    scaler: str | None = None,
     **when: object,
 ) -> StreamingQuery:
     """Score messages of one symbol with its stored models.
 
-    Predictions, dead letters and per-batch metrics land in folders under ``out``.
+    Predictions, dead letters and per-batch metrics land in folders under ``out``. ``scaler`` names
+    the bounds stored by ``preprocess`` for models trained on scaled rows. Sequence models get the
+    last rows scaled with their own bounds, remembered under ``out``; they answer NULL until there
+    are enough.
     """
+    spark = stream.sparkSession
     stored = {n: models.load(root, symbol, n) for n in names}
+    plain = {n: m for n, m in stored.items() if n != "lstm"}
+    net = stored.get("lstm")
+    own = {c: f"_own_{c}" for c in FEATURES}
+
+    def prepare(batch: DataFrame, batch_id: int) -> DataFrame:
+        rows = clean.default_derived(batch).withColumn("symbol", F.lit(symbol))
+        bounds = None if scaler is None else spark.read.parquet(scaler)
+        if net is None:
+            return rows if bounds is None else features.scale_with(rows, bounds)
+        if bounds is not None:
+            rows = features.scale_with(rows, bounds)
+        # The windows take columns of their own, so that the other models see theirs.
+        kept = rows.withColumns({f"_in_{c}": F.col(c) for c in FEATURES})
+        scaled = features.scale_with(kept, spark.read.parquet(scaler_path(root)))
+        scaled = scaled.withColumns({own[c]: F.col(c) for c in FEATURES})
+        scaled = scaled.withColumns({c: F.col(f"_in_{c}") for c in FEATURES})
+        return remember(scaled.drop(*[f"_in_{c}" for c in FEATURES]), batch_id)
+
+    length = SEQUENCE_LENGTH if net is None else window_length(net)
+    remember = state.windows_of(f"{out}/remembered", length, list(own.values()))
+
+    def predict(df: DataFrame) -> DataFrame:
+        found = models.predict(df, plain) if plain else df
+        if net is not None:
+            found = models.predict_sequences(found, "lstm", net, length * len(FEATURES))
+        return found
+
     write = scoring.scoring_writer(
-        lambda df: models.predict(clean.default_derived(df), stored),
+        predict,
         names,
         f"{out}/predictions",
         dead_letters=f"{out}/dead_letters",
         metrics=f"{out}/metrics",
         flags=flags,
+        keep=("symbol", "date"),
         required=("open", "high", "low", "close", "volume"),
+        prepare=prepare,
     )
     return sinks.each_batch(scoring.bars_from_messages(stream), write, checkpoint, **when)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from barweave import storage
 from barweave.functions import columns as C
 from barweave.operators import clean, evaluate, features, models, score, sequences, split
-from barweave.operators.ordered import SLAB_ROWS, OrderedRows
+from barweave.operators.ordered import OrderedRows
 from barweave.plans.preprocess import prepare
 from barweave.schema import (
     MODEL_TITLES,
@@ -31,6 +31,9 @@ QUERIES: dict[str, Query] = {}
 # comparison. Everything else is compared to the last bit.
 AVERAGES = ("sma5", "sma10")
 
+# Rows of a slab in the queries over event types, whose few keys hold the whole table.
+TYPE_SLAB_ROWS = 500
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -137,8 +140,7 @@ def tick_features(spark, sf):
 def _event_type_ticks(spark: SparkSession, sf: str) -> OrderedRows:
     """Events as one price series per event type: a handful of keys hold everything.
 
-    The slab length follows the table, so that these keys count as heavy at any scale, and never
-    exceeds what one task takes by default.
+    The short slab makes these keys count as heavy at any scale.
     """
     rows = B.table(spark, sf, "events").select(
         F.col("event_type").alias("symbol"),
@@ -146,8 +148,7 @@ def _event_type_ticks(spark: SparkSession, sf: str) -> OrderedRows:
         F.col("event_id").alias("seq"),
         F.col("value").alias("price"),
     )
-    slab = min(SLAB_ROWS, max(100, rows.count() // 16))
-    return OrderedRows.arrange(rows, ("symbol",), ("ts", "seq"), slab_rows=slab)
+    return OrderedRows.arrange(rows, ("symbol",), ("ts", "seq"), slab_rows=TYPE_SLAB_ROWS)
 
 
 @query
@@ -357,15 +358,6 @@ def multi_model_join(spark, sf):
     return score.join_predictions(table, rule_models())
 
 
-@query
-def multi_model_join_by_date(spark, sf):
-    """Joined on the date alone, a repeated date multiplies: one row per combination."""
-    bars = features.add_features(B.ordered_daily(B.event_bars(spark, sf))).rows()
-    two = rounded(bars.where(F.col("symbol").isin("click", "view")), *AVERAGES)
-    table = storage.hand_over(two, "features")
-    return score.join_predictions(table, rule_models(), on=("date",))
-
-
 @query
 def multi_model_rules(spark, sf):
     wide = score.chain(rounded_features(spark, sf), rule_models())
@@ -481,7 +473,7 @@ def read_dispatch(spark, sf):
 
 @query
 def union_symbols(spark, sf):
-    """Two data sets under their own names; features then follow each name."""
+    """One data set for each event type, all under their own names."""
     events = B.table(spark, sf, "events").select(
         F.to_date("ts").alias("date"), F.col("value").alias("price"), "event_type"
     )
@@ -489,7 +481,7 @@ def union_symbols(spark, sf):
         name: events.where(F.col("event_type") == name)
         .groupBy("date")
         .agg(F.max("price").alias("close"), F.count("*").alias("volume"))
-        for name in ("click", "view")
+        for name in B.event_types(spark, sf)
     }
     return files.union_symbols(total)
 

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from barweave import storage
 from barweave.operators import features, models, score, sequences, split
 from barweave.plans.queries import (
+    TYPE_SLAB_ROWS,
     feature_rows,
     feature_table,
     keyed_messages,
@@ -24,9 +25,9 @@ from barweave.plans.queries import (
 )
 from barweave.schema import FEATURES, message_schema, to_internal
 from barweave.sources import messages
-from barweave.sources.bars import ordered_daily
+from barweave.sources.bars import event_types, ordered_daily, table
 from barweave.streaming import scoring, sinks
-from barweave.streaming.state import stream_sequences as sequences_of
+from barweave.streaming.state import windows_of
 
 DRAIN = sinks.trigger(drain=True)
 
@@ -132,28 +133,56 @@ def stream_metrics(spark, sf):
     return totals.drop("max_latency_ms").withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query
-def stream_sequences(spark, sf):
-    """The last five feature rows per symbol, remembered over a restart between two halves.
-
-    Daily bars have one row per symbol and day, which bounds a symbol's share of each half.
-    """
-    rows = storage.hand_over(rounded_features(spark, sf), "features")
-    early = F.year("date") < 1998
-    topic = publish(messages.as_messages(rows.where(early)), "topic")
+def _windows_in_halves(spark: SparkSession, early: DataFrame, late: DataFrame, windows) -> DataFrame:
+    """Drain a topic of the early rows, add the late ones and drain again; all rows of the sink."""
+    topic = publish(messages.as_messages(early), "topic")
     sink, progress = storage.new_path(spark, "sink"), storage.new_path(spark, "progress")
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        sinks.write_batch(windows(batch, batch_id), sink, batch_id)
+
     def drain() -> None:
         parsed = messages.parse(messages.folder_stream(spark, topic), SYMBOL_SCHEMA)
-        stream = sequences_of(dated(to_internal(parsed)))
-        sinks.drained(sinks.to_files(stream, sink, progress, **DRAIN))
+        sinks.drained(sinks.each_batch(dated(to_internal(parsed)), write, progress, **DRAIN))
+
+    drain()
+    messages.publish_folder(messages.as_messages(late), topic)
+    drain()
+    return written(spark, sink)
+
 
-    with sinks.state_partitions(spark):
-        drain()
-        messages.publish_folder(messages.as_messages(rows.where(~early)), topic)
-        drain()
+@query
+def stream_sequences(spark, sf):
+    """The last five feature rows per symbol, remembered over a restart between two halves."""
+    rows = storage.hand_over(rounded_features(spark, sf), "features")
+    early = F.year("date") < 1998
+    windows = windows_of(storage.new_path(spark, "state"))
+    found = _windows_in_halves(spark, rows.where(early), rows.where(~early), windows)
     text = sequences.as_text(F.col("sequence"))
-    return written(spark, sink).select("symbol", "date", text.alias("sequence"))
+    return found.select("symbol", "date", text.alias("sequence"))
+
+
+@query
+def stream_hot_sequences(spark, sf):
+    """Windows of three prices over all events under their few types, which count as heavy keys."""
+    kinds = F.array(*[F.lit(t) for t in event_types(spark, sf)])
+    rows = table(spark, sf, "events").select(
+        F.array_position(kinds, F.col("event_type")).alias("symbol"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"),
+        F.col("event_id").cast("double").alias("open"),
+        F.col("value").alias("close"),
+    )
+    rows = storage.hand_over(rows, "events")
+    early = F.col("open") < rows.agg(F.avg("open")).first()[0]
+    windows = windows_of(
+        storage.new_path(spark, "state"), 3, ["close"], ["open"], slab_rows=TYPE_SLAB_ROWS
+    )
+    found = _windows_in_halves(spark, rows.where(early), rows.where(~early), windows)
+    return found.select(
+        F.element_at(kinds, F.col("symbol").cast("int")).alias("symbol"),
+        F.col("open").cast("long").alias("seq"),
+        sequences.as_text(F.col("sequence")).alias("sequence"),
+    )
 
 
 @query
@@ -177,9 +206,9 @@ def stream_prediction_json(spark, sf):
 def stream_sequence_score(spark, sf):
     """Serving a sequence model: stored scaling, remembered rows, fitted net. Every row gets what
     the table gets: nothing before the fifth row of a symbol, then the net's answer."""
-    table = storage.hand_over(feature_table(spark, sf), "features")
-    params = storage.hand_over(features.scaler_params(table), "scaler")
-    scaled = features.scale_with(table, params)
+    bars = storage.hand_over(feature_table(spark, sf), "features")
+    params = storage.hand_over(features.scaler_params(bars), "scaler")
+    scaled = features.scale_with(bars, params)
     windows = storage.hand_over(
         sequences.add_sequences(ordered_daily(scaled), 5, include_current=True)
         .rows()
@@ -187,17 +216,21 @@ def stream_sequence_score(spark, sf):
         "windows",
     )
     training = models.sequence_vectors(sequences.complete_sequences(windows))
-    net = models.sequence_net(epochs=10)
+    net = models.sequence_net()
     fitted = models.fit_all(training, {"lstm": net}, stages=list)["lstm"]
     width = 5 * len(FEATURES)
 
-    topic = publish(messages.as_messages(table), "topic")
+    topic = publish(messages.as_messages(bars), "topic")
     parsed = dated(to_internal(messages.parse(messages.folder_stream(spark, topic), SYMBOL_SCHEMA)))
-    stream = models.predict_sequences(
-        sequences_of(features.scale_with(parsed, params)), "lstm", fitted, width
-    ).drop("sequence")
-    with sinks.state_partitions(spark):
-        path = run(spark, lambda p, c: sinks.to_files(stream, p, c, **DRAIN))
+    windows_for = windows_of(storage.new_path(spark, "state"))
+    path = storage.new_path(spark, "sink")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        scaled_batch = features.scale_with(batch, params)
+        found = models.predict_sequences(windows_for(scaled_batch, batch_id), "lstm", fitted, width)
+        sinks.write_batch(found.drop("sequence"), path, batch_id)
+
+    sinks.drained(sinks.each_batch(parsed, write, storage.new_path(spark, "progress"), **DRAIN))
     batch = models.predict_sequences(windows, "lstm", fitted, width)
     batch = batch.select("symbol", "date", F.col("lstm_pred").alias("batch_pred"))
     both = written(spark, path).join(batch, ["symbol", "date"], "full")
@@ -214,13 +247,44 @@ def stream_score_map(spark, sf):
     """A fitted pipeline applied to the stream agrees with the same pipeline on the table."""
     rows = storage.hand_over(split.chronological(feature_rows(spark, sf)).rows(), "marked")
     fitted = models.fit_all(
-        models.training_rows(split.train_rows(rows)), {"rf": models.random_forest(trees=20)}
+        models.training_rows(split.train_rows(rows)), {"rf": models.random_forest()}
     )
     test = split.test_rows(rows)
     topic = publish(messages.as_messages(test), "topic")
     parsed = messages.parse(messages.folder_stream(spark, topic), SYMBOL_SCHEMA)
     stream = models.predict(dated(to_internal(parsed)), fitted).select("symbol", "date", "rf_pred")
     path = run(spark, lambda p, c: sinks.to_files(stream, p, c, **DRAIN))
-    table = models.predict(test, fitted).select("symbol", "date", F.col("rf_pred").alias("batch_pred"))
-    both = written(spark, path).join(table, ["symbol", "date"], "full")
+    again = models.predict(test, fitted).select("symbol", "date", F.col("rf_pred").alias("batch_pred"))
+    both = written(spark, path).join(again, ["symbol", "date"], "full")
     return both.select("symbol", "date", F.col("rf_pred").eqNullSafe(F.col("batch_pred")).alias("same"))
+
+
+@query
+def stream_score_fitted(spark, sf):
+    """Three fitted models in one chain inside ``foreachBatch``; every prediction with its symbol
+    equals the one for the table."""
+    rows = storage.hand_over(split.chronological(feature_rows(spark, sf)).rows(), "marked")
+    recipes = {
+        "lr": models.logistic(),
+        "rf": models.random_forest(),
+        "gbt": models.boosted_trees(),
+    }
+    fitted = models.fit_all(models.training_rows(split.train_rows(rows)), recipes)
+    test = split.test_rows(rows)
+    topic = publish(messages.as_messages(test), "topic")
+    sink = storage.new_path(spark, "predictions")
+    write = scoring.scoring_writer(
+        lambda df: models.predict(df, fitted), list(recipes), sink, keep=("symbol", "date")
+    )
+    stream = scoring.bars_from_messages(
+        messages.folder_stream(spark, topic, files_per_trigger=2), SYMBOL_SCHEMA
+    )
+    sinks.drained(sinks.each_batch(stream, write, storage.new_path(spark, "progress"), **DRAIN))
+    batch = models.predict(test, fitted).select(
+        "symbol", "date", *[F.col(f"{n}_pred").alias(f"{n}_batch") for n in recipes]
+    )
+    both = dated(written(spark, sink)).join(batch, ["symbol", "date"], "full")
+    same = F.lit(True)
+    for n in recipes:
+        same = same & F.col(f"{n}_pred").isin(0.0, 1.0) & (F.col(f"{n}_pred") == F.col(f"{n}_batch"))
+    return both.select("symbol", "date", "target", F.coalesce(same, F.lit(False)).alias("same"))

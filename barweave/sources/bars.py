@@ -52,19 +52,32 @@ def event_bars(spark: SparkSession, folder: str) -> DataFrame:
 def supplier_bars(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars per supplier; the price is the extended price, the volume the quantity.
 
-    A day's trades are ordered by (l_orderkey, l_linenumber, price in cents): line number and
-    cents share the lower half, prices from ten million on rank alike within one order line.
+    A day's trades are ordered by (l_orderkey, l_linenumber, price). Rows of one order line are
+    reduced to their lowest and highest price first, so any price ranks exactly and both
+    aggregations hash.
     """
-    cents = F.least(F.floor(F.col("l_extendedprice") * 100 + 0.5), F.lit(10**9 - 1))
-    line = F.col("l_linenumber").cast("long") * F.lit(10**9) + cents
     trades = table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("symbol"),
         F.to_date("l_shipdate").alias("date"),
         F.col("l_extendedprice").alias("price"),
         F.col("l_quantity").alias("amount"),
-        _packed(F.col("l_orderkey"), line).alias("order"),
+        _packed(F.col("l_orderkey"), F.col("l_linenumber").cast("long")).alias("order"),
+    )
+    return line_bars(trades)
+
+
+def line_bars(trades: DataFrame) -> DataFrame:
+    """Daily bars of trades that may share an ``order``; the price decides among those."""
+    lines = trades.groupBy("symbol", "date", "order").agg(
+        F.min("price").alias("low"), F.max("price").alias("high"), F.sum("amount").alias("amount")
+    )
+    return lines.groupBy("symbol", "date").agg(
+        F.min_by("low", "order").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("high", "order").alias("close"),
+        F.sum("amount").alias("volume"),
     )
-    return daily_bars(trades)
 
 
 def ordered_daily(bars: DataFrame) -> OrderedRows:
@@ -72,6 +85,12 @@ def ordered_daily(bars: DataFrame) -> OrderedRows:
     return OrderedRows.arrange(bars, ("symbol",), ("date",), rows_bound=MAX_DAILY_ROWS)
 
 
+def event_types(spark: SparkSession, folder: str) -> list[str]:
+    """The event types of the table, which name data sets a person configures."""
+    names = table(spark, folder, "events").where("event_type is not null").select("event_type")
+    return sorted(r.event_type for r in names.distinct().toLocalIterator())
+
+
 def ticks(spark: SparkSession, folder: str) -> DataFrame:
     """Single events as a price series per user."""
     return table(spark, folder, "events").select(

@@ -1,9 +1,8 @@
 """Bar files: readers chosen by suffix, CSV sink, several symbols side by side."""
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from pathlib import PurePosixPath
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,20 +15,20 @@ def read_bars(
 ) -> DataFrame:
     """Read a bar file or folder; its suffix names the format.
 
-    ``schema=None`` keeps all columns and lets Spark infer the types, which costs a pass over the
-    data. CSV columns are matched by the names in the header, in any order and case; text that
-    does not fit its type becomes NULL.
+    ``schema=None`` keeps all columns and lets Spark infer the types. Otherwise columns are matched
+    by name, in any order and case, whatever types the file has; a value that does not fit its
+    type becomes NULL. Inferring types, and finding the fields of JSON, cost a pass over the data.
     """
     suffix = PurePosixPath(path).suffix.lower().removeprefix(".")
-    if suffix == "xlsx":
-        return read_workbooks(spark, path, schema or RAW_BARS)
     if suffix not in ("csv", "parquet", "json"):
         raise ValueError("Unsupported file format")
     if suffix == "csv":
         table = spark.read.csv(path, header=True, inferSchema=schema is None)
-        return table if schema is None else _typed(table, schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.format(suffix).load(path)
+    elif suffix == "json":
+        table = spark.read.json(path, primitivesAsString=schema is not None)
+    else:
+        table = spark.read.parquet(path)
+    return table if schema is None else _typed(table, schema)
 
 
 def _typed(table: DataFrame, schema: T.StructType) -> DataFrame:
@@ -42,37 +41,6 @@ def _typed(table: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def _parse_workbook(content: bytes) -> pd.DataFrame:
-    import io
-
-    return pd.read_excel(io.BytesIO(content))
-
-
-def read_workbooks(
-    spark: SparkSession, path: str, schema: T.StructType = RAW_BARS, parse=_parse_workbook
-) -> DataFrame:
-    """Read xlsx files, one per task; the format limits a sheet to 1,048,576 rows.
-
-    Columns are matched by name without regard to case. The default parser needs ``openpyxl`` on
-    the executors.
-    """
-    names = [f.name for f in schema.fields]
-    texts = {f.name for f in schema.fields if isinstance(f.dataType, T.StringType)}
-
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                sheet = parse(content).rename(columns=str.lower)
-                sheet = sheet.reindex(columns=names)
-                for name in texts:
-                    known = sheet[name].notna()
-                    sheet[name] = sheet[name].astype(str).where(known, None)
-                yield sheet
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    return files.mapInPandas(rows, schema)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """A folder of CSV parts with headers, replacing what was there."""
     df.write.mode("overwrite").option("header", True).csv(path)

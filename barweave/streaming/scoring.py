@@ -45,10 +45,12 @@ def scoring_writer(
     flags: bool = False,
     keep: Sequence[str] = ("date",),
     required: Sequence[str] = FEATURES,
+    prepare: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> BatchWriter:
     """Score one batch and write predictions, unusable messages and per-model counts.
 
-    ``flags`` adds whether each model was right.
+    ``flags`` adds whether each model was right. ``prepare`` changes the usable rows of a batch,
+    given its id, before they are scored.
     The parsed batch is stored while it feeds the outputs; every output is keyed by the batch id.
     """
 
@@ -56,6 +58,8 @@ def scoring_writer(
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             good, bad = split_valid(batch, required)
+            if prepare is not None:
+                good = prepare(good, batch_id)
             scored = predict(good).withColumn(
                 "latency_ms", C.latency_ms(F.col("ingest_time"), F.current_timestamp())
             )

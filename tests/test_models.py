@@ -74,9 +74,12 @@ def test_reload(table, fitted, tmp_path):
     assert same_rows(models.predict(table, {"rf": fitted["rf"]}), models.predict(table, {"rf": again}))
 
 
-def test_every_symbol(table):
-    fitted = models.fit_symbols(table, ["a", "b"], lambda: {"lr": models.logistic(max_iter=5)})
-    assert set(fitted) == {"a", "b"} and set(fitted["a"]) == {"lr"}
+def test_every_symbol():
+    seen = []
+    models.for_each_symbol((str(i) for i in range(100)), lambda n, s: seen.append((n, s)), 3)
+    assert sorted(seen) == [(i, str(i)) for i in range(100)]
+    with pytest.raises(ZeroDivisionError):
+        models.for_each_symbol(["a"], lambda n, s: 1 / 0)
 
 
 def test_recipes():

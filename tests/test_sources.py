@@ -1,13 +1,12 @@
 import json
 import math
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from barweave import storage
 from barweave.schema import RAW_BARS, message_schema, to_external, to_internal
-from barweave.sources import files, messages
+from barweave.sources import bars, files, messages
 from tests.helpers import price_rows, same_rows
 
 
@@ -44,18 +43,35 @@ def test_unknown_suffix(spark, path):
         files.read_bars(spark, path)
 
 
-def test_workbooks(spark, tmp_path):
-    for name in ("a", "b"):
-        (tmp_path / f"{name}.xlsx").write_bytes(name.encode())
+def test_workbooks_are_no_format(spark):
+    with pytest.raises(ValueError, match="Unsupported"):
+        files.read_bars(spark, "bars.xlsx")
 
-    def parse(content):
-        close = {b"a": 1.0, b"b": 2.0}[content]
-        return pd.DataFrame({"Date": pd.to_datetime(["2024-01-01", None]), "Close": [close, math.nan]})
 
-    df = files.read_workbooks(spark, str(tmp_path / "*.xlsx"), parse=parse)
-    assert df.columns == RAW_BARS.names
-    rows = sorted((r.date or "", r.close or 0.0, r.open) for r in df.collect())
-    assert rows == [("", 0.0, None), ("", 0.0, None), ("2024-01-01", 1.0, None), ("2024-01-01", 2.0, None)]
+def test_json_and_parquet_of_other_spelling_and_types(spark, tmp_path):
+    """Published spelling in JSON, dates and whole numbers in parquet."""
+    (tmp_path / "a.json").write_text(
+        '{"Date": "2024-01-02", "Open": 1, "HIGH": 2.5, "low": "0.5", "Close": "x", "Volume": 7}\n'
+    )
+    row = tuple(files.read_bars(spark, str(tmp_path / "a.json")).first())
+    assert row == ("2024-01-02", 1.0, 2.5, 0.5, None, 7.0)
+    typed = spark.sql(
+        "SELECT DATE'2024-01-02' AS Date, 1 AS Open, CAST(2.5 AS DECIMAL(9,2)) AS High, "
+        "CAST(0.5 AS FLOAT) AS Low, 1.5D AS Close, CAST(7 AS BIGINT) AS Volume, 'x' AS Other"
+    )
+    typed.write.parquet(str(tmp_path / "b.parquet"))
+    row = tuple(files.read_bars(spark, str(tmp_path / "b.parquet")).first())
+    assert row == ("2024-01-02", 1.0, 2.5, 0.5, 1.5, 7.0)
+
+
+def test_any_price_ranks_in_an_order_line(spark):
+    rows = [("s", "d", 1, p, 1.0) for p in (3e7, 2e7, 5e7, 4e7)] + [("s", "d", 2, 1.0, 1.0)]
+    trades = spark.createDataFrame(rows, "symbol string, date string, order int, price double, amount double")
+    trades = trades.withColumn("order", F.col("order").cast("decimal(38,0)"))
+    bar = bars.line_bars(trades).first()
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume) == (2e7, 5e7, 1.0, 1.0, 5.0)
+    bar = bars.line_bars(trades.where("order = 1")).first()
+    assert (bar.open, bar.close) == (2e7, 5e7)
 
 
 def test_symbols_side_by_side(spark, raw, tmp_path):

@@ -100,6 +100,22 @@ def train_all(spark, sf):
     return spark.read.parquet(out).drop("part")
 
 
+@query
+def train_planted(spark, sf):
+    """Row models learn a label planted in one feature: whether the bar rose. Counts of the test
+    rows, whether all answers are classes, and whether nine in ten are right."""
+    rows = marked_rows(spark, sf).withColumn("target", (F.col("ret1") > 0).cast("int"))
+    fitted = models.fit_all(models.training_rows(split.train_rows(rows)), standard_recipes())
+    scored = models.predict(split.test_rows(rows), fitted)
+    right = (F.col("predicted") == F.col("actual")).cast("double")
+    return score.long_predictions(scored, list(fitted)).groupBy("model").agg(
+        F.count("*").alias("n_rows"),
+        F.sum("actual").alias("n_up"),
+        F.bool_and(F.col("predicted").isin(0, 1)).alias("classes"),
+        (F.avg(right) >= 0.9).alias("learned"),
+    )
+
+
 @query
 def evaluate_all(spark, sf):
     """Three models on the test rows: one scoring pass, one aggregation."""

@@ -347,6 +347,9 @@ FROM steps""",
     "stream_score_map": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
     "model_roundtrip": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
     "multi_model_chain": f"WITH {_PLACED}{_TEST}SELECT symbol, date, TRUE AS same FROM test",
+    "train_planted": f"""WITH {_PLACED}{_TEST}SELECT model, count(*) AS n_rows,
+  CAST(sum(CAST(ret1 > 0 AS INTEGER)) AS BIGINT) AS n_up, TRUE AS classes, TRUE AS learned
+FROM test, (VALUES ('lr'), ('rf'), ('gbt')) AS m(model) GROUP BY model""",
     "batch_predict": f"""WITH {_PLACED}{_TEST}
 SELECT symbol, date, target, TRUE AS consistent FROM test""",
     "udf_score": f"""WITH {_PLACED}{_TEST}SELECT symbol, date,

@@ -23,9 +23,23 @@ def shared_dir(spark: SparkSession) -> str:
     return named or sc.getCheckpointDir()
 
 
+def run_dir(spark: SparkSession) -> str:
+    """The folder of this application inside the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/barweave-{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that nothing has used before."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path in the folder of this application that nothing has used before."""
+    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table handed over so far by this application.
+
+    For when all results that read them have been written; a frame that still needs one fails.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def hand_over(df: DataFrame, label: str = "table") -> DataFrame:

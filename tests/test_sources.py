@@ -167,3 +167,11 @@ def test_shared_folder(spark):
     assert storage.new_path(spark, "x") != storage.new_path(spark, "x")
     table = storage.hand_over(spark.range(3).toDF("n"))
     assert table.count() == 3
+
+
+def test_released_tables_are_gone(spark):
+    kept = storage.hand_over(spark.range(3))
+    assert kept.count() == 3
+    storage.release(spark)
+    with pytest.raises(Exception, match="(?i)not.*exist|PATH_NOT_FOUND|FAILED_READ"):
+        storage.hand_over(spark.range(3)).unionByName(kept).collect()

@@ -207,7 +207,7 @@ def test_toxicity(spark, tmp_path):
     assert len(scored) == len(EDGES + rows)
     assert all(0 <= r["_p"] <= 1 for r in scored)
     wrong = [r for r in scored if (r["_p"] >= 0.5) != ("stupid" in (r["text"] or ""))]
-    assert len(wrong) <= 2
+    assert len(wrong) <= 0.06 * len(scored)
     nothing = toxicity.fit(docs, known.where("toxic = 0"))
     assert nothing is None
     assert docs.select(toxicity.score_column(docs, nothing).alias("p")).distinct().collect()[0]["p"] == 0

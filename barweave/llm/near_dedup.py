@@ -31,8 +31,8 @@ from barweave.llm.words import counted, mix, shingle_hashes, word_hashes
 from barweave.storage import hand_over
 
 SIMILARITY = 0.8
-#: A pair of similarity 0.8 shares no band with probability 0.0002, one of 0.85 with 0.000002.
-BANDS, ROWS = 28, 6
+#: A pair of similarity 0.8 shares no band with probability 0.000003.
+BANDS, ROWS = 42, 6
 #: Members of a bucket that a task compares with so many others at a time.
 BLOCK = 1000
 _U = np.uint64
@@ -200,7 +200,7 @@ def mixed_pairs(
     """Pairs (a, b) of different components in one bucket whose registers agree often enough.
 
     A bucket of more than two blocks of members is searched as pairs of blocks, each a task's
-    worth; only pairs that pass leave it.
+    worth; only pairs that pass leave it, each from one bucket.
     """
     placed = labelled(members, labels, "node", "label")
     spans = placed.groupBy("key").agg(
@@ -220,6 +220,7 @@ def mixed_pairs(
             F.least("_own", "_other").alias("_low"),
             F.greatest("_own", "_other").alias("_high"),
             "_own",
+            "band",
             "node",
             "label",
             (F.col("node") == F.col("pivot")).alias("_first"),
@@ -233,6 +234,7 @@ def mixed_pairs(
         node, label = (table.column(c).to_numpy() for c in ("node", "label"))
         side = table.column("_own").to_numpy()
         first = table.column("_first").to_numpy()
+        band = table.column("band")[0].as_py()
         low, high = table.column("_low")[0].as_py(), table.column("_high")[0].as_py()
         shape = (len(node), bands, rows)
         held = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(shape)
@@ -249,6 +251,8 @@ def mixed_pairs(
                 continue
             same = held[at] == held[i]
             often = same.reshape(len(at), -1).mean(axis=1) >= least
+            # Of all buckets that a pair shares only the first one names it.
+            often &= same.all(axis=2).argmax(axis=1) == band
             for j in at[often].tolist():
                 found.append((int(node[i]), int(node[j])))
         return pa.table(
@@ -317,7 +321,7 @@ def near_groups(
         "classes",
     )
     heads = signed.join(classes.select(F.col("node").alias("_row")), "_row", "left_semi")
-    keys = heads.select(F.col("_row").alias("node"), F.explode("bands").alias("key"))
+    keys = heads.select(F.col("_row").alias("node"), F.posexplode("bands").alias("band", "key"))
     buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last"))
     buckets = buckets.where("pivot != _last").drop("_last")
     members = hand_over(keys.join(buckets, "key"), "members")

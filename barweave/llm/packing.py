@@ -5,7 +5,9 @@ sequences by themselves; the others are dealt into groups of bounded size by a h
 there: best fit first, then moves and exchanges (one for one, two for one, one for two) between
 underfull bins that increase the sum of squared fills, until the emptiest bins are empty or no
 such exchange is left. Bins that stay far from full are opened again and their pieces meet in the
-next round with those of other groups, so that groups cost no sequences.
+next round with those of other groups, so that groups cost no sequences. A round that makes more
+bins than it was given is not used. Once a round saves less than a bin a group, as where pieces
+just do not fill a sequence, the fuller half of the open bins is closed at any fill, so rounds end.
 """
 
 from __future__ import annotations
@@ -171,6 +173,28 @@ def pieces(
     return hand_over(found.withColumn("_number", F.monotonically_increasing_id()), "pieces")
 
 
+def _fills(placed: DataFrame) -> dict[int, tuple[int, int]]:
+    """(bins, pieces) for each fill, at most as many as the capacity."""
+    first = F.count(F.when(F.col("offset") == 0, 1)).alias("bins")
+    rows = placed.groupBy("fill").agg(first, F.count("*").alias("pieces")).collect()
+    return {r["fill"]: (r["bins"], r["pieces"]) for r in rows}
+
+
+def _bins(fills: dict[int, tuple[int, int]]) -> int:
+    return sum(n for n, _ in fills.values())
+
+
+def _level(fills: dict[int, tuple[int, int]], level: float, stuck: bool) -> float:
+    """Bins of at least this fill are closed: when ``stuck``, the fuller half at any fill."""
+    if stuck:
+        seen, half = 0, _bins(fills) / 2
+        for fill in sorted(fills, reverse=True):
+            seen += fills[fill][0]
+            if seen >= half:
+                return min(level, fill)
+    return level
+
+
 def packed(
     docs: DataFrame,
     tokenizer: str,
@@ -207,17 +231,21 @@ def packed(
 
     schema = "_number long, length long, sequence_id long, offset long, fill long"
     waiting = cut.where(F.col("length") < capacity).select("_number", "length")
-    placed, number = [full], 0
-    while True:
-        groups = max(1, round(waiting.count() / group))
+    rows, bins, number, placed = waiting.count(), None, 0, [full]
+    while rows:
+        groups = max(1, round(rows / group))
         share = F.pmod(F.xxhash64("_number", F.lit(number)), F.lit(groups))
-        round_ = waiting.withColumn("_group", share).groupBy("_group").applyInArrow(deal, schema)
-        round_ = hand_over(round_, "packed")
-        closed = F.lit(True) if groups == 1 else F.col("fill") >= CLOSED * capacity
-        placed.append(round_.where(closed).select("_number", "sequence_id", "offset"))
-        if groups == 1:
-            break
-        waiting, number = round_.where(~closed).select("_number", "length"), number + 1
+        dealt = waiting.select("_number", "length").withColumn("_group", share)
+        round_ = hand_over(dealt.groupBy("_group").applyInArrow(deal, schema), "packed")
+        found = _fills(round_)
+        stuck = bins is not None and _bins(bins) - _bins(found) < groups
+        if bins is None or _bins(found) <= _bins(bins):
+            waiting, bins = round_, found
+        level = _level(bins, CLOSED * capacity, stuck) if groups > 1 else 0
+        placed.append(waiting.where(F.col("fill") >= level).select("_number", "sequence_id", "offset"))
+        waiting = waiting.where(F.col("fill") < level)
+        bins = {fill: n for fill, n in bins.items() if fill < level}
+        rows, number = sum(n for _, n in bins.values()), number + 1
     where = placed[0]
     for more in placed[1:]:
         where = where.unionByName(more)

@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 
 from barweave.llm import decontaminate, language_id, packing, secrets, token_files, toxicity
 from barweave.llm.tokens import Encoder
+from barweave.storage import hand_over
 
 FILES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 
@@ -115,6 +116,33 @@ def test_packed(spark, tmp_path, group):
     assert len(bins) <= least + 1
 
 
+@pytest.mark.parametrize("length, each", [(1100, 1), (600, 3)])
+def test_packing_ends_where_pieces_do_not_fill_sequences(spark, tmp_path, monkeypatch, length, each):
+    n, rounds = 20_000, []
+
+    def at_most_eight_rounds(df, name):
+        rounds.append(name)
+        assert len(rounds) <= 8, "rounds do not end"
+        return hand_over(df, name)
+
+    own = spark.range(n).select(
+        F.col("id").alias("_number"),
+        F.col("id").alias("_id"),
+        F.lit(0).alias("piece"),
+        *[F.lit(0).cast("long").alias(c) for c in ("start", "ids_crc32")],
+        F.lit(length).cast("long").alias("length"),
+    )
+    own.write.parquet(str(tmp_path / "pieces"))
+    stored = spark.read.parquet(str(tmp_path / "pieces"))
+    monkeypatch.setattr(packing, "pieces", lambda *args: stored)
+    monkeypatch.setattr(packing, "hand_over", at_most_eight_rounds)
+    found = packing.packed(None, None, 0).toPandas()
+    assert sorted(found["doc_id"]) == list(range(n))
+    bins = found.sort_values("offset").groupby("sequence_id")["offset"].agg(list)
+    assert all(own == [length * k for k in range(len(own))] and len(own) <= each for own in bins)
+    assert len(bins) == -(-n // each)
+
+
 def test_packed_empty(spark, tmp_path):
     docs = table(spark, tmp_path / "t", [])
     assert packing.packed(docs, public_tokenizers.path(FILES[1]), 0).count() == 0

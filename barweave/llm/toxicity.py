@@ -28,10 +28,10 @@ FACTORS = 4
 EPOCHS, LEAST_STEPS = 10, 3000
 BATCH = 64
 STEP = 0.3
-#: Terms that a model weighs: those that tell most about the label by themselves.
-KEPT_TERMS = 2048
-#: Vectors move slower than weights and shrink, since each takes part in hundreds of pairs.
-VECTOR_STEP, VECTOR_DECAY = 0.1, 1e-3
+#: A weight shrinks towards 0 by so many deviations of the gradient that a term has by chance.
+WEIGHT_SHRINK = 0.5
+#: Vectors move slower than weights and decay, since each takes part in hundreds of pairs.
+VECTOR_STEP, VECTOR_DECAY = 0.1, 0.05
 #: Terms in fewer labelled rows than this carry no weight.
 LEAST_ROWS = 5
 LEVEL = 0.5
@@ -76,20 +76,18 @@ def learn(rows: list[np.ndarray], labels: np.ndarray, terms: int = TERMS) -> Mac
     random = np.random.default_rng(7)
     every = np.concatenate(rows)
     df = np.bincount(every, minlength=terms)
-    hits = np.bincount(every, np.repeat(labels, [len(r) for r in rows]), minlength=terms)
-    # Chi-squared of term against label, one degree of freedom.
     n, rate = len(rows), labels.mean()
-    spread = df * rate * (1 - rate) * (1 - df / n)
-    told = np.where(df >= LEAST_ROWS, (hits - df * rate) ** 2 / np.maximum(spread, 1e-9), -1)
-    common = np.zeros(terms, bool)
-    common[np.argsort(-told, kind="stable")[:KEPT_TERMS]] = True
-    common &= told >= 0
+    # Every term in enough rows has a weight and a vector, since pairs tell where terms alone do not.
+    common = df >= LEAST_ROWS
+    batch = min(BATCH, n)
+    shrink = WEIGHT_SHRINK * np.sqrt(df * rate * (1 - rate)) / n
+    shrink /= np.maximum(1 - (1 - df / n) ** batch, 1e-9)  # a step changes only terms of its batch
     rows = [row[common[row]] for row in rows]
     weights = np.zeros(terms, np.float32)
     vectors = np.where(common[:, None], random.normal(0, 0.01, (terms, FACTORS)), 0)
     vectors = vectors.astype(np.float32)
     bias = float(np.log(rate / (1 - rate)))
-    seen_w, seen_v, seen_b = np.full(terms, 1e-6), np.full((terms, FACTORS), 1e-2), 1e-6
+    seen_w, seen_v, seen_b = np.full(terms, 1e-2), np.full((terms, FACTORS), 1e-2), 1e-6
     for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // max(BATCH, len(rows)))):
         order = random.permutation(len(rows))
         for at in range(0, len(order), BATCH):
@@ -106,11 +104,13 @@ def learn(rows: list[np.ndarray], labels: np.ndarray, terms: int = TERMS) -> Mac
             used, where = np.unique(term, return_inverse=True)
             grad = np.bincount(where, off[doc]) / len(own)
             seen_w[used] += grad**2
-            weights[used] -= STEP * grad / np.sqrt(seen_w[used])
+            rate_w = STEP / np.sqrt(seen_w[used])
+            moved = weights[used] - rate_w * grad
+            weights[used] = np.sign(moved) * np.maximum(np.abs(moved) - rate_w * shrink[used], 0)
             for k in range(FACTORS):
                 grad = np.bincount(where, off[doc] * (sums[doc, k] - v[:, k])) / len(own)
+                grad += VECTOR_DECAY * vectors[used, k]
                 seen_v[used, k] += grad**2
-                vectors[used, k] *= 1 - VECTOR_DECAY
                 vectors[used, k] -= VECTOR_STEP * grad / np.sqrt(seen_v[used, k])
             grad = off.mean()
             seen_b += grad**2

@@ -221,6 +221,25 @@ def test_machine_learns_pairs():
     assert ((score >= 0.5) == np.array(labels[2500:])).mean() > 0.95
 
 
+def test_machine_learns_pairs_among_many_terms():
+    """The pair of the test above beside more frequent terms than a model once weighed."""
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for _ in range(3000):
+        a, b = rng.random(2) < 0.5
+        own = rng.choice(np.arange(10, 2510), 12, replace=False).tolist() + [1] * int(a) + [2] * int(b)
+        rows.append(np.array(sorted(own)))
+        labels.append(float(a == b))
+    df = np.bincount(np.concatenate(rows[:2500]), minlength=4096)
+    assert (df >= toxicity.LEAST_ROWS).sum() > 2400
+    machine = toxicity.learn(rows[:2500], np.array(labels[:2500]), terms=4096)
+    assert machine.vectors[df >= toxicity.LEAST_ROWS].any(axis=1).all()
+    test = rows[2500:]
+    doc = np.repeat(np.arange(len(test)), [len(r) for r in test])
+    score = machine.score(np.concatenate(test), doc, len(test))
+    assert ((score >= 0.5) == np.array(labels[2500:])).mean() > 0.85
+
+
 def test_toxicity(spark, tmp_path):
     rng = random.Random(6)
     rows = [

@@ -37,6 +37,8 @@ _KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: Candidates: runs of key characters of at least this length with a digit among them or mixed case.
 LEAST_RANDOM = 20
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+_SIDES = re.compile(r"[^=]+(?:=+\Z)?")
+_CUTS = [re.compile(f"[^{x}]{{20,}}") for x in ("_-", "/+", "/_-")]
 
 # The alphabets, smallest first.
 ENCODINGS = (
@@ -149,19 +151,45 @@ def against_writing(token: str) -> float:
     return _normal_tail((even + jump) / math.sqrt(2))
 
 
+def _known(token: str) -> tuple[str, np.ndarray] | None:
+    """The encoding of a candidate long enough to test, unless letters alone spell it as a word."""
+    if token.isalpha() and (token.islower() or token[1:].islower() or token.isupper()):
+        return None
+    known = encoding(token)
+    return known if known and len(known[1]) >= LEAST_RANDOM else None
+
+
+def _tested(token: str, known: tuple[str, np.ndarray]) -> float:
+    size = len(dict(ENCODINGS)[known[0]])
+    return against_writing(token) if min(battery(known[1], size)) >= TEST_LEVEL else 1.0
+
+
 def random_strings(text: str) -> list[tuple[int, int, float]]:
-    """(start, end, p-value against writing) of candidates that pass the battery."""
+    """(start, end, p-value against writing) of candidates that pass the battery.
+
+    A run is cut at each '=' that is not padding at its end. Where no alphabet holds a part, it is
+    cut at '-' and '_', at '/' and '+', and at '/', '-' and '_'. Of cuts that overlap, the one of
+    least p-value counts, times their number, so that more ways to cut give no more false finds.
+    """
     found = []
-    for m in _CANDIDATE.finditer(text):
-        token = m[0]
-        if token.isalpha() and (token.islower() or token[1:].islower() or token.isupper()):
-            continue
-        known = encoding(token)
-        if known is None or len(known[1]) < LEAST_RANDOM:
-            continue
-        size = len(dict(ENCODINGS)[known[0]])
-        p = against_writing(token) if min(battery(known[1], size)) >= TEST_LEVEL else 1.0
-        found.append((*m.span(), p))
+    for run in _CANDIDATE.finditer(text):
+        for m in _SIDES.finditer(run[0]):
+            at, token = run.start() + m.start(), m[0]
+            if encoding(token) is not None:
+                if known := _known(token):
+                    found.append((at, at + len(token), _tested(token, known)))
+                continue
+            cuts = {}
+            for cut in _CUTS:
+                for c in cut.finditer(token):
+                    if known := _known(c[0]):
+                        cuts[c.span()] = _tested(c[0], known)
+            left = sorted(cuts, key=lambda x: (cuts[x], x))
+            while left:
+                a, b = left[0]
+                near = [x for x in left if x[0] < b and a < x[1]]
+                found.append((at + a, at + b, min(1.0, cuts[a, b] * len(near))))
+                left = [x for x in left if x not in near]
     return found
 
 

@@ -190,6 +190,21 @@ def test_secrets(spark, tmp_path):
     assert len(more & {(100 + i, n) for i, n in enumerate(noise)}) >= 27
 
 
+def test_secrets_inside_longer_runs():
+    rng = random.Random(12)
+    chars = string.ascii_letters + string.digits
+    shapes = ("DEPLOY_KEY={}", "?sig={}", "KEY={}==", "path/to_x/{}", "a-b/c/{}", "{}=name_of_value", "x+y_z-{}")
+    for shape in shapes:
+        seen = 0
+        for _ in range(30):
+            key = "".join(rng.choice(chars) for _ in range(40))
+            text = f"é some words {shape.format(key)} end"
+            own = [text[a:b] for a, b, p in secrets.random_strings(text) if p < 0.01]
+            seen += any(key in x and len(x) <= len(key) + 4 for x in own)
+        assert seen >= 27, (shape, seen)
+    assert secrets.random_strings("name=value_of-some/longer=text") == []
+
+
 def test_battery_rejects_what_is_not_random():
     rng = np.random.default_rng(2)
     passed = sum(min(secrets.battery(rng.integers(0, 16, 64), 16)) >= 0.001 for _ in range(1000))

@@ -121,3 +121,28 @@ def with_results(docs: DataFrame, results: DataFrame, id_col: str, text_col: str
         left, on = left.withColumn("_copy", F.row_number().over(same)), [*on, "_copy"]
         return left.join(results.hint("merge"), on, "left").drop(*on)
     return left.join(results.drop("_copy").hint("merge"), on, "left").drop(*on)
+
+
+def running_sums(rows: DataFrame, order: list[str], sums: dict[str, str]) -> DataFrame:
+    """Add to each row, for new name -> column, the column's sum over all rows before it.
+
+    ``order`` names columns that order all rows, nulls first; rows equal in all of them may come in
+    any order. Rows are dealt out by range and stored; only the sums of the partitions, one row for
+    each, meet in a task and are broadcast.
+    """
+    from pyspark.sql import Window
+
+    from barweave.storage import hand_over
+
+    part = fresh(rows, "_part")
+    dealt = rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id())
+    dealt = hand_over(dealt, "ordered")
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    base = {name: f"_{name}_before" for name in sums}
+    totals = dealt.groupBy(part).agg(*[F.sum(c).alias(base[n]) for n, c in sums.items()])
+    totals = totals.select(
+        part, *[F.coalesce(F.sum(b).over(before), F.lit(0)).alias(b) for b in base.values()]
+    )
+    own = Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    added = {n: F.col(base[n]) + F.coalesce(F.sum(c).over(own), F.lit(0)) for n, c in sums.items()}
+    return dealt.join(F.broadcast(totals), part).withColumns(added).drop(part, *base.values())

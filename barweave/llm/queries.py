@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barweave.llm import (
@@ -13,8 +13,11 @@ from barweave.llm import (
     exact_dedup,
     language_id,
     line_dedup,
+    mixing,
     near_dedup,
     packing,
+    periodic,
+    resampling,
     secrets,
     substring_dedup,
     token_files,
@@ -170,3 +173,124 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.fit(docs.where(~held_out))
     guessed = language_id.predict(docs.select("doc_id", "text"), *model)
     return guessed.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+
+def _planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which one document in ten, by the crc32 of its id, repeats its words from
+    some place on with some period, which the same checksum decides. Other texts stay."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    # The filter takes away the empty part that a leading separator makes.
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    rows = docs.select(
+        "doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("words")
+    )
+    rows = rows.withColumn("n", F.size("words").cast("long"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    planted = F.expr(
+        "concat(slice(words, 1, int(a)), slice(flatten(array_repeat(slice(words, int(a + 1), int(p)),"
+        " int((n - a + p - 1) div p))), 1, int(n - a)))"
+    )
+    planted = F.when(F.col("a").isNotNull(), F.array_join(planted, " "))
+    return rows.select("doc_id", F.coalesce(planted, "text").alias("text"))
+
+
+def _better_run(left: Column, right: Column) -> Column:
+    """-1 if the left run holds more periods, or as many and begins earlier, or has the lesser one."""
+    a, b = left["length"] * right["period"], right["length"] * left["period"]
+    first = (a > b) | (
+        (a == b)
+        & (
+            (left["start"] < right["start"])
+            | ((left["start"] == right["start"]) & (left["period"] < right["period"]))
+        )
+    )
+    return F.when(first, -1).otherwise(1)
+
+
+@query
+def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic.periodic_runs(_planted_runs(table(spark, folder, "documents")))
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.withColumn("best", F.get(F.array_sort("runs", _better_run), F.lit(0))).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixture = mixing.mix(table(spark, folder, "documents"))
+    return mixture.documents.select(
+        F.col("id").alias("doc_id"), "size", "source_size", "target", "taken"
+    )
+
+
+ORACLE["op12_mix"] = r"""
+WITH sized AS (
+  SELECT doc_id, source,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         substr(sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS place
+  FROM documents
+),
+sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i
+  FROM sized GROUP BY source
+),
+weighed AS (
+  SELECT source, source_size, CASE i % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, i
+  FROM sources
+),
+ordered AS (
+  SELECT *, row_number() OVER (ORDER BY 3 * source_size / weight, i) AS n,
+         sum(source_size) OVER () - 3 * coalesce(sum(source_size) OVER (
+           ORDER BY 3 * source_size / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS words,
+         sum(weight) OVER () - coalesce(sum(weight) OVER (
+           ORDER BY 3 * source_size / weight, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS weights
+  FROM weighed
+),
+level AS (
+  SELECT words, weights FROM ordered WHERE weight * words <= 3 * source_size * weights ORDER BY n LIMIT 1
+),
+targets AS (
+  SELECT source, source_size, i,
+         CASE WHEN weight * words > 3 * source_size * weights THEN CAST(3 * source_size AS DOUBLE)
+              ELSE CAST(weight * words AS DOUBLE) / CAST(weights AS DOUBLE) END AS target
+  FROM weighed, (SELECT CAST(words AS HUGEINT) AS words, CAST(weights AS HUGEINT) AS weights FROM level)
+),
+blocks AS (
+  SELECT *, greatest(1, least(1024, CAST(floor(target / 64) AS BIGINT))) AS block FROM targets
+),
+amounts AS (
+  SELECT *, CAST(floor(target / source_size) AS BIGINT) AS turns,
+         least(source_size, block * CAST(floor(
+           (target - floor(target / source_size) * source_size) / block + 0.5) AS BIGINT)) AS rest
+  FROM blocks
+),
+laid AS (
+  SELECT s.doc_id, s.size, a.source_size, a.target, a.turns, a.rest,
+         coalesce(sum(s.size) OVER (PARTITION BY a.i ORDER BY s.place, CAST(s.doc_id AS VARCHAR) NULLS FIRST,
+           s.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS begin
+  FROM sized s JOIN amounts a ON a.source IS NOT DISTINCT FROM s.source
+)
+SELECT doc_id, size, source_size, target,
+       CAST(CASE WHEN size = 0 THEN 0
+            ELSE turns * size + greatest(0, least(begin + size, rest) - begin) END AS BIGINT) AS taken
+FROM laid
+"""
+
+
+@query
+def op13_resample(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return resampling.resample(docs, table(spark, folder, "benchmark"))

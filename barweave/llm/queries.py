@@ -25,6 +25,26 @@ from barweave.llm import (
 )
 from barweave.llm.common import id_fold, table
 
+#: crc32 in SQL: the table of its 256 steps from the polynomial, and the checksum of a text's bytes.
+_CRC_TABLE = """
+crc_table AS (
+  SELECT list(list_reduce([b] || range(8), lambda c, i:
+           CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t
+  FROM (SELECT unnest(range(256)) AS b)
+)
+"""
+
+
+def _crc_sql(text: str) -> str:
+    data = f"hex(encode({text}))"
+    steps = (
+        f"list_transform(range(1, length({data}) // 2 + 1),"
+        f" lambda i: CAST('0x' || substr({data}, 2 * i - 1, 2) AS BIGINT))"
+    )
+    step = "lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce([4294967295] || {steps}, {step}), 4294967295)"
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -227,6 +247,67 @@ def op11_periodic(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLE["op11_periodic"] = rf"""
+WITH {_CRC_TABLE},
+texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
+         {_crc_sql("CAST(doc_id AS VARCHAR)")} AS h
+  FROM documents, crc_table
+),
+planted AS (
+  SELECT doc_id, n, a, 1 + (n - a) // (3 + g % 8) AS p FROM (
+    SELECT doc_id, len(ws) AS n, h // 10 AS g, (h // 10) % len(ws) AS a
+    FROM texts WHERE h % 10 = 0 AND len(ws) > 0)
+),
+plain AS (SELECT doc_id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM texts),
+words AS (
+  SELECT o.doc_id, o.i, s.w FROM plain o LEFT JOIN planted USING (doc_id)
+  JOIN plain s ON s.doc_id = o.doc_id AND s.i = CASE WHEN o.i >= a THEN a + (o.i - a) % p ELSE o.i END
+),
+by2 AS (SELECT doc_id, i, w, hash(w, lead(w) OVER (PARTITION BY doc_id ORDER BY i)) AS h FROM words),
+by4 AS (SELECT doc_id, i, hash(h, lead(h, 2) OVER (PARTITION BY doc_id ORDER BY i)) AS h FROM by2),
+by8 AS (SELECT doc_id, i, hash(h, lead(h, 4) OVER (PARTITION BY doc_id ORDER BY i)) AS h FROM by4),
+by16 AS (SELECT doc_id, i, hash(h, lead(h, 8) OVER (PARTITION BY doc_id ORDER BY i)) AS h FROM by8),
+-- A run of period 16 or more repeats 17 runs of 16 words or more a period later.
+lags AS (
+  SELECT a.doc_id, b.i - a.i AS q FROM by16 a JOIN by16 b ON a.doc_id = b.doc_id AND a.h = b.h
+  WHERE b.i - a.i >= 16 GROUP BY ALL HAVING count(*) >= 17
+  UNION ALL
+  SELECT doc_id, unnest(range(1, 16)) FROM texts
+),
+equal AS (
+  SELECT a.doc_id, q, a.i, a.i - row_number() OVER (PARTITION BY a.doc_id, q ORDER BY a.i) AS stretch
+  FROM lags JOIN words a ON a.doc_id = lags.doc_id
+  JOIN words b ON b.doc_id = a.doc_id AND b.i = a.i + q AND b.w = a.w
+),
+runs AS (
+  SELECT doc_id, start, length, min(q) AS period FROM (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM equal GROUP BY doc_id, q, stretch)
+  WHERE length >= greatest(24, 3 * q) GROUP BY ALL
+),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (
+    PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1
+),
+listed AS (
+  SELECT doc_id, count(*) AS n, string_agg(
+    start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM runs GROUP BY doc_id
+),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS text FROM words
+  WHERE NOT EXISTS (SELECT 1 FROM runs r WHERE r.doc_id = words.doc_id
+                    AND words.i >= r.start + r.period AND words.i < r.start + r.length)
+  GROUP BY doc_id
+)
+SELECT t.doc_id, CAST(coalesce(l.n, 0) AS BIGINT) AS n_runs, CAST(b.start AS BIGINT) AS start,
+       CAST(b.length AS BIGINT) AS length, CAST(b.period AS BIGINT) AS period,
+       CAST(1000 * b.length // b.period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(l.lines, '')) AS runs_sha256, sha256(coalesce(k.text, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN listed l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+
 @query
 def op12_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixture = mixing.mix(table(spark, folder, "documents"))
@@ -294,3 +375,54 @@ FROM laid
 def op13_resample(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return resampling.resample(docs, table(spark, folder, "benchmark"))
+
+
+ORACLE["op13_resample"] = rf"""
+WITH {_CRC_TABLE},
+texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'b', item_id, text FROM benchmark
+),
+cut AS (
+  SELECT kind, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM texts
+),
+words AS (SELECT kind, id, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM cut),
+grams AS (
+  SELECT kind, id, unnest([w, w || ' ' || lead(w) OVER o, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o]) AS f
+  FROM words WINDOW o AS (PARTITION BY kind, id ORDER BY i)
+),
+bucket AS (
+  SELECT f, {_crc_sql("f")} % 10000 AS b FROM (SELECT DISTINCT f FROM grams WHERE f IS NOT NULL), crc_table
+),
+found AS (SELECT kind, id, b FROM grams JOIN bucket USING (f)),
+counts AS (
+  SELECT b, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM found GROUP BY b
+),
+sums AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts),
+gains AS (
+  SELECT b, CAST(floor(1000 * ln(CAST((t + 1) * (s_all + 10000) AS DOUBLE)
+                                 / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS gain
+  FROM counts, sums
+),
+weighed AS (
+  SELECT id, count(*) AS n, sum(gain) AS weight FROM found JOIN gains USING (b) WHERE kind = 'd' GROUP BY id
+),
+scored AS (
+  SELECT id, len(ws) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('42:' || coalesce(CAST(id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5)
+           / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM cut LEFT JOIN weighed USING (id) WHERE kind = 'd'
+),
+ranked AS (
+  SELECT id, row_number() OVER (ORDER BY score DESC, id) AS rank,
+         5 * count(*) OVER () // 100 AS drawn
+  FROM scored WHERE n_words >= 20
+)
+SELECT s.id AS doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight,
+       CAST(score AS BIGINT) AS score, CAST(CASE WHEN rank <= drawn THEN rank END AS BIGINT) AS rank
+FROM scored s LEFT JOIN ranked r ON r.id = s.id
+"""

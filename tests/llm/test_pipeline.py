@@ -98,5 +98,5 @@ def test_oracles(spark, name):
 
 def test_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and toxicity.MOST_ROWS == 20_000

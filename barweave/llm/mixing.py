@@ -8,7 +8,8 @@ each source nearly in proportion. Slots are ranked within their source by time,
 takes the source's block k, beginning again after the last.
 
 Sources, shuffled documents and slots are each cut further (by range, by the first digits of the
-hash, by time), so that a source on most rows does not meet in one task.
+hash, by time), so that a source on most rows does not meet in one task. What grows with the input
+is merged at every size and never broadcast.
 """
 
 from __future__ import annotations
@@ -138,7 +139,7 @@ def mix(
     )
     slots = hand_over(_slots(sources), "slots")
     times = slots.groupBy("_source", "block").agg(F.count("*").alias("_times"))
-    used = pieces.join(times, ["_source", "block"], "left")
+    used = pieces.join(times.hint("merge"), ["_source", "block"], "left")
     columns = ["id", "size", "source", "source_size", "target"]
     taken = (
         used.groupBy("_source", "_start", *columns)
@@ -186,7 +187,7 @@ def _laid_out(sized: DataFrame, sources: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     start = F.col("_words") + F.coalesce(F.sum("size").over(own), F.lit(0))
-    return rows.join(cells, ["_source", "_cell"]).withColumn("_start", start)
+    return rows.join(cells.hint("merge"), ["_source", "_cell"]).withColumn("_start", start)
 
 
 def _slots(sources: DataFrame) -> DataFrame:
@@ -214,7 +215,7 @@ def _slots(sources: DataFrame) -> DataFrame:
     own = Window.partitionBy("_source", "_cell").orderBy("slot")
     rank = F.col("_n") + F.row_number().over(own) - 1
     return (
-        slots.join(counts, ["_source", "_cell"])
+        slots.join(counts.hint("merge"), ["_source", "_cell"])
         .withColumn("rank", rank)
         .select("slot", "_source", "rank", (F.col("rank") % F.col("_blocks")).alias("block"))
     )

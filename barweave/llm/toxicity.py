@@ -9,7 +9,7 @@ terms are found in tasks; scoring covers every row inside the scan.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -18,104 +18,240 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barweave.llm.common import chunks, id_fold, text_or_empty
-from barweave.llm.words import mix, word_hashes
+from barweave.llm.words import mix, stem_hashes
+from barweave.storage import hand_over
 
-#: Labelled rows that a fit uses at most; of more, those with the smallest hash of their id.
-MOST_ROWS = 20_000
-TERMS = 2**18
+#: Labelled rows that a fit uses at most; of more, those with the smallest hash of their id. Fewer
+#: if their distinct terms are more than the second number, which bounds what the driver gets.
+MOST_ROWS, MOST_ENTRIES = 20_000, 16_000_000
 FACTORS = 4
-#: Passes over the sample, more of them if these make fewer steps than the second number.
-EPOCHS, LEAST_STEPS = 10, 3000
 BATCH = 64
-STEP = 0.3
-#: A weight shrinks towards 0 by so many deviations of the gradient that a term has by chance.
-WEIGHT_SHRINK = 0.5
-#: Vectors move slower than weights and decay, since each takes part in hundreds of pairs.
-VECTOR_STEP, VECTOR_DECAY = 0.1, 0.05
+#: Passes over the sample, more of them if these make fewer steps than the second number.
+EPOCHS, LEAST_STEPS = 10, 2500
+STEP, VECTOR_STEP = 0.3, 0.1
+#: Weights shrink towards 0 by so many deviations of the gradient that a term has by chance; the
+#: fold decides which. Vectors shrink by ``VECTOR_SHRINK``, since each takes part in hundreds of
+#: pairs, but not below ``FLOOR``: from 0 no pair could grow.
+SHRINKS, VECTOR_SHRINK, FLOOR = (0.25, 0.5, 1.0), 3.0, 1e-4
+#: One learning row in so many is the inner fold. Vectors stay if they lower its loss by this part;
+#: learning them ends when so many steps brought no further such part, or after the last number.
+FOLD, GAIN, PATIENCE, MOST_VECTOR_STEPS = 5, 0.02, 400, 1000
+#: A fold with fewer rows of a label decides nothing: the second shrinkage holds, without vectors.
+LEAST_FOLD = 8
 #: Terms in fewer labelled rows than this carry no weight.
 LEAST_ROWS = 5
 LEVEL = 0.5
 #: Characters of a word's beginning that form a term of their own, for inflected words.
 STEM = 5
+#: Text bytes that a task cuts into terms at a time; one text stays whole.
+PIECE_BYTES = 500_000
 
 
-def terms_of(texts: list[str], terms: int = TERMS) -> tuple[np.ndarray, np.ndarray]:
-    """(term, doc) of the distinct hashed words and word beginnings of each text, by doc."""
-    kinds = [word_hashes(texts), word_hashes(texts, STEM)]
-    found = np.concatenate([mix(h, i) for i, (h, _) in enumerate(kinds)])
-    doc = np.concatenate([d for _, d in kinds])
-    keys = np.unique(doc * terms + (found % np.uint64(terms)).astype(np.int64))
-    return keys % terms, keys // terms
+def terms_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(32-bit term, doc) of the distinct hashed words and word beginnings of each text, by doc."""
+    whole, stem, doc = stem_hashes(texts, STEM)
+    high, keys = np.uint64(32), doc.astype(np.uint64) << np.uint64(32)
+    keys = np.unique(np.concatenate([keys | (mix(whole) >> high), keys | (mix(stem, 1) >> high)]))
+    return keys.astype(np.uint32), (keys >> high).astype(np.int64)
 
 
 @dataclass(frozen=True)
 class Machine:
-    """bias + sum of weights + sum over pairs of terms of the product of their vectors."""
+    """bias + sum of weights + sum over pairs of terms of the product of their vectors.
+
+    Terms are places in ``weights``; ``known`` has the hashed terms in these places, sorted.
+    """
 
     bias: float
     weights: np.ndarray
     vectors: np.ndarray
+    known: np.ndarray | None = None
+
+    def places(self, term: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, doc) of those hashed terms that the machine knows."""
+        if not len(self.known):
+            return np.zeros(0, np.int64), doc[:0]
+        at = np.minimum(np.searchsorted(self.known, term), len(self.known) - 1)
+        found = self.known[at] == term
+        return at[found], doc[found]
 
     def score(self, term: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
         """Probability of the positive label for ``n`` rows; a row without terms has the bias."""
+        return _chance(self.raw(term, doc, n))
+
+    def raw(self, term: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
         linear = np.bincount(doc, self.weights[term], minlength=n)
         pairs = np.zeros(n)
         for k in range(self.vectors.shape[1]):
             own = self.vectors[term, k].astype(np.float64)
             pairs += np.bincount(doc, own, minlength=n) ** 2
             pairs -= np.bincount(doc, own**2, minlength=n)
-        return _chance(self.bias + linear + pairs / 2)
+        return self.bias + linear + pairs / 2
 
 
 def _chance(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def learn(rows: list[np.ndarray], labels: np.ndarray, terms: int = TERMS) -> Machine:
+@dataclass(frozen=True)
+class Batch:
+    """Some rows: their labels, the distinct terms in them, and for each entry its row and which
+    of these terms it is."""
+
+    label: np.ndarray
+    used: np.ndarray
+    doc: np.ndarray
+    which: np.ndarray
+
+
+def batches_of(rows: list[np.ndarray], labels: np.ndarray, order: np.ndarray) -> list[Batch]:
+    out = []
+    for at in range(0, len(order), BATCH):
+        own = order[at : at + BATCH]
+        doc = np.repeat(np.arange(len(own), dtype=np.uint8), [len(rows[i]) for i in own])
+        used, which = np.unique(np.concatenate([rows[i] for i in own]), return_inverse=True)
+        out.append(Batch(labels[own], used.astype(np.int32), doc, which.astype(np.int32)))
+    return out
+
+
+def gradients(bias: float, weights: np.ndarray, vectors: np.ndarray | None, batch: Batch):
+    """(off, by bias, by weights, by vectors, sums): the mean logistic loss of a batch by its
+    parameters, where ``weights`` and ``vectors`` are those of the batch's distinct terms, ``off``
+    is prediction minus label and ``sums`` holds the sum of each row's vectors."""
+    n, width = len(batch.label), len(batch.used)
+    raw = bias + np.bincount(batch.doc, weights[batch.which], minlength=n)
+    sums = None
+    if vectors is not None:
+        own = vectors[batch.which]
+        sums = np.stack([np.bincount(batch.doc, x, minlength=n) for x in own.T], axis=1)
+        squares = np.bincount(batch.doc, (vectors**2).sum(axis=1)[batch.which], minlength=n)
+        raw += ((sums**2).sum(axis=1) - squares) / 2
+    off = _chance(raw) - batch.label
+    each = off[batch.doc]
+    by_weight = np.bincount(batch.which, each, minlength=width) / n
+    by_vector = None
+    if vectors is not None:
+        beside = [np.bincount(batch.which, each * s[batch.doc], minlength=width) for s in sums.T]
+        by_vector = np.stack(beside, axis=1) / n - by_weight[:, None] * vectors
+    return off, off.mean(), by_weight, by_vector, sums
+
+
+class _Learner:
     """Stochastic gradient steps on the logistic loss, with a step size for each parameter."""
-    random = np.random.default_rng(7)
-    every = np.concatenate(rows)
-    df = np.bincount(every, minlength=terms)
-    n, rate = len(rows), labels.mean()
-    # Every term in enough rows has a weight and a vector, since pairs tell where terms alone do not.
+
+    def __init__(self, batches: list[Batch], df: np.ndarray, n: int, rate: float, shrink: float):
+        terms = len(df)
+        self.batches, self.random, self.shrink = batches, np.random.default_rng(7), shrink
+        # The gradient's deviation by chance; a step changes only terms of its batch.
+        chance = np.sqrt(df * rate * (1 - rate)) / n
+        self.chance = chance / np.maximum(1 - (1 - np.minimum(df / n, 1)) ** min(BATCH, n), 1e-9)
+        self.bias, self.weights = float(np.log(rate / (1 - rate))), np.zeros(terms)
+        self.seen_b, self.seen_w = 1e-6, np.full(terms, 1e-2)
+        self.vectors = self.seen_v = None
+        self.spread = 0.0
+
+    def add_vectors(self) -> None:
+        shape = (len(self.weights), FACTORS)
+        self.vectors, self.seen_v = self.random.normal(0, 0.01, shape), np.full(shape, 1e-2)
+
+    def step_through(self) -> None:
+        for at in self.random.permutation(len(self.batches)):
+            self.step(self.batches[at])
+
+    def step(self, batch: Batch) -> None:
+        used = batch.used
+        vectors = None if self.vectors is None else self.vectors[used]
+        off, by_bias, by_weight, by_vector, sums = gradients(
+            self.bias, self.weights[used], vectors, batch
+        )
+        chance = self.chance[used]
+        self.seen_w[used] += by_weight**2
+        rate = STEP / np.sqrt(self.seen_w[used])
+        moved = self.weights[used] - rate * by_weight
+        self.weights[used] = np.sign(moved) * np.maximum(np.abs(moved) - rate * self.shrink * chance, 0)
+        if vectors is not None:
+            # By chance a vector's gradient is that of the weight times what it is paired with.
+            spread = float(np.sqrt((sums**2).mean()))
+            self.spread = 0.95 * self.spread + 0.05 * spread if self.spread else spread
+            self.seen_v[used] += by_vector**2
+            rate = VECTOR_STEP / np.sqrt(self.seen_v[used])
+            moved = vectors - rate * by_vector
+            less = np.abs(moved) - rate * (VECTOR_SHRINK * self.spread * chance)[:, None]
+            self.vectors[used] = np.copysign(np.maximum(less, FLOOR), moved)
+        self.seen_b += by_bias**2
+        self.bias -= STEP * by_bias / np.sqrt(self.seen_b)
+
+    def machine(self) -> Machine:
+        vectors = self.vectors
+        if vectors is None:
+            vectors = np.zeros((len(self.weights), 0))
+        return Machine(self.bias, self.weights.astype(np.float32), vectors.astype(np.float32))
+
+
+def _loss(machine: Machine, rows: list[np.ndarray], labels: np.ndarray) -> float:
+    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
+    raw = machine.raw(np.concatenate([np.zeros(0, np.int64), *rows]), doc, len(rows))
+    return float(np.logaddexp(0, np.where(labels > 0.5, -raw, raw)).mean())
+
+
+def _passes(steps: int, batches: int) -> int:
+    return -(-steps // max(1, batches))
+
+
+def learn(rows: list[np.ndarray], labels: np.ndarray, terms: int | None = None) -> Machine:
+    """A machine from rows of terms (places from 0 on) and labels 0 and 1, both of which occur.
+
+    First weights alone, then weights and vectors from there. How strongly weights shrink, how long
+    vectors are learned and whether they stay is decided by the loss on an inner fold of the rows;
+    then the same is done with all rows.
+    """
+    every = np.concatenate([np.zeros(0, np.int64), *rows])
+    df = np.bincount(every, minlength=terms or 1)
     common = df >= LEAST_ROWS
-    batch = min(BATCH, n)
-    shrink = WEIGHT_SHRINK * np.sqrt(df * rate * (1 - rate)) / n
-    shrink /= np.maximum(1 - (1 - df / n) ** batch, 1e-9)  # a step changes only terms of its batch
+    df = np.where(common, df, 0)
     rows = [row[common[row]] for row in rows]
-    weights = np.zeros(terms, np.float32)
-    vectors = np.where(common[:, None], random.normal(0, 0.01, (terms, FACTORS)), 0)
-    vectors = vectors.astype(np.float32)
-    bias = float(np.log(rate / (1 - rate)))
-    seen_w, seen_v, seen_b = np.full(terms, 1e-2), np.full((terms, FACTORS), 1e-2), 1e-6
-    for _ in range(max(EPOCHS, LEAST_STEPS * BATCH // max(BATCH, len(rows)))):
-        order = random.permutation(len(rows))
-        for at in range(0, len(order), BATCH):
-            own = order[at : at + BATCH]
-            term = np.concatenate([rows[i] for i in own])
-            doc = np.repeat(np.arange(len(own)), [len(rows[i]) for i in own])
-            v = vectors[term].astype(np.float64)
-            sums = np.zeros((len(own), FACTORS))
-            for k in range(FACTORS):
-                sums[:, k] = np.bincount(doc, v[:, k], minlength=len(own))
-            squares = np.bincount(doc, (v**2).sum(axis=1), minlength=len(own))
-            raw = bias + np.bincount(doc, weights[term], minlength=len(own))
-            off = _chance(raw + ((sums**2).sum(axis=1) - squares) / 2) - labels[own]
-            used, where = np.unique(term, return_inverse=True)
-            grad = np.bincount(where, off[doc]) / len(own)
-            seen_w[used] += grad**2
-            rate_w = STEP / np.sqrt(seen_w[used])
-            moved = weights[used] - rate_w * grad
-            weights[used] = np.sign(moved) * np.maximum(np.abs(moved) - rate_w * shrink[used], 0)
-            for k in range(FACTORS):
-                grad = np.bincount(where, off[doc] * (sums[doc, k] - v[:, k])) / len(own)
-                grad += VECTOR_DECAY * vectors[used, k]
-                seen_v[used, k] += grad**2
-                vectors[used, k] -= VECTOR_STEP * grad / np.sqrt(seen_v[used, k])
-            grad = off.mean()
-            seen_b += grad**2
-            bias -= STEP * grad / np.sqrt(seen_b)
-    return Machine(bias, weights, vectors)
+    order = np.random.default_rng(7).permutation(len(rows))
+    fold, inner = order[::FOLD], np.setdiff1d(order, order[::FOLD])
+    shrink, vector_passes = SHRINKS[1], 0
+    if min(labels[fold].sum(), len(fold) - labels[fold].sum()) >= LEAST_FOLD and 0 < labels[inner].mean() < 1:
+        shrink, vector_passes = _decide(rows, labels, df, inner, fold)
+    machine = _fitted(batches_of(rows, labels, order), df, labels, shrink)
+    if vector_passes:
+        machine.add_vectors()
+        for _ in range(vector_passes):
+            machine.step_through()
+    return machine.machine()
+
+
+def _fitted(batches: list[Batch], df: np.ndarray, labels: np.ndarray, shrink: float) -> _Learner:
+    learner = _Learner(batches, df, len(labels), labels.mean(), shrink)
+    for _ in range(max(EPOCHS, _passes(LEAST_STEPS, len(batches)))):
+        learner.step_through()
+    return learner
+
+
+def _decide(rows, labels, df, inner, fold) -> tuple[float, int]:
+    """Shrinkage of the weights and passes for the vectors, by the loss on the fold."""
+    batches = batches_of(rows, labels, inner)
+    df = np.bincount(np.concatenate([rows[i] for i in inner]), minlength=len(df)) * (df > 0)
+    held, truth = [rows[i] for i in fold], labels[fold]
+    tried = []
+    for shrink in SHRINKS:
+        learner = _fitted(batches, df, labels[inner], shrink)
+        tried.append((_loss(learner.machine(), held, truth), shrink, learner))
+    least, shrink, learner = min(tried, key=lambda x: x[:2])
+    del tried
+    best, passes, best_passes = least * (1 - GAIN), 0, 0
+    learner.add_vectors()
+    patience = max(2, _passes(PATIENCE, len(batches)))
+    most = max(EPOCHS // 2, _passes(MOST_VECTOR_STEPS, len(batches)))
+    while passes < min(most, best_passes + patience):
+        learner.step_through()
+        passes += 1
+        loss = _loss(learner.machine(), held, truth)
+        if loss < best:
+            best, best_passes = loss * (1 - GAIN), passes
+    return shrink, best_passes
 
 
 def fit(
@@ -128,8 +264,10 @@ def fit(
 ) -> Machine | None:
     """A model from labelled documents, or None unless both labels occur.
 
-    Rows of ``labels`` with a null id or label are left out; of contradicting ones, toxic wins.
-    Whole texts are read; the driver gets the distinct terms of at most ``most_rows`` rows.
+    Rows of ``labels`` with a null id or label are left out; of contradicting ones, toxic wins. Of
+    documents that repeat an id the one with the least digest of its text teaches. Whole texts are
+    read in tasks, which also count in how many rows a term occurs; the driver gets the common
+    terms of at most ``most_rows`` rows and ``MOST_ENTRIES`` entries.
     """
     known = (
         labels.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{label_col}`").alias("_y"))
@@ -141,28 +279,57 @@ def fit(
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), text_or_empty(text_col).alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in chunks(batches):
+        for piece in chunks(batches, "text", PIECE_BYTES):
             term, doc = terms_of(piece.column("text").to_pylist())
-            ends = np.searchsorted(doc, np.arange(piece.num_rows + 1))
-            packed = [term[a:b].astype("<i4").tobytes() for a, b in zip(ends, ends[1:])]
+            ends = np.searchsorted(doc, np.arange(piece.num_rows + 1)).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(term.astype(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [piece.column("_id"), pa.array(packed, pa.binary()), piece.column("label")],
-                ["_id", "terms", "label"],
+                [*(piece.column(c) for c in ("_id", "digest", "label")), lists],
+                ["_id", "digest", "label", "terms"],
             )
 
-    joined = texts.join(F.broadcast(chosen), "_id").select("_id", "text", "label")
-    schema = f"_id {joined.schema['_id'].dataType.simpleString()}, terms binary, label long"
-    rows = joined.mapInArrow(cut, schema).toPandas().sort_values(["_id", "terms"])
-    labels_seen = rows["label"].to_numpy(float)
+    joined = texts.join(F.broadcast(chosen), "_id")
+    joined = joined.select("_id", "text", F.sha2("text", 256).alias("digest"), "label")
+    kind = joined.schema["_id"].dataType.simpleString()
+    found = joined.mapInArrow(cut, f"_id {kind}, digest string, label long, terms array<long>")
+    rows = found.groupBy("_id").agg(F.min(F.struct("digest", "terms", "label")).alias("row"))
+    rows = hand_over(
+        rows.select(F.xxhash64("_id").alias("place"), "_id", "row.terms", "row.label"), "labelled"
+    )
+    sizes = rows.select("place", F.size("terms").alias("n")).orderBy("place").toPandas()
+    within = sizes["n"].cumsum() <= MOST_ENTRIES
+    if not within.all():
+        rows = rows.where(F.col("place") < int(sizes["place"][~within].iloc[0]))
+    counts = rows.select(F.explode("terms").alias("term")).groupBy("term").count()
+    common = counts.where(F.col("count") >= LEAST_ROWS).select("term").toPandas()
+    terms = np.sort(common["term"].to_numpy().astype(np.uint32))
+    shared = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine = Machine(0.0, np.zeros(0), np.zeros((0, 0)), shared.value)
+        for batch in batches:
+            packed = []
+            for row in batch.column("terms"):
+                term = row.values.to_numpy().astype(np.uint32)
+                at = machine.places(term, term)[0]
+                packed.append(at.astype("<i4").tobytes())
+            columns = [batch.column("place"), batch.column("label"), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["place", "label", "terms"])
+
+    sent = rows.mapInArrow(placed, "place long, label long, terms binary").toPandas()
+    sent = sent.sort_values(["place", "terms"])
+    labels_seen = sent["label"].to_numpy(float)
     if len(set(labels_seen)) < 2:
         return None
-    return learn([np.frombuffer(t, "<i4") for t in rows["terms"]], labels_seen)
+    learned = learn([np.frombuffer(t, "<i4") for t in sent.pop("terms")], labels_seen, len(terms))
+    return replace(learned, known=terms)
 
 
 def score_column(docs: DataFrame, model: Machine | None, text_col: str = "text") -> Column:
     """The probability that a text is toxic, for rows of ``docs``; without a model it is 0.
 
-    Null and empty texts have no terms and get the model's bias.
+    Null and empty texts have no terms and get the model's bias. A column that depends on the text
+    alone: repeated rows get the same value, and the caller names it, so that no name can clash.
     """
     if model is None:
         return F.lit(0.0)
@@ -174,10 +341,9 @@ def score_column(docs: DataFrame, model: Machine | None, text_col: str = "text")
         for part in parts:
             batch = pa.RecordBatch.from_arrays([pa.array(part, pa.string())], ["text"])
             found = [np.zeros(0)]
-            for piece in chunks([batch]):
-                found.append(
-                    machine.score(*terms_of(piece.column("text").to_pylist()), piece.num_rows)
-                )
+            for piece in chunks([batch], "text", PIECE_BYTES):
+                term = machine.places(*terms_of(piece.column("text").to_pylist()))
+                found.append(machine.score(*term, piece.num_rows))
             yield pd.Series(np.concatenate(found))
 
     return chance(text_or_empty(text_col))

@@ -65,24 +65,39 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS[0][:n], _POWERS[1][:n]
 
 
-def word_hashes(texts: list[str], prefix: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, doc) of every word, in order; with ``prefix``, of the words' first characters."""
-    points, starts = codes([t.lower() for t in texts])
-    inside = in_words(points)
-    before = np.concatenate([[False], inside])
-    after = np.concatenate([inside, [False]])
-    edge = before != after
-    at = np.flatnonzero(edge)
-    first, last = at[::2], at[1::2]
-    if prefix:
-        last = np.minimum(last, first + prefix)
-    if not first.size:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    power, inverse = _powers(len(points))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(points.astype(np.uint64)) * power)])
-    found = (sums[last] - sums[first]) * inverse[first]
-    found = mix(found ^ ((last - first).astype(np.uint64) * _STEP), 1)
-    return found, np.searchsorted(starts, first, "right") - 1
+class _Words:
+    """Where the words of some texts lie, and sums from which the hash of any stretch follows."""
+
+    def __init__(self, texts: list[str]):
+        points, starts = codes([t.lower() for t in texts])
+        inside = in_words(points)
+        at = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        self.first, self.last = at[::2], at[1::2]
+        self.doc = np.searchsorted(starts, self.first, "right") - 1
+        power, self._inverse = _powers(len(points))
+        spread = mix(points.astype(np.uint64))
+        spread *= power
+        self._sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum(spread, out=self._sums[1:])
+
+    def hashes(self, prefix: int = 0) -> np.ndarray:
+        """Of every word in order; with ``prefix``, of the words' first characters."""
+        first = self.first
+        last = np.minimum(self.last, first + prefix) if prefix else self.last
+        found = (self._sums[last] - self._sums[first]) * self._inverse[first]
+        return mix(found ^ ((last - first).astype(np.uint64) * _STEP), 1)
+
+
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, doc) of every word, in order."""
+    words = _Words(texts)
+    return words.hashes(), words.doc
+
+
+def stem_hashes(texts: list[str], prefix: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, hash of the first ``prefix`` characters, doc) of every word, in order."""
+    words = _Words(texts)
+    return words.hashes(), words.hashes(prefix), words.doc
 
 
 def shingle_hashes(

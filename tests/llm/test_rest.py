@@ -377,3 +377,82 @@ def test_contaminated(spark, tmp_path, monkeypatch):
     assert decontaminate.contaminated(table(spark, tmp_path / "e", []), bench).count() == 0
 
 
+
+
+def plain_score(machine, row):
+    """A row's probability by a double loop over its pairs of terms."""
+    raw = machine.bias + sum(float(machine.weights[t]) for t in row)
+    for a, b in itertools.combinations(row, 2):
+        raw += float(np.dot(machine.vectors[a].astype(float), machine.vectors[b].astype(float)))
+    return 1 / (1 + np.exp(-raw))
+
+
+def test_machine_against_plain_pairs():
+    rng = np.random.default_rng(2)
+    machine = toxicity.Machine(
+        -0.3, rng.normal(0, 0.5, 40).astype("f4"), rng.normal(0, 0.4, (40, 3)).astype("f4")
+    )
+    rows = [rng.choice(40, rng.integers(0, 12), replace=False) for _ in range(30)]
+    doc = np.repeat(np.arange(30), [len(r) for r in rows])
+    got = machine.score(np.concatenate(rows), doc, 30)
+    assert got == pytest.approx([plain_score(machine, r) for r in rows], abs=1e-9)
+
+
+def test_gradients_are_finite_differences():
+    rng = np.random.default_rng(3)
+    rows = [rng.choice(15, rng.integers(1, 8), replace=False) for _ in range(9)]
+    labels = rng.integers(0, 2, 9).astype(float)
+    (batch,) = toxicity.batches_of(rows, labels, np.arange(9))
+    n = len(batch.used)
+    bias, weights, vectors = 0.2, rng.normal(0, 1, n), rng.normal(0, 1, (n, 2))
+    _, by_bias, by_weight, by_vector, _ = toxicity.gradients(bias, weights, vectors, batch)
+
+    def loss(b, w, v):
+        off = toxicity.gradients(b, w, v, batch)[0]
+        chance = off + labels
+        return -np.mean(labels * np.log(chance) + (1 - labels) * np.log(1 - chance))
+
+    step = 1e-6
+    assert by_bias == pytest.approx((loss(bias + step, weights, vectors) - loss(bias - step, weights, vectors)) / (2 * step), abs=1e-6)
+    for i in range(n):
+        one = np.eye(n)[i] * step
+        assert by_weight[i] == pytest.approx((loss(bias, weights + one, vectors) - loss(bias, weights - one, vectors)) / (2 * step), abs=1e-6)
+        for k in range(2):
+            two = np.zeros((n, 2))
+            two[i, k] = step
+            assert by_vector[i, k] == pytest.approx((loss(bias, weights, vectors + two) - loss(bias, weights, vectors - two)) / (2 * step), abs=1e-6)
+
+
+@pytest.mark.parametrize(("n", "found", "wrong"), [(500, 0.6, 0.05), (3000, 0.9, 0.01), (20_000, 0.97, 0.01)])
+def test_machine_among_noise(n, found, wrong):
+    """Ten telling terms, some in each positive row, in rows of many terms that tell nothing."""
+    rng = np.random.default_rng(4)
+    share = 1 / np.arange(1, 20_001) ** 0.8
+    cut = np.cumsum(share / share.sum())
+    rows, labels = [], []
+    for _ in range(n + 2000):
+        label = rng.random() < 0.1
+        own = 10 + np.searchsorted(cut, rng.random(60))
+        telling = rng.choice(10, rng.integers(1, 4)) if label else np.zeros(0, int)
+        if not label and rng.random() < 0.003:
+            telling = rng.choice(10, 1)
+        rows.append(np.unique(np.concatenate([own, telling])))
+        labels.append(float(label))
+    labels = np.array(labels)
+    machine = toxicity.learn(rows[:n], labels[:n], terms=20_011)
+    doc = np.repeat(np.arange(2000), [len(r) for r in rows[n:]])
+    said = machine.score(np.concatenate(rows[n:]), doc, 2000) >= 0.5
+    truth = labels[n:] > 0
+    assert said[truth].mean() >= found and said[~truth].mean() <= wrong
+
+
+def test_repeated_rows_teach_once(spark, tmp_path):
+    """A labelled id that many rows repeat is one learning row, and terms in few rows stay away."""
+    rows = [(1, "odd words once")] * 50 + [(1, "others " * 5)] * 50
+    rows += [(10 + i, " ".join(words(i, 30, 50)) + (" rude" if i % 3 == 0 else "")) for i in range(120)]
+    docs = table(spark, tmp_path / "t", rows)
+    labels = spark.createDataFrame([(1, 1)] + [(10 + i, int(i % 3 == 0)) for i in range(120)], "doc_id long, toxic int")
+    machine = toxicity.fit(docs, labels)
+    known = set(machine.known.tolist())
+    assert set(toxicity.terms_of(["rude"])[0].tolist()) <= known
+    assert not known & set(toxicity.terms_of(["odd others once"])[0].tolist())

@@ -8,6 +8,7 @@ terms are found in tasks; scoring covers every row inside the scan.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
 
@@ -110,6 +111,7 @@ def batches_of(rows: list[np.ndarray], labels: np.ndarray, order: np.ndarray) ->
         own = order[at : at + BATCH]
         doc = np.repeat(np.arange(len(own), dtype=np.uint8), [len(rows[i]) for i in own])
         used, which = np.unique(np.concatenate([rows[i] for i in own]), return_inverse=True)
+        # Small types: all batches are held at once.
         out.append(Batch(labels[own], used.astype(np.int32), doc, which.astype(np.int32)))
     return out
 
@@ -188,10 +190,14 @@ class _Learner:
         return Machine(self.bias, self.weights.astype(np.float32), vectors.astype(np.float32))
 
 
-def _loss(machine: Machine, rows: list[np.ndarray], labels: np.ndarray) -> float:
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    raw = machine.raw(np.concatenate([np.zeros(0, np.int64), *rows]), doc, len(rows))
-    return float(np.logaddexp(0, np.where(labels > 0.5, -raw, raw)).mean())
+def _loss(learner: _Learner, batches: list[Batch]) -> float:
+    """The mean logistic loss of some rows."""
+    total = 0.0
+    for batch in batches:
+        vectors = None if learner.vectors is None else learner.vectors[batch.used]
+        off = gradients(learner.bias, learner.weights[batch.used], vectors, batch)[0]
+        total -= np.log1p(-np.minimum(np.abs(off), 1 - 1e-15)).sum()
+    return total / max(1, sum(len(batch.label) for batch in batches))
 
 
 def _passes(steps: int, batches: int) -> int:
@@ -205,50 +211,58 @@ def learn(rows: list[np.ndarray], labels: np.ndarray, terms: int | None = None)
     vectors are learned and whether they stay is decided by the loss on an inner fold of the rows;
     then the same is done with all rows.
     """
-    every = np.concatenate([np.zeros(0, np.int64), *rows])
-    df = np.bincount(every, minlength=terms or 1)
+    if terms is None:
+        terms = 1 + max((int(row.max()) for row in rows if len(row)), default=0)
+    df = np.zeros(terms, np.int64)
+    for row in rows:
+        df[row] += 1  # the terms of a row are distinct
     common = df >= LEAST_ROWS
-    df = np.where(common, df, 0)
-    rows = [row[common[row]] for row in rows]
+    if not common[df > 0].all():
+        df = np.where(common, df, 0)
+        rows = [row[common[row]] for row in rows]
     order = np.random.default_rng(7).permutation(len(rows))
-    fold, inner = order[::FOLD], np.setdiff1d(order, order[::FOLD])
+    held, own = order[::FOLD], np.setdiff1d(order, order[::FOLD])
+    ups, rate = labels[held].sum(), labels.mean()
+    inner, fold = batches_of(rows, labels, own), batches_of(rows, labels, held)
+    n, n_inner = len(rows), len(own)
+    del rows  # the batches hold them
     shrink, vector_passes = SHRINKS[1], 0
-    if min(labels[fold].sum(), len(fold) - labels[fold].sum()) >= LEAST_FOLD and 0 < labels[inner].mean() < 1:
-        shrink, vector_passes = _decide(rows, labels, df, inner, fold)
-    machine = _fitted(batches_of(rows, labels, order), df, labels, shrink)
+    if min(ups, len(held) - ups) >= LEAST_FOLD and 0 < labels[own].mean() < 1:
+        shrink, vector_passes = _decide(inner, fold, common, n_inner, labels[own].mean())
+    learner = _fitted(inner + fold, df, n, rate, shrink)
     if vector_passes:
-        machine.add_vectors()
+        learner.add_vectors()
         for _ in range(vector_passes):
-            machine.step_through()
-    return machine.machine()
+            learner.step_through()
+    return learner.machine()
 
 
-def _fitted(batches: list[Batch], df: np.ndarray, labels: np.ndarray, shrink: float) -> _Learner:
-    learner = _Learner(batches, df, len(labels), labels.mean(), shrink)
+def _fitted(batches: list[Batch], df: np.ndarray, n: int, rate: float, shrink: float) -> _Learner:
+    learner = _Learner(batches, df, n, rate, shrink)
     for _ in range(max(EPOCHS, _passes(LEAST_STEPS, len(batches)))):
         learner.step_through()
     return learner
 
 
-def _decide(rows, labels, df, inner, fold) -> tuple[float, int]:
+def _decide(inner: list[Batch], fold: list[Batch], common, n: int, rate: float) -> tuple[float, int]:
     """Shrinkage of the weights and passes for the vectors, by the loss on the fold."""
-    batches = batches_of(rows, labels, inner)
-    df = np.bincount(np.concatenate([rows[i] for i in inner]), minlength=len(df)) * (df > 0)
-    held, truth = [rows[i] for i in fold], labels[fold]
-    tried = []
-    for shrink in SHRINKS:
-        learner = _fitted(batches, df, labels[inner], shrink)
-        tried.append((_loss(learner.machine(), held, truth), shrink, learner))
-    least, shrink, learner = min(tried, key=lambda x: x[:2])
-    del tried
+    df = np.zeros(len(common), np.int64)
+    for batch in inner:
+        df[batch.used] += np.bincount(batch.which, minlength=len(batch.used))
+    least, shrink, learner = np.inf, SHRINKS[1], None
+    for each in SHRINKS:
+        tried = _fitted(inner, df, n, rate, each)
+        loss = _loss(tried, fold)
+        if loss < least:
+            least, shrink, learner = loss, each, tried
     best, passes, best_passes = least * (1 - GAIN), 0, 0
     learner.add_vectors()
-    patience = max(2, _passes(PATIENCE, len(batches)))
-    most = max(EPOCHS // 2, _passes(MOST_VECTOR_STEPS, len(batches)))
+    patience = max(2, _passes(PATIENCE, len(inner)))
+    most = max(EPOCHS // 2, _passes(MOST_VECTOR_STEPS, len(inner)))
     while passes < min(most, best_passes + patience):
         learner.step_through()
         passes += 1
-        loss = _loss(learner.machine(), held, truth)
+        loss = _loss(learner, fold)
         if loss < best:
             best, best_passes = loss * (1 - GAIN), passes
     return shrink, best_passes
@@ -316,15 +330,22 @@ def fit(
             columns = [batch.column("place"), batch.column("label"), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["place", "label", "terms"])
 
-    sent = rows.mapInArrow(placed, "place long, label long, terms binary").toPandas()
-    sent = sent.sort_values(["place", "terms"])
-    labels_seen = sent["label"].to_numpy(float)
-    if len(set(labels_seen)) < 2:
+    sent = [_sample(rows.mapInArrow(placed, "place long, label long, terms binary").toArrow())]
+    if len(np.unique(sent[0][1])) < 2:
         return None
-    learned = learn([np.frombuffer(t, "<i4") for t in sent.pop("terms")], labels_seen, len(terms))
+    learned = learn(*sent.pop(), len(terms))
     return replace(learned, known=terms)
 
 
+def _sample(sent: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows of terms and their labels in an order that does not depend on the tasks. The rows are
+    views of Arrow's buffers, so that the driver has them once."""
+    cells = [cell.as_buffer() for part in sent.column("terms").chunks for cell in part]
+    order = np.lexsort(([zlib.crc32(cell) for cell in cells], sent.column("place").to_numpy()))
+    labels = sent.column("label").to_numpy()[order].astype(float)
+    return [np.frombuffer(cells[i], "<i4") for i in order], labels
+
+
 def score_column(docs: DataFrame, model: Machine | None, text_col: str = "text") -> Column:
     """The probability that a text is toxic, for rows of ``docs``; without a model it is 0.
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -164,6 +165,29 @@ def _tested(token: str, known: tuple[str, np.ndarray]) -> float:
     return against_writing(token) if min(battery(known[1], size)) >= TEST_LEVEL else 1.0
 
 
+def _least(
+    cuts: dict[tuple[int, int], float], lists: list[list[tuple[int, int]]]
+) -> Iterator[tuple[int, int, float]]:
+    """Of spans that overlap the one of least p-value, times the number of spans it overlaps.
+
+    The spans of a list do not overlap and are in order, so those that meet another span lie side
+    by side, and all lists together are gone through a bounded number of times.
+    """
+    ends, gone = [[b for _, b in own] for own in lists], set()
+    for a, b in sorted(cuts, key=lambda x: (cuts[x], x)):
+        if (a, b) in gone:
+            continue
+        near = set()
+        for own, last in zip(lists, ends, strict=True):
+            i = bisect_right(last, a)
+            while i < len(own) and own[i][0] < b:
+                near.add(own[i])
+                i += 1
+        near -= gone
+        yield a, b, min(1.0, cuts[a, b] * len(near))
+        gone |= near
+
+
 def random_strings(text: str) -> list[tuple[int, int, float]]:
     """(start, end, p-value against writing) of candidates that pass the battery.
 
@@ -179,17 +203,15 @@ def random_strings(text: str) -> list[tuple[int, int, float]]:
                 if known := _known(token):
                     found.append((at, at + len(token), _tested(token, known)))
                 continue
-            cuts = {}
+            cuts, lists = {}, []
             for cut in _CUTS:
+                own = []
                 for c in cut.finditer(token):
                     if known := _known(c[0]):
                         cuts[c.span()] = _tested(c[0], known)
-            left = sorted(cuts, key=lambda x: (cuts[x], x))
-            while left:
-                a, b = left[0]
-                near = [x for x in left if x[0] < b and a < x[1]]
-                found.append((at + a, at + b, min(1.0, cuts[a, b] * len(near))))
-                left = [x for x in left if x not in near]
+                        own.append(c.span())
+                lists.append(own)
+            found += [(at + a, at + b, p) for a, b, p in _least(cuts, lists)]
     return found
 
 

@@ -333,7 +333,11 @@ def near_groups(
         text_or_empty(text_col).alias("text"),
     )
     same = source["_id"].eqNullSafe(shas["_id"]) & (source["_sha"] == shas["_sha"])
-    texts = hand_over(source.join(shas.hint("merge"), same).select("node", "text"), "texts")
+    texts = source.join(shas.hint("merge"), same).select("node", "text")
+    if not signed.groupBy("_id", "_sha").count().where("count > 1").isEmpty():
+        # Rows that repeat both id and text all meet the one node; it has its text once.
+        texts = texts.dropDuplicates(["node"])
+    texts = hand_over(texts, "texts")
     stars = members.where("node != pivot").select("pivot", "node")
     nearest = stars.groupBy("node").agg(F.min("pivot").alias("pivot"))
     links, labels = None, None

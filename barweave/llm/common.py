@@ -60,25 +60,17 @@ def stay(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> Data
 
     Rows that repeat an id and its text come out once. All columns of ``docs`` are kept.
     """
-    digest, key, mark = (fresh(docs, n) for n in ("_digest_", "_key_", "_before_"))
-    left = docs.withColumns(
-        {
-            digest: F.sha2(text_or_empty(text_col), 256),
-            key: F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")),
-        }
-    )
-    right = chosen.select(
-        F.coalesce(F.col("_id").cast("string"), F.lit("")).alias(key),
-        F.col("_digest").alias(digest),
-    ).distinct()
-    # The join leaves rows partitioned and sorted by (key, digest); the window needs no more.
+    digest, key, mark = (fresh(docs, n) for n in ("_digest_", "_key_", "_number_"))
+    left = docs.withColumns({digest: F.sha2(text_or_empty(text_col), 256), key: id_key(id_col)})
+    right = chosen.select(id_key("_id").alias(key), F.col("_digest").alias(digest)).distinct()
     from pyspark.sql import Window
 
     joined = left.join(right.hint("merge"), [key, digest], "left_semi")
-    order = Window.partitionBy(key).orderBy(digest)
+    # The join leaves rows dealt out by (key, digest), which is all that the window needs.
+    same = Window.partitionBy(key, digest).orderBy(digest)
     return (
-        joined.withColumn(mark, F.lag(digest).over(order))
-        .where(F.col(mark).isNull() | (F.col(mark) != F.col(digest)))
+        joined.withColumn(mark, F.row_number().over(same))
+        .where(F.col(mark) == 1)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
 

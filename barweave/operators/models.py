@@ -20,6 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barweave.operators.recurrent import RecurrentClassifier
 from barweave.operators.sequences import flat
 from barweave.schema import FEATURES
 
@@ -76,6 +77,34 @@ def sampled_boosted_trees(
     return _named(boosted, name)
 
 
+def recurrent_net(
+    name: str = "lstm",
+    *,
+    length: int = 5,
+    units: int = 32,
+    epochs: int = 30,
+    batch: int = 16,
+    patience: int = 0,
+    validation: float = 0.0,
+    step: float = 0.001,
+    seed: int = SEED,
+) -> RecurrentClassifier:
+    """An LSTM over the steps of the window. ``patience`` ends training when the loss on held-out
+    rows has not fallen for so many epochs; the best weights are kept."""
+    net = RecurrentClassifier(
+        length=length,
+        units=units,
+        epochs=epochs,
+        batch=batch,
+        patience=patience,
+        validation=validation,
+        stepSize=step,
+        seed=seed,
+    )
+    net.setFeaturesCol("features").setLabelCol("target")
+    return net.setPredictionCol(f"{name}_pred").setProbabilityCol(f"{name}_probability")
+
+
 def sequence_net(
     name: str = "lstm",
     *,
@@ -85,7 +114,7 @@ def sequence_net(
     n_features: int = len(FEATURES),
     seed: int = SEED,
 ) -> Estimator:
-    """A feed-forward net over the flattened window, in place of a recurrent one."""
+    """A feed-forward net over the flattened window; quicker than ``recurrent_net``."""
     net = MultilayerPerceptronClassifier(
         layers=[n_features * length, units, 2], maxIter=epochs, seed=seed
     )
@@ -127,13 +156,15 @@ def fit_all(
     recipes: Mapping[str, Estimator],
     stages: Callable[[], list] = lambda: [assembler()],
     parallelism: int = 1,
+    keep: Sequence[str] = (),
 ) -> dict[str, PipelineModel]:
     """Fit every recipe on the same rows, assembled and stored once.
 
+    ``keep`` names further columns that a recipe reads, such as the mark of its validation rows.
     Each fit is a distributed job series; ``parallelism`` lets several share the cluster.
     """
     prepared = Pipeline(stages=stages()).fit(rows)
-    vectors = prepared.transform(rows).select("features", "target")
+    vectors = prepared.transform(rows).select("features", "target", *keep)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:

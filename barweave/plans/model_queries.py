@@ -7,11 +7,20 @@ from collections.abc import Mapping
 from pyspark.ml import Pipeline
 from pyspark.ml.base import Estimator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, WindowSpec
 from pyspark.sql import functions as F
 
 from barweave import storage
-from barweave.operators import evaluate, features, models, score, sequences, split
+from barweave.operators import (
+    evaluate,
+    features,
+    logistic_by_key,
+    models,
+    score,
+    sequences,
+    split,
+    trees_by_key,
+)
 from barweave.plans import programs
 from barweave.plans.queries import feature_rows, feature_table, gapped, query, rounded_features
 from barweave.schema import FEATURES, MODEL_TITLES
@@ -116,6 +125,89 @@ def train_planted(spark, sf):
     )
 
 
+def _learned(long: DataFrame) -> DataFrame:
+    """Counts of long predictions by model, whether all are classes and nine in ten right."""
+    right = (F.col("predicted") == F.col("actual")).cast("double")
+    return long.groupBy("model").agg(
+        F.count("*").alias("n_rows"),
+        F.sum("actual").alias("n_up"),
+        F.bool_and(F.col("predicted").isin(0, 1)).alias("classes"),
+        (F.avg(right) >= 0.9).alias("learned"),
+    )
+
+
+@query
+def train_recurrent(spark, sf):
+    """An LSTM learns a label planted in the order of the rows: whether the close rose from the
+    first bar of a window to the last. The same rows the other way round have the other label.
+    Training ends when the loss on the last tenth of the training windows stops falling."""
+
+    def rising(df: DataFrame, w: WindowSpec) -> DataFrame:
+        up = F.lag("close", 1).over(w) > F.lag("close", 5).over(w)
+        return df.withColumn("target", up.cast("int"))
+
+    marked = split.chronological(feature_rows(spark, sf).framed(5, 0, rising), skip=5)
+    share = split.TRAIN_SHARE * split.TRAIN_SHARE
+    marked = split.chronological(marked, share, skip=5, name="is_fit")
+    scaled = features.scale(marked, FEATURES, F.coalesce("is_train", F.lit(True)))
+    windows = sequences.complete_sequences(sequences.add_sequences(scaled, 5).rows())
+    valid = (~F.col("is_fit")).alias("is_valid")
+    columns = ("symbol", "date", "target", "sequence", "is_train", valid)
+    vectors = models.sequence_vectors(storage.hand_over(windows.select(*columns), "windows"))
+    training = split.train_rows(vectors).withColumn("target", F.col("target").cast("double"))
+    net = models.recurrent_net(units=16, epochs=40, batch=32, patience=4, step=0.01)
+    net.setValidationIndicatorCol("is_valid")
+    fitted = models.fit_all(training, {"lstm": net}, stages=list, keep=["is_valid"])
+    scored = models.predict(split.test_rows(vectors), fitted)
+    return _learned(score.long_predictions(scored, ["lstm"]))
+
+
+@query
+def train_boosted(spark, sf):
+    """Second-order boosting over the whole table learns a planted label: whether the bar rose."""
+    rows = marked_rows(spark, sf).withColumns(
+        {"target": (F.col("ret1") > 0).cast("int"), "all": F.lit(1)}
+    )
+    training = split.train_rows(rows).select("all", *FEATURES, "target")
+    trees = trees_by_key.boost_by_key(training, "all", rounds=5, depth=3, step=0.5)
+    scored = trees.predict(split.test_rows(rows), "xgb")
+    return _learned(score.long_predictions(scored, ["xgb"]))
+
+
+@query
+def train_all_symbols(spark, sf):
+    """Logistic regression, forest and boosting for every supplier at once; a planted label."""
+    rows = marked_rows(spark, sf).withColumn("target", (F.col("ret1") > 0).cast("int"))
+    training = split.train_rows(rows)
+    lr = logistic_by_key.fit_by_key(training, l2=0.001)
+    rf = trees_by_key.forest_by_key(training, trees=10, depth=4)
+    xgb = trees_by_key.boost_by_key(training, rounds=3, depth=3, step=0.5)
+    scored = logistic_by_key.predict_by_key(split.test_rows(rows), lr)
+    scored = xgb.predict(rf.predict(scored, "rf"), "xgb")
+    return _learned(score.long_predictions(scored, ["lr", "rf", "xgb"]))
+
+
+@query
+def train_lr_optimum(spark, sf):
+    """Every supplier's regression against the condition of its optimum, worked out from the rows:
+    the summed derivative of loss and penalty is 0 by the intercept and by every coefficient."""
+    rows = split.train_rows(marked_rows(spark, sf))
+    fitted = logistic_by_key.fit_by_key(rows)
+    scored = logistic_by_key.predict_by_key(rows, fitted)
+    off = F.col("lr_probability") - F.col("target")
+    sums = [F.sum(off * F.col(c)).alias(f"by_{c}") for c in FEATURES]
+    size = [F.sum(F.abs(F.col(c))).alias(f"size_{c}") for c in FEATURES]
+    found = scored.groupBy("symbol").agg(
+        F.count("*").alias("n_rows"), F.sum("target").alias("n_up"), F.sum(off).alias("by"), *sums, *size
+    ).join(fitted.select("symbol", "coefficients"), "symbol")
+    flat = F.abs("by") <= 1e-6 * F.col("n_rows")
+    for i, c in enumerate(FEATURES):
+        slope = F.col(f"by_{c}") + F.col("coefficients")[i]
+        flat = flat & (F.abs(slope) <= 1e-6 * F.greatest(F.col(f"size_{c}"), F.lit(1.0)))
+    one = F.col("n_up").isin(0) | (F.col("n_up") == F.col("n_rows"))
+    return found.select("symbol", "n_rows", "n_up", (flat | one).alias("optimal"))
+
+
 @query
 def evaluate_all(spark, sf):
     """Three models on the test rows: one scoring pass, one aggregation."""

@@ -336,6 +336,12 @@ steps AS (SELECT symbol, date, place, {_vector_text()} AS step FROM placed)
 SELECT symbol, date, CASE WHEN place >= 5 THEN string_agg(step, ';') OVER (
   PARTITION BY symbol ORDER BY date ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) END AS sequence
 FROM steps""",
+    "stream_bar_features": f"""WITH {_FEAT}
+SELECT * FROM feat QUALIFY lead(date) OVER (PARTITION BY symbol ORDER BY date) IS NOT NULL""",
+    "stream_running_metrics": f"""WITH {_LONG} SELECT model, count(*) AS n_rows,
+  CAST(sum(CAST(actual = predicted AS INTEGER)) AS BIGINT) AS n_correct,
+  round(avg(CAST(actual = predicted AS INTEGER)), 6) AS accuracy, TRUE AS near
+FROM predictions GROUP BY model""",
     "stream_hot_sequences": """WITH steps AS (
   SELECT event_type AS symbol, event_id AS seq, CAST(CAST(value AS DECIMAL(38,6)) AS VARCHAR) AS step
   FROM events)
@@ -350,6 +356,23 @@ FROM steps""",
     "train_planted": f"""WITH {_PLACED}{_TEST}SELECT model, count(*) AS n_rows,
   CAST(sum(CAST(ret1 > 0 AS INTEGER)) AS BIGINT) AS n_up, TRUE AS classes, TRUE AS learned
 FROM test, (VALUES ('lr'), ('rf'), ('gbt')) AS m(model) GROUP BY model""",
+    "train_recurrent": f"""WITH {_FEAT},
+windows AS (
+  SELECT lag(close, 1) OVER w > lag(close, 5) OVER w AS up,
+         row_number() OVER w - 5 AS place, count(*) OVER (PARTITION BY symbol) - 5 AS n
+  FROM feat WINDOW w AS (PARTITION BY symbol ORDER BY date))
+SELECT 'lstm' AS model, count(*) AS n_rows, CAST(sum(CAST(up AS INTEGER)) AS BIGINT) AS n_up,
+  TRUE AS classes, TRUE AS learned
+FROM windows WHERE place > 0 AND place > floor(n * CAST(0.9 AS DOUBLE))""",
+    "train_boosted": f"""WITH {_PLACED}{_TEST}SELECT 'xgb' AS model, count(*) AS n_rows,
+  CAST(sum(CAST(ret1 > 0 AS INTEGER)) AS BIGINT) AS n_up, TRUE AS classes, TRUE AS learned
+FROM test""",
+    "train_all_symbols": f"""WITH {_PLACED}{_TEST}SELECT model, count(*) AS n_rows,
+  CAST(sum(CAST(ret1 > 0 AS INTEGER)) AS BIGINT) AS n_up, TRUE AS classes, TRUE AS learned
+FROM test, (VALUES ('lr'), ('rf'), ('xgb')) AS m(model) GROUP BY model""",
+    "train_lr_optimum": f"""WITH {_PLACED} SELECT symbol, count(*) AS n_rows,
+  CAST(sum(target) AS BIGINT) AS n_up, TRUE AS optimal
+FROM placed WHERE place <= floor(n * CAST(0.9 AS DOUBLE)) GROUP BY symbol""",
     "batch_predict": f"""WITH {_PLACED}{_TEST}
 SELECT symbol, date, target, TRUE AS consistent FROM test""",
     "udf_score": f"""WITH {_PLACED}{_TEST}SELECT symbol, date,
@@ -367,3 +390,5 @@ SELECT symbol, date, model, CASE coalesce(model, 'log') WHEN 'log' THEN CAST(clo
     "minmax_stage": f"""WITH {_RAW_FEAT} SELECT symbol, date, {_scaled(over='()', rounded=tuple(_FEATURES))},
   CAST(0.5 AS DOUBLE) AS flat FROM feat""",
 }
+
+ORACLE["stream_keyed_sequences"] = ORACLE["stream_sequences"]

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from barweave import storage
 from barweave.operators import clean, evaluate, features, models, score, sequences, split
 from barweave.operators.ordered import OrderedRows
+from barweave.operators.recurrent import RecurrentModel
 from barweave.plans.preprocess import prepare_raw
 from barweave.schema import FEATURES, MODEL_TITLES, PRICE_COLUMNS
 from barweave.sources import files, messages
@@ -80,13 +81,16 @@ def sequence_table(
 ) -> DataFrame:
     """Windows of scaled features with their own chronological mark."""
     bars = OrderedRows.arrange(table.drop("is_train"), ("symbol",), ("date", *PRICE_COLUMNS))
-    marked = split.chronological(bars, skip=length).rows()
+    marked = split.chronological(bars, skip=length)
+    # The last tenth of the training windows tells when a recurrent net should stop.
+    fitting = split.TRAIN_SHARE * split.TRAIN_SHARE
+    marked = split.chronological(marked, fitting, skip=length, name="is_fit").rows()
     by = ("date", *PRICE_COLUMNS)
     scaled = features.scale_with(marked, scaler)
     windows = sequences.add_sequences(OrderedRows.arrange(scaled, ("symbol",), by), length).rows()
     return models.sequence_vectors(
         sequences.complete_sequences(windows).select(
-            "symbol", "date", "target", "sequence", "is_train"
+            "symbol", "date", "target", "sequence", "is_train", (~F.col("is_fit")).alias("is_valid")
         )
     ).drop("sequence")
 
@@ -98,7 +102,10 @@ def scaler_path(root: str) -> str:
 
 def window_length(model: PipelineModel) -> int:
     """Rows in the windows of a stored sequence model."""
-    return model.stages[-1].getLayers()[0] // len(FEATURES)
+    net = model.stages[-1]
+    if isinstance(net, RecurrentModel):
+        return net.getLength()
+    return net.getLayers()[0] // len(FEATURES)
 
 
 def _one_symbol(
@@ -120,8 +127,10 @@ def _one_symbol(
             models.save(model, root, symbol, name)
     if windows is not None:
         training = split.train_rows(windows).withColumn("target", F.col("target").cast("double"))
-        net = models.sequence_net(**settings.get("lstm", {}))
-        fitted = models.fit_all(training, {"lstm": net}, stages=list)
+        net = models.recurrent_net(**settings.get("lstm", {}))
+        if net.getOrDefault("patience"):
+            net.setValidationIndicatorCol("is_valid")
+        fitted = models.fit_all(training, {"lstm": net}, stages=list, keep=["is_valid"])
         scored = models.predict(split.test_rows(windows), fitted)
         parts.append(score.long_predictions(scored, ["lstm"]))
         models.save(fitted["lstm"], root, symbol, "lstm")

@@ -25,8 +25,8 @@ from barweave.plans.queries import (
 )
 from barweave.schema import FEATURES, message_schema, to_internal
 from barweave.sources import messages
-from barweave.sources.bars import event_types, ordered_daily, table
-from barweave.streaming import scoring, sinks
+from barweave.sources.bars import event_types, ordered_daily, supplier_bars, table
+from barweave.streaming import keyed, scoring, sinks
 from barweave.streaming.state import windows_of
 
 DRAIN = sinks.trigger(drain=True)
@@ -162,6 +162,77 @@ def stream_sequences(spark, sf):
     return found.select("symbol", "date", text.alias("sequence"))
 
 
+def _in_halves(spark: SparkSession, early: DataFrame, late: DataFrame, follow) -> DataFrame:
+    """Drain a topic of the early rows through a stateful stream, add the late ones, start again
+    from the checkpoint; all rows of the sink."""
+    topic = publish(messages.as_messages(early), "topic")
+    sink, progress = storage.new_path(spark, "sink"), storage.new_path(spark, "progress")
+
+    def drain() -> None:
+        parsed = messages.parse(messages.folder_stream(spark, topic), SYMBOL_SCHEMA)
+        sinks.drained(sinks.to_files(follow(dated(to_internal(parsed))), sink, progress, **DRAIN))
+
+    drain()
+    messages.publish_folder(messages.as_messages(late), topic)
+    drain()
+    return written(spark, sink)
+
+
+@query
+def stream_keyed_sequences(spark, sf):
+    """The last five feature rows per symbol from the engine's state store, over a restart."""
+    rows = storage.hand_over(rounded_features(spark, sf), "features")
+    early = F.year("date") < 1998
+    found = _in_halves(spark, rows.where(early), rows.where(~early), keyed.sequences)
+    text = sequences.as_text(F.col("sequence"))
+    return found.select("symbol", "date", text.alias("sequence"))
+
+
+@query
+def stream_bar_features(spark, sf):
+    """Averages, returns and labels of raw prices that arrive as messages, over a restart: what the
+    table of bars gives, but for the last bar of a symbol, whose label is not known yet."""
+    rows = storage.hand_over(supplier_bars(spark, sf), "bars")
+    early = F.year("date") < 1998
+    found = _in_halves(spark, rows.where(early), rows.where(~early), keyed.bar_features)
+    return found.withColumns({c: F.round(c, 6) for c in ("sma5", "sma10")})
+
+
+@query
+def stream_running_metrics(spark, sf):
+    """Counts and quantiles per model as state of the stream; the quantiles of the close against the
+    ranks that all closes give them."""
+    table_ = storage.hand_over(rounded_features(spark, sf), "features")
+    topic = publish(messages.as_messages(table_), "topic")
+    stream = to_internal(
+        messages.parse(messages.folder_stream(spark, topic, files_per_trigger=2), SYMBOL_SCHEMA)
+    )
+    scored = score.chain(stream, rule_models())
+    long = score.long_predictions(scored, list(rule_models()), keep=("close",))
+    path = storage.new_path(spark, "totals")
+    totals = scoring.running_totals(long, "close")
+    progress = storage.new_path(spark, "progress")
+    sinks.drained(
+        sinks.each_batch(
+            totals, lambda b, i: sinks.write_batch(b, path, i), progress, mode="complete", **DRAIN
+        )
+    )
+    stored = written(spark, path)
+    newest = stored.where(F.col("batch_id") == stored.agg(F.max("batch_id")).first()[0])
+    read = scoring.read_totals(newest)
+    ranks = [F.avg((F.col("close") <= F.col(f"p{p}")).cast("double")).alias(f"r{p}") for p in (50, 90, 99)]
+    each = score.long_predictions(
+        score.chain(table_, rule_models()), list(rule_models()), keep=("close",)
+    ).select("model", "close")
+    found = each.join(read.select("model", "p50", "p90", "p99"), "model").groupBy("model").agg(*ranks)
+    near = F.lit(True)
+    for p in (50, 90, 99):
+        near = near & (F.abs(F.col(f"r{p}") - p / 100) <= 0.02)
+    return read.join(found, "model").select(
+        "model", "n_rows", "n_correct", F.round("accuracy", 6).alias("accuracy"), near.alias("near")
+    )
+
+
 @query
 def stream_hot_sequences(spark, sf):
     """Windows of three prices over all events under their few types, which count as heavy keys."""

@@ -103,3 +103,28 @@ def running_metrics(batches: DataFrame) -> DataFrame:
         ),
         F.max("max_latency_ms").alias("max_latency_ms"),
     )
+
+
+def running_totals(long: DataFrame, measure: str = "latency_ms") -> DataFrame:
+    """Totals per model over a whole stream of long predictions, as a streaming aggregation.
+
+    The engine keeps one row of state for each model: counts, and a KLL sketch of ``measure`` that
+    tasks merge, whose quantiles are within about 1.7 % of the rank. Write it in complete mode.
+    """
+    right = F.col("predicted") == F.col("actual")
+    return long.groupBy("model").agg(
+        F.count("*").alias("n_rows"),
+        F.count("actual").alias("n_labelled"),
+        F.count_if(right).alias("n_correct"),
+        F.max(measure).alias(f"max_{measure}"),
+        F.kll_sketch_agg_double(F.col(measure).cast("double")).alias("sketch"),
+    )
+
+
+def read_totals(totals: DataFrame, shares: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
+    """Accuracy and quantiles from the rows of ``running_totals``; quantiles p50, p90 and so on."""
+    quantiles = {
+        f"p{round(100 * q)}": F.kll_sketch_get_quantile_double("sketch", F.lit(float(q))) for q in shares
+    }
+    accuracy = F.try_divide(F.col("n_correct").cast("double"), F.col("n_labelled").cast("double"))
+    return totals.withColumns({"accuracy": accuracy, **quantiles}).drop("sketch")

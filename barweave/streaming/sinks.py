@@ -35,9 +35,9 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 
 def each_batch(
-    stream: DataFrame, write: BatchWriter, checkpoint: str, **when: object
+    stream: DataFrame, write: BatchWriter, checkpoint: str, *, mode: str = "append", **when: object
 ) -> StreamingQuery:
-    """Hand every non-empty micro-batch to ``write``."""
+    """Hand every non-empty micro-batch to ``write``; in complete mode all results so far."""
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
@@ -46,6 +46,7 @@ def each_batch(
     return (
         stream.writeStream.foreachBatch(guarded)
         .option("checkpointLocation", checkpoint)
+        .outputMode(mode)
         .trigger(**(when or trigger()))
         .start()
     )

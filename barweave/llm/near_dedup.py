@@ -35,6 +35,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 42, 6
 #: Members of a bucket that a task compares with so many others at a time.
 BLOCK = 1000
+#: Text bytes that a task signs or compares at a time; one text stays whole.
+PIECE_BYTES = 500_000
 _U = np.uint64
 
 
@@ -129,7 +131,7 @@ def _sets(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, own = None, None
-    for piece in chunks(batches, "text_b", 500_000):
+    for piece in chunks(batches, "text_b", PIECE_BYTES):
         other = _sets(piece.column("text_b").to_pylist())
         value = []
         for i, key in enumerate(piece.column("a").to_pylist()):
@@ -285,7 +287,7 @@ def near_groups(
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in chunks(batches):
+        for piece in chunks(batches, "text", PIECE_BYTES):
             prints, keys, registers = signatures(piece.column("text").to_pylist(), bands, rows)
             yield pa.RecordBatch.from_arrays(
                 [

@@ -112,7 +112,8 @@ def batches_of(rows: list[np.ndarray], labels: np.ndarray, order: np.ndarray) ->
         doc = np.repeat(np.arange(len(own), dtype=np.uint8), [len(rows[i]) for i in own])
         used, which = np.unique(np.concatenate([rows[i] for i in own]), return_inverse=True)
         # Small types: all batches are held at once.
-        out.append(Batch(labels[own], used.astype(np.int32), doc, which.astype(np.int32)))
+        small = np.uint16 if len(used) <= 2**16 else np.int32
+        out.append(Batch(labels[own], used.astype(np.int32), doc, which.astype(small)))
     return out
 
 

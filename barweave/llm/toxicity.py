@@ -335,6 +335,8 @@ def fit(
     if len(np.unique(sent[0][1])) < 2:
         return None
     learned = learn(*sent.pop(), len(terms))
+    shared.destroy()
+    pa.default_memory_pool().release_unused()  # the rows that were collected
     return replace(learned, known=terms)
 
 

@@ -4,7 +4,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from barweave.plans import programs
+from barweave.plans import keyed_models, programs
 from barweave.sources import messages
 from barweave.streaming import sinks
 
@@ -26,6 +26,7 @@ def arguments() -> argparse.Namespace:
     p.add_argument("--reports", required=True)
     p.add_argument("--names", default="lr,rf,gbt")
     p.add_argument("--symbols")
+    p.add_argument("--together", action="store_true", help="all symbols in the same jobs (lr, rf, xgb)")
     p.add_argument("--set", action="append", default=[], metavar="MODEL.OPTION=NUMBER")
 
     p = steps.add_parser("evaluate", help="compare stored models on test rows")
@@ -36,13 +37,13 @@ def arguments() -> argparse.Namespace:
 
     p = steps.add_parser("publish", help="rows as JSON messages")
     p.add_argument("--table", required=True)
-    p.add_argument("--symbol", required=True)
+    p.add_argument("--symbol", help="all symbols without it; messages then name theirs")
     p.add_argument("--typed", action="store_true")
     _target(p)
 
     p = steps.add_parser("score", help="score a message stream")
     p.add_argument("--models", required=True)
-    p.add_argument("--symbol", required=True)
+    p.add_argument("--symbol", help="without it, messages name theirs and models are those trained together")
     p.add_argument("--names", default="lr,rf,gbt")
     p.add_argument("--out", required=True)
     p.add_argument("--checkpoint", required=True)
@@ -84,9 +85,15 @@ def main() -> None:
         )
     elif a.step == "train":
         symbols = a.symbols.split(",") if a.symbols else None
-        predictions = programs.train(
-            spark, a.table, a.models, names, symbols, settings(a.set)
-        )
+        if a.together:
+            table = programs.read_table(spark, a.table)
+            if symbols:
+                table = table.where(table.symbol.isin(symbols))
+            predictions = keyed_models.train(table, a.models, names, settings(a.set))
+        else:
+            predictions = programs.train(
+                spark, a.table, a.models, names, symbols, settings(a.set)
+            )
         programs.report(predictions, a.reports).show(truncate=False)
     elif a.step == "evaluate":
         programs.evaluate_stored(spark, a.table, a.models, a.symbol, names).show(truncate=False)
@@ -104,10 +111,15 @@ def main() -> None:
             )
             stream = messages.topic_stream(spark, options)
         when = sinks.trigger(a.every, drain=a.drain)
-        query = programs.score_stream(
-            stream, a.models, a.symbol, names, a.out, a.checkpoint,
-            flags=a.flags, scaler=a.scaler, **when
-        )
+        options = {"flags": a.flags, "scaler": a.scaler, **when}
+        if a.symbol is None:
+            query = keyed_models.score_stream(
+                stream, a.models, names, a.out, a.checkpoint, **options
+            )
+        else:
+            query = programs.score_stream(
+                stream, a.models, a.symbol, names, a.out, a.checkpoint, **options
+            )
         sinks.drained(query)
 
 

@@ -13,11 +13,12 @@ rerun grows the same trees.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barweave.schema import FEATURES
@@ -205,6 +206,22 @@ class Trees:
         label = (F.col(f"{name}_probability") > 0.5).cast("double").alias(f"{name}_pred")
         return scored.select(*rows.columns, label, f"{name}_probability")
 
+    def save(self, path: str) -> None:
+        """Write the nodes, the bins and the settings as tables below ``path``."""
+        about = {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("nodes", "cuts")}
+        about["rule"] = asdict(self.rule)
+        spark = self.nodes.sparkSession
+        self.nodes.write.mode("overwrite").parquet(f"{path}/nodes")
+        self.cuts.write.mode("overwrite").parquet(f"{path}/cuts")
+        said = spark.createDataFrame([(json.dumps(about),)], "about string")
+        said.write.mode("overwrite").parquet(f"{path}/about")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Trees:
+        about = json.loads(spark.read.parquet(f"{path}/about").first().about)
+        about |= {"rule": Rule(**about["rule"]), "columns": tuple(about["columns"])}
+        return cls(spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/cuts"), **about)
+
     def leaf_value(self) -> Column:
         """What a leaf adds to the log odds."""
         a, b = F.col("a") / F.lit(float(UNIT)), F.col("b") / F.lit(float(UNIT))

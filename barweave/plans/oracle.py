@@ -317,6 +317,14 @@ FROM feat""",
 FROM feat""",
     "stream_restart": f"WITH {_FEAT} SELECT * FROM feat",
     "paced_replay": f"WITH {_FEAT} SELECT * FROM feat",
+    "stream_replay_batches": f"""WITH {_FEAT},
+dealt AS (SELECT symbol, date, (row_number() OVER (ORDER BY date, symbol) - 1) // 10000 AS batch_id
+  FROM feat)
+SELECT CAST(batch_id AS BIGINT) AS batch_id, count(*) AS n_rows, min(date) AS first_day,
+  max(date) AS last_day, CAST(sum(symbol) AS BIGINT) AS symbols,
+  CAST(sum(CAST(date_diff('day', DATE '1970-01-01', date) AS BIGINT) * symbol) AS BIGINT)
+    AS days_and_symbols
+FROM dealt GROUP BY batch_id""",
     "stream_score": f"""WITH {_WIDE} SELECT CAST(date AS VARCHAR) AS date, lr_pred, rf_pred,
   gbt_pred, target, TRUE AS timed, lr_pred = target AS lr_correct, rf_pred = target AS rf_correct,
   gbt_pred = target AS gbt_correct FROM wide WHERE NOT {_BROKEN}""",
@@ -370,6 +378,9 @@ FROM test""",
     "train_all_symbols": f"""WITH {_PLACED}{_TEST}SELECT model, count(*) AS n_rows,
   CAST(sum(CAST(ret1 > 0 AS INTEGER)) AS BIGINT) AS n_up, TRUE AS classes, TRUE AS learned
 FROM test, (VALUES ('lr'), ('rf'), ('xgb')) AS m(model) GROUP BY model""",
+    "stream_score_by_symbol": f"""WITH {_PLACED}{_TEST}SELECT model, count(*) AS n_rows,
+  CAST(sum(CAST(ret1 > 0 AS INTEGER)) AS BIGINT) AS n_up, TRUE AS classes, TRUE AS learned
+FROM test, (VALUES ('lr'), ('rf')) AS m(model) GROUP BY model""",
     "train_lr_optimum": f"""WITH {_PLACED} SELECT symbol, count(*) AS n_rows,
   CAST(sum(target) AS BIGINT) AS n_up, TRUE AS optimal
 FROM placed WHERE place <= floor(n * CAST(0.9 AS DOUBLE)) GROUP BY symbol""",

@@ -205,16 +205,18 @@ def evaluate_stored(
 def publish(
     spark: SparkSession,
     table_path: str,
-    symbol: str,
+    symbol: str | None = None,
     *,
     folder: str | None = None,
     servers: str | None = None,
     topic: str | None = None,
     typed: bool = False,
 ) -> None:
-    """The rows of a symbol as messages, into a text folder or a topic."""
-    own = F.col("symbol") == symbol
-    rows = read_table(spark, table_path).where(own).drop("symbol", "is_train")
+    """The rows of a symbol as messages, into a text folder or a topic; without a symbol those of
+    all symbols, in untyped messages that name it."""
+    rows = read_table(spark, table_path).drop("is_train")
+    if symbol is not None:
+        rows = rows.where(F.col("symbol") == symbol).drop("symbol")
     body = messages.as_typed_messages(rows) if typed else messages.as_messages(rows)
     if folder:
         messages.publish_folder(body, folder)
@@ -236,7 +238,8 @@ def score_stream(
 ) -> StreamingQuery:
     """Score messages of one symbol with its stored models.
 
-    Predictions, dead letters and per-batch metrics land in folders under ``out``. ``scaler`` names
+    Predictions, dead letters and per-batch metrics are tables of committed batches under ``out``
+    (``batches.read``). ``scaler`` names
     the bounds stored by ``preprocess`` for models trained on scaled rows. Sequence models get the
     last rows scaled with their own bounds, remembered under ``out``; they answer NULL until there
     are enough.

@@ -7,12 +7,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barweave import storage
-from barweave.operators import features, models, score, sequences, split
+from barweave.operators import (
+    features,
+    logistic_by_key,
+    models,
+    score,
+    sequences,
+    split,
+    trees_by_key,
+)
+from barweave.plans import keyed_models
 from barweave.plans.queries import (
     TYPE_SLAB_ROWS,
     feature_rows,
@@ -26,11 +36,15 @@ from barweave.plans.queries import (
 from barweave.schema import FEATURES, message_schema, to_internal
 from barweave.sources import messages
 from barweave.sources.bars import event_types, ordered_daily, supplier_bars, table
-from barweave.streaming import keyed, scoring, sinks
+from barweave.sources.replay import replay_stream, store_in_order
+from barweave.streaming import batches, keyed, scoring, sinks
 from barweave.streaming.state import windows_of
 
 DRAIN = sinks.trigger(drain=True)
 
+# Messages of a batch in the queries that replay.
+REPLAY_ROWS = 10_000
+
 SYMBOL_SCHEMA = T.StructType([T.StructField("symbol", T.LongType()), *message_schema().fields])
 
 
@@ -88,13 +102,52 @@ def stream_restart(spark, sf):
 
 @query
 def paced_replay(spark, sf):
-    """A replay limited to two files per batch arrives whole."""
-    topic = publish(messages.as_messages(rounded_features(spark, sf)), "topic")
-    stream = messages.folder_stream(spark, topic, files_per_trigger=2)
-    path = run(spark, lambda p, c: sinks.to_files(stream, p, c, **DRAIN))
+    """A replay of so many messages per batch arrives whole."""
+    path = storage.new_path(spark, "sink")
+    stream = _replayed(spark, sf).select("value")
+    sinks.caught_up(sinks.to_files(stream, path, storage.new_path(spark, "progress")))
     return dated(to_internal(messages.parse(written(spark, path), SYMBOL_SCHEMA)))
 
 
+def _replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """All messages in the order of their days and symbols, ``REPLAY_ROWS`` in a batch."""
+    whole = rounded_features(spark, sf).withColumn("day", F.col("date"))
+    keyed_rows = messages.as_messages(whole.withColumn("key", F.col("symbol")), keep=("day", "key"))
+    path = storage.new_path(spark, "replay")
+    store_in_order(keyed_rows, path, ("day", "key"), REPLAY_ROWS)
+    return replay_stream(spark, path, REPLAY_ROWS)
+
+
+@query
+def stream_replay_batches(spark, sf):
+    """What every batch of a replay held: so many rows, the next ones in order. The query is
+    stopped after its first batch and started again."""
+    path, progress = storage.new_path(spark, "sink"), storage.new_path(spark, "progress")
+    stream = _replayed(spark, sf)
+
+    def first_only(batch: DataFrame, batch_id: int) -> None:
+        if batch_id:
+            raise InterruptedError("stopped")
+        batches.commit(batch, path, batch_id)
+
+    cut_off = sinks.each_batch(stream, first_only, progress)
+    try:
+        sinks.caught_up(cut_off)
+    except StreamingQueryException as error:
+        if "stopped" not in str(error):
+            raise
+    sinks.caught_up(sinks.each_batch(stream, lambda b, i: batches.commit(b, path, i), progress))
+    key = F.col("key").cast("long")
+    place = F.datediff("day", F.lit("1970-01-01")).cast("long")
+    return batches.read(spark, path).groupBy("batch_id").agg(
+        F.count("*").alias("n_rows"),
+        F.min("day").alias("first_day"),
+        F.max("day").alias("last_day"),
+        F.sum(key).alias("symbols"),
+        F.sum(place * key).alias("days_and_symbols"),
+    )
+
+
 def _scored(spark: SparkSession, sf: str) -> dict[str, str]:
     """Run the scoring stream with the rule models; where its three outputs are."""
     topic = publish(keyed_messages(spark, sf), "topic")
@@ -116,20 +169,20 @@ def _scored(spark: SparkSession, sf: str) -> dict[str, str]:
 
 @query
 def stream_score(spark, sf):
-    rows = written(spark, _scored(spark, sf)["predictions"])
+    rows = batches.read(spark, _scored(spark, sf)["predictions"])
     return rows.withColumn("timed", F.col("latency_ms") >= 0).drop("latency_ms", "batch_id")
 
 
 @query
 def stream_dead_letters(spark, sf):
-    rows = written(spark, _scored(spark, sf)["dead"])
+    rows = batches.read(spark, _scored(spark, sf)["dead"])
     whole = F.get_json_object("value", "$.Target")
     return rows.agg(F.count("*").alias("n_dead"), F.count(whole).alias("n_readable"))
 
 
 @query
 def stream_metrics(spark, sf):
-    totals = scoring.running_metrics(written(spark, _scored(spark, sf)["metrics"]))
+    totals = scoring.running_metrics(batches.read(spark, _scored(spark, sf)["metrics"]))
     return totals.drop("max_latency_ms").withColumn("accuracy", F.round("accuracy", 6))
 
 
@@ -354,8 +407,37 @@ def stream_score_fitted(spark, sf):
     batch = models.predict(test, fitted).select(
         "symbol", "date", *[F.col(f"{n}_pred").alias(f"{n}_batch") for n in recipes]
     )
-    both = dated(written(spark, sink)).join(batch, ["symbol", "date"], "full")
+    both = dated(batches.read(spark, sink)).join(batch, ["symbol", "date"], "full")
     same = F.lit(True)
     for n in recipes:
         same = same & F.col(f"{n}_pred").isin(0.0, 1.0) & (F.col(f"{n}_pred") == F.col(f"{n}_batch"))
     return both.select("symbol", "date", "target", F.coalesce(same, F.lit(False)).alias("same"))
+
+
+@query
+def stream_score_by_symbol(spark, sf):
+    """One stream with the messages of all suppliers, each scored by its own models, which are
+    tables keyed by symbol; a planted label."""
+    marked = split.chronological(feature_rows(spark, sf)).rows()
+    rows = storage.hand_over(
+        marked.withColumn("target", (F.col("ret1") > 0).cast("int")), "marked"
+    )
+    root, out = storage.new_path(spark, "models"), storage.new_path(spark, "live")
+    training = split.train_rows(rows)
+    keyed_models.save(logistic_by_key.fit_by_key(training, l2=0.001), root, "lr")
+    keyed_models.save(trees_by_key.forest_by_key(training, trees=10, depth=4), root, "rf")
+    topic = publish(messages.as_messages(split.test_rows(rows).drop("is_train")), "topic")
+    stream = messages.folder_stream(spark, topic)
+    progress = storage.new_path(spark, "progress")
+    sinks.drained(
+        keyed_models.score_stream(stream, root, ["lr", "rf"], out, progress, symbol="long", **DRAIN)
+    )
+    live = batches.read(spark, f"{out}/predictions")
+    long = score.long_predictions(live, ["lr", "rf"])
+    right = (F.col("predicted") == F.col("actual")).cast("double")
+    return long.groupBy("model").agg(
+        F.count("*").alias("n_rows"),
+        F.sum("actual").alias("n_up"),
+        F.bool_and(F.col("predicted").isin(0, 1)).alias("classes"),
+        (F.avg(right) >= 0.9).alias("learned"),
+    )

@@ -6,11 +6,17 @@ may fall back to a folder of this machine.
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _CONF = "spark.checkpoint.dir"
 
+# The folder below that of the application for tables that ``temporary`` deletes.
+_SCOPE: ContextVar[str] = ContextVar("scope", default="")
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for checkpoints and handed-over tables, registered with the Spark context."""
@@ -30,7 +36,7 @@ def run_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, label: str) -> str:
     """A path in the folder of this application that nothing has used before."""
-    return f"{run_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{run_dir(spark)}/{_SCOPE.get()}{label}-{uuid.uuid4().hex}"
 
 
 def release(spark: SparkSession) -> None:
@@ -38,10 +44,27 @@ def release(spark: SparkSession) -> None:
 
     For when all results that read them have been written; a frame that still needs one fails.
     """
-    path = spark._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    _delete(spark, run_dir(spark))
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables handed over inside at the end, such as those of one micro-batch, whose
+    results have been written by then."""
+    scope = f"scope-{uuid.uuid4().hex}"
+    token = _SCOPE.set(f"{scope}/")
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+        _delete(spark, f"{run_dir(spark)}/{scope}")
+
+
 def hand_over(df: DataFrame, label: str = "table") -> DataFrame:
     """Write a table and read it back: for rows that several jobs need.
 

@@ -12,7 +12,9 @@ from barweave.operators.clean import split_valid
 from barweave.operators.score import long_predictions, with_flags
 from barweave.schema import FEATURES, to_internal
 from barweave.sources.messages import parse, prediction_messages
-from barweave.streaming.sinks import BatchWriter, stamped, write_batch
+from barweave.storage import temporary
+from barweave.streaming.batches import commit
+from barweave.streaming.sinks import BatchWriter, stamped
 
 
 def bars_from_messages(messages: DataFrame, schema: T.StructType | None = None) -> DataFrame:
@@ -51,30 +53,35 @@ def scoring_writer(
 
     ``flags`` adds whether each model was right. ``prepare`` changes the usable rows of a batch,
     given its id, before they are scored.
-    The parsed batch is stored while it feeds the outputs; every output is keyed by the batch id.
+    The parsed batch is stored while it feeds the outputs. Every output is a table of committed
+    batches, to be read with ``batches.read``; what a batch hands over is deleted at its end.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good, bad = split_valid(batch, required)
-            if prepare is not None:
-                good = prepare(good, batch_id)
-            scored = predict(good).withColumn(
-                "latency_ms", C.latency_ms(F.col("ingest_time"), F.current_timestamp())
-            )
-            columns = [*keep, *[f"{m}_pred" for m in models], "target", "latency_ms"]
-            if flags:
-                scored = with_flags(scored, models)
-                columns += [f"{m}_correct" for m in models]
-            write_batch(scored.select(*columns), path, batch_id)
-            if dead_letters:
-                write_batch(bad.select("value", "ingest_time"), dead_letters, batch_id)
-            if metrics:
-                write_batch(batch_metrics(scored, models), metrics, batch_id)
+            with temporary(batch.sparkSession):
+                outputs(batch, batch_id)
         finally:
             batch.unpersist()
 
+    def outputs(batch: DataFrame, batch_id: int) -> None:
+        good, bad = split_valid(batch, required)
+        if prepare is not None:
+            good = prepare(good, batch_id)
+        scored = predict(good).withColumn(
+            "latency_ms", C.latency_ms(F.col("ingest_time"), F.current_timestamp())
+        )
+        columns = [*keep, *[f"{m}_pred" for m in models], "target", "latency_ms"]
+        if flags:
+            scored = with_flags(scored, models)
+            columns += [f"{m}_correct" for m in models]
+        commit(scored.select(*columns), path, batch_id)
+        if dead_letters:
+            commit(bad.select("value", "ingest_time"), dead_letters, batch_id)
+        if metrics:
+            commit(batch_metrics(scored, models), metrics, batch_id)
+
     return write
 
 

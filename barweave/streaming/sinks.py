@@ -86,6 +86,15 @@ def drained(query: StreamingQuery) -> None:
         raise query.exception()
 
 
+def caught_up(query: StreamingQuery) -> None:
+    """Wait until a query has taken in all that its source has now, then stop it; pass on its
+    failure."""
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 def stamped(messages: DataFrame) -> DataFrame:
     """Add the time a row was taken in, the same for all rows of a batch."""
     return messages.withColumn("ingest_time", F.current_timestamp())

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from barweave import __main__ as command
 from barweave.operators import features, models, sequences
 from barweave.operators.ordered import OrderedRows
-from barweave.plans import programs
+from barweave.plans import keyed_models, programs
 from barweave.sources import messages
-from barweave.streaming import sinks
+from barweave.streaming import batches, sinks
 
 
 def write_file(path, n, shift):
@@ -72,11 +72,11 @@ def test_train_report_evaluate_and_stream(spark, work, monkeypatch, capsys):
         "score", "--models", stored, "--symbol", "AA", "--names", "lr", "--folder", f"{work}/topic",
         "--out", f"{work}/live", "--checkpoint", f"{work}/progress", "--drain", "--flags",
     )
-    rows = spark.read.parquet(f"{work}/live/predictions")
+    rows = batches.read(spark, f"{work}/live/predictions")
     assert rows.count() == 119
     assert rows.where("lr_correct <> (lr_pred = target)").isEmpty()
     assert rows.where(~F.col("lr_pred").isin(0.0, 1.0)).isEmpty()
-    assert spark.read.parquet(f"{work}/live/metrics").first().n_rows == 119
+    assert batches.read(spark, f"{work}/live/metrics").first().n_rows == 119
 
 
 def test_stream_of_row_and_sequence_models(spark, work, tmp_path):
@@ -96,7 +96,7 @@ def test_stream_of_row_and_sequence_models(spark, work, tmp_path):
             **sinks.trigger(drain=True),
         )
         sinks.drained(query)
-    live = spark.read.parquet(f"{tmp_path}/live/predictions")
+    live = batches.read(spark, f"{tmp_path}/live/predictions")
     rows = {str(r.date): r for r in live.collect()}
     assert len(rows) == own.count() and {r.symbol for r in rows.values()} == {"BB"}
     known = sorted(d for d, r in rows.items() if r.lstm_pred is not None)
@@ -110,6 +110,36 @@ def test_stream_of_row_and_sequence_models(spark, work, tmp_path):
     assert all(rows[str(r.date)].lstm_pred == r.lstm_pred for r in batch)
 
 
+def test_all_symbols_together(spark, work, monkeypatch):
+    """Models of both symbols from the same jobs, served by one stream to messages of both and of a
+    symbol that has none."""
+
+    def run(*words):
+        monkeypatch.setattr(sys, "argv", ["barweave", *words])
+        command.main()
+
+    table, stored, names = f"{work}/table", f"{work}/together", ["--names", "lr,rf"]
+    options = ["--set", "rf.trees=3", "--set", "rf.depth=2"]
+    run("train", "--together", "--table", table, "--models", stored, "--reports", f"{work}/all", *names, *options)
+    run("publish", "--table", table, "--folder", f"{work}/all_topic")
+    other = programs.read_table(spark, table).where("symbol = 'AA'").limit(2).withColumn("symbol", F.lit("CC"))
+    messages.publish_folder(messages.as_messages(other.drop("is_train")), f"{work}/all_topic")
+    run(
+        "score", "--models", stored, *names, "--folder", f"{work}/all_topic", "--drain", "--flags",
+        "--out", f"{work}/all_live", "--checkpoint", f"{work}/all_progress",
+    )
+    live = batches.read(spark, f"{work}/all_live/predictions")
+    assert {r.symbol: r["count"] for r in live.groupBy("symbol").count().collect()} == {
+        "AA": 119, "BB": 119, "CC": 2,
+    }
+    assert live.where("symbol = 'CC' and (lr_pred is not null or rf_pred is not null)").isEmpty()
+    known = programs.read_table(spark, table)
+    fitted = {n: keyed_models.load(spark, stored, n) for n in ("lr", "rf")}
+    batch = keyed_models.predict(known, fitted).select("symbol", F.col("date").cast("string"), "lr_pred", "rf_pred")
+    served = live.where("symbol <> 'CC'").select("symbol", "date", "lr_pred", "rf_pred")
+    assert batch.exceptAll(served).isEmpty() and served.count() == batch.count()
+
+
 def test_models_that_prepare_differently_do_not_combine(spark, work):
     table = programs.read_table(spark, f"{work}/table")
     rows = models.training_rows(table)

@@ -7,7 +7,7 @@ from barweave.operators import score, sequences
 from barweave.schema import message_schema, to_internal
 from barweave.sources import messages
 from barweave.sources.bars import ordered_daily
-from barweave.streaming import scoring, sinks
+from barweave.streaming import batches, scoring, sinks
 from barweave.streaming.state import windows_of
 from tests.helpers import price_rows, same_rows
 
@@ -121,14 +121,14 @@ def test_scoring(spark, topic):
     stream = scoring.bars_from_messages(messages.folder_stream(spark, path, files_per_trigger=1))
     sinks.drained(sinks.each_batch(stream, write, storage.new_path(spark, "p"), **DRAIN))
 
-    rows = spark.read.parquet(out["rows"])
+    rows = batches.read(spark, out["rows"])
     assert rows.columns == ["date", "lr_pred", "rf_pred", "target", "latency_ms", "batch_id"]
     got = sorted((r.date, r.lr_pred, r.rf_pred) for r in rows.collect())
     assert got == [("2024-01-01", 0, 0), ("2024-01-02", 1, 0), ("2024-01-03", 1, 1)]
     assert rows.where("latency_ms < 0 or latency_ms is null").isEmpty()
-    dead = spark.read.parquet(out["dead"])
+    dead = batches.read(spark, out["dead"])
     assert {r.value for r in dead.collect()} == {"broken", '{"Date": "2024-01-01", "Close": 5.0}'}
-    totals = {r.model: r for r in scoring.running_metrics(spark.read.parquet(out["metrics"])).collect()}
+    totals = {r.model: r for r in scoring.running_metrics(batches.read(spark, out["metrics"])).collect()}
     assert (totals["lr"].n_rows, totals["lr"].n_correct) == (3, 2)
     assert totals["rf"].accuracy == pytest.approx(1 / 3)
 

@@ -163,7 +163,16 @@ later AS (
     FROM solid WHERE following IS NOT NULL
   ) WHERE k > 1
 ),
-gone AS (SELECT doc_id, n FROM later UNION SELECT doc_id, n + 1 FROM later),
+later_single AS (
+  SELECT doc_id, n FROM (
+    SELECT doc_id, n, row_number() OVER (PARTITION BY line ORDER BY doc_id, n) AS k
+    FROM solid WHERE len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) >= 20
+  ) WHERE k > 1
+),
+gone AS (
+  SELECT doc_id, n FROM later UNION SELECT doc_id, n + 1 FROM later
+  UNION SELECT doc_id, n FROM later_single
+),
 runs AS (
   SELECT doc_id, min(i) AS a, max(i) AS b FROM (
     SELECT s.doc_id, s.i, s.n - row_number() OVER (PARTITION BY s.doc_id ORDER BY s.n) AS run

@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -60,8 +61,9 @@ def test_exact_hot_blocks(spark, tmp_path, monkeypatch):
 # -- lines -------------------------------------------------------------------------------------
 
 
-def plain_lines(rows, least):
-    """(id, lines, removed, runs, kept) by looking at every run of ``least`` lines in order."""
+def plain_lines(rows, least, words=None):
+    """(id, lines, removed, runs, kept) by looking at every run of ``least`` lines in order, and at
+    every line of so many words."""
     seen, out = set(), Counter()
     for i, text in sorted(((i, t or "") for i, t in rows), key=lambda r: low(r[0])):
         lines = text.split("\n")
@@ -72,6 +74,11 @@ def plain_lines(rows, least):
             if run in seen:
                 gone.update(range(k, k + least))
             seen.add(run)
+        for k, n in enumerate(solid):
+            if words is not None and len(re.findall(r"[^\x20\x09-\x0D]+", lines[n])) >= words:
+                if lines[n] in seen:
+                    gone.add(k)
+                seen.add(lines[n])
         runs, kept = [], []
         for k in sorted(gone):
             if k - 1 in gone:
@@ -91,11 +98,33 @@ def test_lines(spark, tmp_path, least):
         for i in range(60)
     ]
     docs = table(spark, tmp_path / "t", rows)
-    found = Counter(tuple(r) for r in line_dedup.dedup_lines(docs, least_lines=least).collect())
+    found = Counter(tuple(r) for r in line_dedup.dedup_lines(docs, least_lines=least, least_words=None).collect())
     # Rows that share an id come in the order they are read; here they have equal texts or none in common.
     assert found == plain_lines(rows, least)
 
 
+@pytest.mark.parametrize(("least", "words"), [(2, 3), (3, 2), (4, 4)])
+def test_single_long_lines(spark, tmp_path, least, words):
+    """Lines of enough words go wherever they occur again, beside runs that repeat at any depth."""
+    rng = random.Random(words)
+    block = [f"{i} of a block" for i in range(21)]
+    pool = ["a", "b c", "d e f", "g h i j", "k l\tm\u00a0n o p", "", " ", "x\u3000y z"]
+    rows = [(i, "\n".join(rng.choice(pool) for _ in range(rng.randrange(9)))) for i in range(50)]
+    rows += [(50 + i, "\n".join(["q"] * i + block[i % 3 :] + ["r"] * (i % 4))) for i in range(12)]
+    rows += [(70, "x\n" * 40), (71, "x\n" * 40)]
+    docs = table(spark, tmp_path / "t", rows)
+    got = line_dedup.dedup_lines(docs, least_lines=least, least_words=words)
+    assert Counter(tuple(r) for r in got.collect()) == plain_lines(rows, least, words)
+
+
+def test_a_long_line_with_other_neighbours_goes(spark, tmp_path):
+    passage = " ".join(prose(5, 60).split())
+    rows = [(i, f"before {i}\n{passage}\nafter {i}") for i in range(5)]
+    got = line_dedup.dedup_lines(table(spark, tmp_path / "t", rows)).collect()
+    assert sorted((r["doc_id"], r["n_removed"]) for r in got) == [(0, 0)] + [(i, 1) for i in range(1, 5)]
+    assert sum(passage in r["kept_text"] for r in got) == 1
+
+
 def test_lines_empty(spark, tmp_path):
     assert line_dedup.dedup_lines(table(spark, tmp_path / "t", [])).count() == 0
 

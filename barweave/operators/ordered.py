@@ -26,6 +26,9 @@ from barweave.storage import freeze, hand_over
 # unique daily bars never need the measurement.
 SLAB_ROWS = 4_000_000
 
+# Rows of a task that numbers heavy keys; shorter slabs do not need a task each.
+PART_ROWS = 250_000
+
 # Bounds for broadcast sides of this module, checked against exact counts.
 BROADCAST_ROWS = 1_000_000
 
@@ -79,7 +82,8 @@ class OrderedRows:
         tagged = _lookup(df, freeze(sizes), key, keys)
         light = tagged.where(F.col("_rows").isNull()).drop("_rows")
         heavy = tagged.where(F.col("_rows").isNotNull()).drop("_rows")
-        heavy = _number(heavy, key, by, keys, math.ceil(rows / slab_rows))
+        enough = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / PART_ROWS))
+        heavy = _number(heavy, key, by, keys, min(math.ceil(rows / slab_rows), enough))
         return cls(key, by, light, heavy, keys, rows, slab_rows)
 
     # -- row order -----------------------------------------------------------------------------

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from barweave.operators import features, sequences, split
+from barweave.operators import features, ordered, sequences, split
 from barweave.operators.ordered import OrderedRows
 from barweave.schema import MAX_DAILY_ROWS
 from tests.helpers import same_rows
@@ -105,3 +105,16 @@ def test_all_features_use_one_exchange(spark):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.count("Sort [") == 1
+
+
+def test_short_slabs_need_no_task_each(spark, ticks, monkeypatch):
+    parts, number = [], ordered._number
+
+    def counted(heavy, key, by, keys, n):
+        parts.append(n)
+        return number(heavy, key, by, keys, n)
+
+    monkeypatch.setattr(ordered, "_number", counted)
+    plain, cut = both(ticks, 5)
+    assert parts == [min(134, spark.sparkContext.defaultParallelism)]
+    assert same_rows(plain.positions("at", "n").rows(), cut.positions("at", "n").rows())

@@ -29,6 +29,7 @@ from barweave.plans.queries import (
     feature_table,
     keyed_messages,
     publish,
+    publish_more,
     query,
     rounded_features,
     rule_models,
@@ -85,7 +86,7 @@ def stream_parse(spark, sf):
 @query
 def stream_restart(spark, sf):
     """Two runs over a growing topic with one checkpoint: every message exactly once."""
-    rows = storage.hand_over(rounded_features(spark, sf), "features")
+    rows = storage.hand_over(rounded_features(spark, sf), "features", "zstd")
     early = F.year("date") < 1998
     topic = publish(messages.as_messages(rows.where(early)), "topic")
     sink, progress = storage.new_path(spark, "sink"), storage.new_path(spark, "progress")
@@ -95,7 +96,7 @@ def stream_restart(spark, sf):
         sinks.drained(sinks.to_files(stream, sink, progress, **DRAIN))
 
     drain()
-    messages.publish_folder(messages.as_messages(rows.where(~early)), topic)
+    publish_more(messages.as_messages(rows.where(~early)), topic)
     drain()
     return dated(to_internal(messages.parse(written(spark, sink), SYMBOL_SCHEMA)))
 
@@ -202,7 +203,7 @@ def _windows_in_halves(spark: SparkSession, early: DataFrame, late: DataFrame, w
         sinks.drained(sinks.each_batch(dated(to_internal(parsed)), write, progress, **DRAIN))
 
     drain()
-    messages.publish_folder(messages.as_messages(late), topic)
+    publish_more(messages.as_messages(late), topic)
     drain()
     return written(spark, sink)
 
@@ -210,7 +211,7 @@ def _windows_in_halves(spark: SparkSession, early: DataFrame, late: DataFrame, w
 @query
 def stream_sequences(spark, sf):
     """The last five feature rows per symbol, remembered over a restart between two halves."""
-    rows = storage.hand_over(rounded_features(spark, sf), "features")
+    rows = storage.hand_over(rounded_features(spark, sf), "features", "zstd")
     early = F.year("date") < 1998
     windows = windows_of(storage.new_path(spark, "state"))
     found = _windows_in_halves(spark, rows.where(early), rows.where(~early), windows)
@@ -229,7 +230,7 @@ def _in_halves(spark: SparkSession, early: DataFrame, late: DataFrame, follow) -
         sinks.drained(sinks.to_files(follow(dated(to_internal(parsed))), sink, progress, **DRAIN))
 
     drain()
-    messages.publish_folder(messages.as_messages(late), topic)
+    publish_more(messages.as_messages(late), topic)
     drain()
     return written(spark, sink)
 
@@ -237,7 +238,7 @@ def _in_halves(spark: SparkSession, early: DataFrame, late: DataFrame, follow) -
 @query
 def stream_keyed_sequences(spark, sf):
     """The last five feature rows per symbol from the engine's state store, over a restart."""
-    rows = storage.hand_over(rounded_features(spark, sf), "features")
+    rows = storage.hand_over(rounded_features(spark, sf), "features", "zstd")
     early = F.year("date") < 1998
     found = _in_halves(spark, rows.where(early), rows.where(~early), keyed.sequences)
     text = sequences.as_text(F.col("sequence"))
@@ -248,7 +249,7 @@ def stream_keyed_sequences(spark, sf):
 def stream_bar_features(spark, sf):
     """Averages, returns and labels of raw prices that arrive as messages, over a restart: what the
     table of bars gives, but for the last bar of a symbol, whose label is not known yet."""
-    rows = storage.hand_over(supplier_bars(spark, sf), "bars")
+    rows = storage.hand_over(supplier_bars(spark, sf), "bars", "zstd")
     early = F.year("date") < 1998
     found = _in_halves(spark, rows.where(early), rows.where(~early), keyed.bar_features)
     return found.withColumns({c: F.round(c, 6) for c in ("sma5", "sma10")})
@@ -258,7 +259,7 @@ def stream_bar_features(spark, sf):
 def stream_running_metrics(spark, sf):
     """Counts and quantiles per model as state of the stream; the quantiles of the close against the
     ranks that all closes give them."""
-    table_ = storage.hand_over(rounded_features(spark, sf), "features")
+    table_ = storage.hand_over(rounded_features(spark, sf), "features", "zstd")
     topic = publish(messages.as_messages(table_), "topic")
     stream = to_internal(
         messages.parse(messages.folder_stream(spark, topic, files_per_trigger=2), SYMBOL_SCHEMA)

@@ -41,9 +41,9 @@ def _typed(table: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> None:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> None:
     """A folder of CSV parts with headers, replacing what was there."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path, compression=compression)
 
 
 def union_symbols(frames: Mapping[str, DataFrame]) -> DataFrame:

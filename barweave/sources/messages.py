@@ -103,8 +103,11 @@ def publish_topic(messages: DataFrame, servers: str, topic: str) -> None:
     )
 
 
-def publish_folder(messages: DataFrame, path: str, mode: str = "append") -> None:
-    messages.select("value").write.mode(mode).text(path)
+def publish_folder(
+    messages: DataFrame, path: str, mode: str = "append", compression: str = "none"
+) -> None:
+    """``compression`` names a codec that Spark's text reader knows by the files' suffix, as gzip."""
+    messages.select("value").write.mode(mode).option("compression", compression).text(path)
 
 
 def prediction_messages(df: DataFrame, names: dict[str, str]) -> DataFrame:

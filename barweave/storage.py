@@ -65,14 +65,14 @@ def temporary(spark: SparkSession) -> Iterator[None]:
         _delete(spark, f"{run_dir(spark)}/{scope}")
 
 
-def hand_over(df: DataFrame, label: str = "table") -> DataFrame:
+def hand_over(df: DataFrame, label: str = "table", compression: str | None = None) -> DataFrame:
     """Write a table and read it back: for rows that several jobs need.
 
     Each reader then prunes columns and row groups, and the files split evenly however the keys
-    are distributed.
+    are distributed. ``compression`` names another codec than the session's.
     """
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -69,6 +69,7 @@ def to_files(
     return (
         stream.writeStream.format("parquet")
         .option("path", path)
+        .option("compression", "zstd")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(**(when or trigger()))

@@ -1,10 +1,12 @@
 import json
 import math
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from barweave import storage
+from barweave.plans import queries
 from barweave.schema import RAW_BARS, message_schema, to_external, to_internal
 from barweave.sources import bars, files, messages
 from tests.helpers import price_rows, same_rows
@@ -155,6 +157,21 @@ def test_publish_and_snapshot(spark, tmp_path):
     assert messages.folder_snapshot(spark, path).count() == 2
 
 
+def test_packed_messages_and_bars(spark, tmp_path):
+    df = price_rows(spark, [1.0, 2.0])
+    topic = queries.publish(messages.as_messages(df), "topic")
+    queries.publish_more(messages.as_messages(df), topic)
+    names = [n for n in os.listdir(topic) if n.startswith("part-")]
+    assert names and all(n.endswith(".gz") for n in names)
+    assert same_rows(messages.folder_snapshot(spark, topic), messages.as_messages(df.unionAll(df)))
+    path = str(tmp_path / "bars.csv")
+    files.write_csv(df.select(RAW_BARS.names), path, compression="gzip")
+    assert any(n.endswith(".csv.gz") for n in os.listdir(path))
+    assert files.read_bars(spark, path).count() == 2
+    kept = storage.hand_over(df, "packed", "zstd")
+    assert same_rows(kept, df) and all(".zstd." in f for f in kept.inputFiles())
+
+
 def test_prediction_messages(spark):
     df = price_rows(spark, [1.0]).withColumns({"a": F.lit(1), "b": F.lit(None).cast("int")})
     value = messages.prediction_messages(df, {"LR": "a", "LSTM": "b"}).first().value

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,6 +27,10 @@ from barweave.schema import FEATURES
 
 SEED = 42
 
+# Rows of a task in a fit. A forest of a hundred trees keeps half a kilobyte for each, and a task
+# reads all of its rows again for every level.
+TASK_ROWS = 500_000
+
 
 def _named(classifier: Estimator, name: str) -> Estimator:
     """Own output columns per model, so that several models fit into one pass over the rows."""
@@ -151,6 +156,12 @@ def training_rows(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame
     return needed.na.drop("any")
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` as they are, or in more partitions where one would hold too many."""
+    parts = math.ceil(rows.count() / TASK_ROWS)
+    return rows if parts <= rows.rdd.getNumPartitions() else rows.repartition(parts)
+
+
 def fit_all(
     rows: DataFrame,
     recipes: Mapping[str, Estimator],
@@ -161,8 +172,10 @@ def fit_all(
     """Fit every recipe on the same rows, assembled and stored once.
 
     ``keep`` names further columns that a recipe reads, such as the mark of its validation rows.
-    Each fit is a distributed job series; ``parallelism`` lets several share the cluster.
+    Each fit is a distributed job series; ``parallelism`` lets several share the cluster. Tables
+    whose files would give a task more than ``TASK_ROWS`` are dealt out to more tasks.
     """
+    rows = _dealt(rows)
     prepared = Pipeline(stages=stages()).fit(rows)
     vectors = prepared.transform(rows).select("features", "target", *keep)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)

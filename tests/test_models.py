@@ -133,3 +133,17 @@ def test_fitted_pipelines_as_predictors(spark, table):
     holes = table.withColumn("open", F.when(F.col("date") > 10, F.col("open")))
     scored = holes.transform(score.score_with(score.fitted(model)))
     assert scored.where("prediction = -1").count() == 11
+
+
+def test_a_fit_holds_few_rows_in_a_task(table, monkeypatch):
+    class Counter:
+        def fit(self, vectors):
+            per_task = vectors.groupBy(F.spark_partition_id()).count().collect()
+            seen.append((len(per_task), sum(r["count"] for r in per_task)))
+            return self
+
+    seen, rows = [], models.training_rows(table)
+    models.fit_all(rows, {"one": Counter()})
+    monkeypatch.setattr(models, "TASK_ROWS", 60)
+    models.fit_all(rows, {"one": Counter()})
+    assert seen == [(1, 300), (5, 300)]

@@ -9,6 +9,7 @@ the library's ids, which tests compare.
 from __future__ import annotations
 
 import re
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -20,10 +21,22 @@ MEMORY_WORDS = 600_000
 # white space may join a run of it, raised digits and fractions belong to numbers, and one capital
 # turns into two characters.
 _ODD = re.compile("[^\x00-˿]|[^\\S \n]|[²³¹¼-¾İ]|<\\|")
+# Among plain ASCII texts these tell the same.
+_ODD_ASCII = [*"\t\v\f\r\x1c\x1d\x1e\x1f", "<|"]
 _LETTERS = r"[^\W\d_]+"
 _REST = r"(?:[^\w \n]|[\d_])[^ \n]*"
 
 
+def _odd(text: str) -> bool:
+    if text.isascii():
+        return any(x in text for x in _ODD_ASCII)
+    return _ODD.search(text) is not None
+
+
+def _packed(ids: list[int]) -> bytes:
+    return array("I", ids).tobytes()
+
+
 def _visible_bytes() -> dict[int, str]:
     """Byte-level BPE writes each byte as one printable character; the others follow from 256 on."""
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -56,25 +69,34 @@ class Encoder:
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, np.uint32).tobytes() for e in found]
+        return [_packed(e.ids) for e in found]
 
     def _learn(self, words: set[str]) -> None:
-        rest = []
+        rest, cut = [], {}
         for word in words:
-            if word.lstrip(" ").isalpha() and max(word) <= "\xff":
-                seen = (word.lower() if self.words else word).encode().decode("latin-1")
-                ids = [t.id for t in self._model.tokenize(seen.translate(self._table))]
-                self._memory[word] = np.array(ids, np.uint32).tobytes()
+            if word.lstrip(" ").isalpha() and (word.isascii() or max(word) <= "\xff"):
+                seen = word.lower() if self.words else word
+                if not (self.words and word.isascii()):
+                    seen = seen.encode().decode("latin-1").translate(self._table)
+                self._memory[word] = _packed([t.id for t in self._model.tokenize(seen)])
+            elif self.words and len(parts := self._cut.findall(word)) > 1:
+                cut[word] = parts
             else:
                 rest.append(word)
         if rest:
             self._memory.update(zip(rest, self._direct(rest), strict=True))
+        if cut:
+            self._learn(set().union(*cut.values()).difference(self._memory))
+            for word, parts in cut.items():
+                self._memory[word] = b"".join([self._memory[p] for p in parts])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """An array of unsigned 32-bit ids for each text."""
         if len(self._memory) > MEMORY_WORDS:
             self._memory.clear()
-        cut = [None if _ODD.search(t) else self._cut.findall(t) for t in texts]
+        # Without white space, what stands between it is remembered whole.
+        pieces = str.split if self.words else self._cut.findall
+        cut = [None if _odd(t) else pieces(t) for t in texts]
         self._learn(set().union(*[c for c in cut if c]).difference(self._memory))
         odd = iter(self._direct([t for t, c in zip(texts, cut, strict=True) if c is None]))
         get = self._memory.__getitem__

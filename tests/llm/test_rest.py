@@ -42,6 +42,21 @@ def test_encoder_equals_the_library(file):
     assert got == wanted
 
 
+def test_words_are_remembered_with_their_marks():
+    """What stands between white space is looked up once; new joins of known parts are not encoded."""
+    path = public_tokenizers.path(FILES[1])
+    code, asked = Encoder(path), []
+    direct = code._direct
+    code._direct = lambda texts: asked.extend(texts) or direct(texts)
+    texts = ["Red, green; blue.", "Blue, red;\ngreen.", "don't l'été, x2y (a)b\x1cc\td <|endoftext|>"]
+    library = Tokenizer.from_file(path)
+    for text in texts:
+        wanted = library.encode(text, add_special_tokens=False).ids
+        assert code.encode([text])[0].tolist() == wanted
+    assert sorted(asked[:3]) == [",", ".", ";"] and asked[3:] == texts[2:]
+    assert "Blue," in code._memory
+
+
 def test_token_files(spark, tmp_path):
     path = public_tokenizers.path(FILES[0])
     library = Tokenizer.from_file(path)

@@ -1,17 +1,21 @@
 """Logistic regressions of all keys at once.
 
-A Newton step of every key is one grouped aggregation: the loss, its gradient and its curvature are
-sums over the key's rows, so a key on most rows is summed in the tasks that hold them. The small
-systems of equations are solved in numpy, many keys to a task. The number of jobs is that of the
-steps and does not depend on the number of keys; keys that have converged leave the aggregation.
+Keys of up to ``FEW_ROWS`` rows meet their rows once, many keys to a task, which takes all Newton
+steps there. For the others, which are few for their rows, a Newton step of every key is one grouped
+aggregation: the loss, its gradient and its curvature are sums over the key's rows, so a key on most
+rows is summed in the tasks that hold them; their state is broadcast and their rows stay where they
+are. The small systems of equations are solved in numpy. The number of jobs is that of the steps and
+does not depend on the number of keys; keys that have converged leave the aggregation.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +28,10 @@ MOST_STEPS = 60
 CLOSE = 1e-9
 #: Up to this many keys their state is broadcast to the rows, beyond it the two are shuffled.
 FEW_KEYS = 50_000
+#: A key of more rows is summed by aggregations over all tasks.
+FEW_ROWS = 20_000
+#: Rows of a task that takes all steps of its keys.
+TASK_ROWS = 100_000
 
 
 def _moments(rows: DataFrame, key: str, columns: Sequence[str], label: str) -> DataFrame:
@@ -44,6 +52,7 @@ def fit_by_key(
     columns: Sequence[str] = FEATURES,
     label: str = "target",
     l2: float = 1.0,
+    few_rows: int = FEW_ROWS,
 ) -> DataFrame:
     """(key, n_rows, intercept, coefficients, steps, converged), one row for each key.
 
@@ -58,6 +67,10 @@ def fit_by_key(
     kept = rows.select(key, *needed, F.col(label).cast("double").alias("y")).na.drop("any")
     kept = hand_over(kept, "rows")
     state = hand_over(_begin(_moments(kept, key, names, "y"), key, p, l2), "state")
+    small = (F.col("n") <= few_rows) & ~F.col("done")
+    large = state.where(~small)
+    some = kept.join(_small_enough(large.select(key)), key, "left_anti")
+    state = hand_over(large.unionByName(_in_tasks(some, state.where(small), key, p, l2)), "state")
     step = 0
     while step < MOST_STEPS:
         open_ = state.where("NOT done")
@@ -85,6 +98,67 @@ def fit_by_key(
     )
 
 
+def _small_enough(keys: DataFrame) -> DataFrame:
+    return F.broadcast(keys) if keys.count() <= FEW_KEYS else keys
+
+
+def _in_tasks(rows: DataFrame, state: DataFrame, key: str, p: int, l2: float) -> DataFrame:
+    """The state after all steps of keys with few rows; a task holds all rows of its keys."""
+    total = state.agg(F.sum("n")).first()[0] or 0
+    share = F.pmod(F.xxhash64(key), F.lit(math.ceil(total / TASK_ROWS) or 1)).alias("_share")
+    names = [f"x{i}" for i in range(p)]
+
+    def fit(_, rows: pa.Table, state: pa.Table) -> pa.Table:
+        state = state.drop_columns("_share").combine_chunks()
+        k = state.num_rows
+        place = pc.index_in(rows[key], value_set=state[key].combine_chunks())
+        rows = rows.append_column("_place", place).filter(pc.is_valid(place)).sort_by("_place")
+        owner = rows["_place"].to_numpy()
+        x = np.stack([rows[n].to_numpy() for n in names], axis=1)
+        y = rows["y"].to_numpy()
+        grid = {
+            c: state[c].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(k, width)
+            for c, width in (("means", p), ("scales", p), ("held", p + 1), ("tried", p + 1))
+        }
+        now = {c: state[c].to_numpy().copy() for c in ("n", "loss", "steps", "done", "converged")}
+        held, tried = grid["held"].copy(), grid["tried"].copy()
+        # Spark, which sums the larger keys, holds NaN to be above 0.
+        used = (grid["scales"] > 0) | np.isnan(grid["scales"])
+        with np.errstate(all="ignore"):
+            z = np.where(used[owner], (x - grid["means"][owner]) / grid["scales"][owner], 0.0)
+            z = np.concatenate([np.ones((len(y), 1)), z], axis=1)
+            step = 0
+            while step < MOST_STEPS and not now["done"].all():
+                step += 1
+                at = np.flatnonzero(~now["done"])
+                own = ~now["done"][owner]
+                sums = _sums_here(z[own], y[own], tried[owner[own]], owner[own])
+                held[at], tried[at], now["loss"][at], ends = _moved(
+                    now["n"][at], grid["scales"][at], held[at], tried[at], now["loss"][at], sums, l2
+                )
+                now["steps"][at], now["done"][at], now["converged"][at] = step, ends, ends
+        out = {key: state[key], "n": state["n"], "means": state["means"], "scales": state["scales"]}
+        out |= {"held": _lists(held), "tried": _lists(tried)}
+        return pa.table(out | {c: pa.array(now[c]) for c in ("loss", "steps", "done", "converged")})
+
+    both = rows.select("*", share).groupBy("_share").cogroup(
+        state.select("*", share).groupBy("_share")
+    )
+    return both.applyInArrow(fit, state.schema)
+
+
+def _sums_here(z: np.ndarray, y: np.ndarray, tried: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """What ``_sums`` gives, for rows in the order of their keys: a row for each key."""
+    margin = (z * tried).sum(axis=1)
+    chance = 1 / (1 + np.exp(-margin))
+    loss = np.maximum(margin, 0.0) + np.log1p(np.exp(-np.abs(margin))) - y * margin
+    starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    low = np.tril_indices(z.shape[1])
+    curve = (chance * (1 - chance))[:, None] * z
+    cells = [loss[:, None], (chance - y)[:, None] * z, curve[:, low[0]] * z[:, low[1]]]
+    return np.concatenate([np.add.reduceat(c, starts, axis=0) for c in cells], axis=1)
+
+
 def _begin(moments: DataFrame, key: str, p: int, l2: float) -> DataFrame:
     """State of every key: what is held so far, what is tried next, and the loss of what is held."""
     one = (F.col("ups") == 0) | (F.col("ups") == F.col("n"))
@@ -127,7 +201,6 @@ def _sums(rows: DataFrame, key: str, p: int) -> DataFrame:
 
 def _solved(state: DataFrame, key: str, p: int, l2: float, step: int) -> DataFrame:
     """Newton's step for every key, halved as long as the loss has not fallen."""
-    low = np.tril_indices(p + 1)
     columns = [key, "n", "means", "scales", "held", "tried", "loss", "steps", "done", "converged"]
     # Written out, since a cast of many derivatives of one frame would lose which is which.
     schema = T.StructType([f for c in columns for f in state.schema.fields if f.name == c])
@@ -142,34 +215,43 @@ def _solved(state: DataFrame, key: str, p: int, l2: float, step: int) -> DataFra
                 for c in ("scales", "held", "tried", "sums")
             }
             n, before = batch.column("n").to_numpy(), batch.column("loss").to_numpy()
-            held, tried, sums = grid["held"], grid["tried"], grid["sums"]
-            used = np.concatenate([np.ones((k, 1), bool), grid["scales"] > 0], axis=1)
-            # The penalty of a coefficient, in terms of the coefficient of the scaled column.
-            penalty = np.zeros((k, p + 1))
-            penalty[:, 1:] = l2 / np.where(used[:, 1:], grid["scales"], 1.0) ** 2
-            loss = sums[:, 0] + (penalty * tried**2).sum(axis=1) / 2
-            by = np.where(used, sums[:, 1 : p + 2] + penalty * tried, 0.0)
-            curve = np.zeros((k, p + 1, p + 1))
-            curve[:, low[0], low[1]] = sums[:, p + 2 :]
-            curve[:, low[1], low[0]] = sums[:, p + 2 :]
-            spot = np.arange(p + 1)
-            curve[:, spot, spot] += penalty + np.where(used, 1e-12 * n[:, None], 1.0)
-            good = (loss <= before + 1e-12 * np.abs(before)) | np.isinf(before)
-            close = good & (np.abs(by).max(axis=1) <= CLOSE * n)
-            moved = tried - np.linalg.solve(curve, by[:, :, None])[:, :, 0]
-            stuck = ~good & (np.abs(tried - held).max(axis=1) < 1e-12)
-            after_held = np.where(good[:, None], tried, held)
-            after_tried = np.where(good[:, None], moved, (held + tried) / 2)
+            after_held, after_tried, loss, ends = _moved(
+                n, grid["scales"], grid["held"], grid["tried"], before, grid["sums"], l2
+            )
             out = {c: batch.column(c) for c in (key, "n", "means", "scales")}
             out["held"], out["tried"] = (_lists(x) for x in (after_held, after_tried))
-            out["loss"] = pa.array(np.where(good, loss, before))
+            out["loss"] = pa.array(loss)
             out["steps"] = pa.array(np.full(k, step), pa.int32())
-            out["done"], out["converged"] = pa.array(close | stuck), pa.array(close | stuck)
+            out["done"], out["converged"] = pa.array(ends), pa.array(ends)
             yield pa.RecordBatch.from_arrays(list(out.values()), list(out))
 
     return state.select(*columns, "sums").mapInArrow(solve, schema)
 
 
+def _moved(n, scales, held, tried, before, sums, l2: float):
+    """What is held and tried after a step, its loss, and which keys are done."""
+    k, p = scales.shape
+    low = np.tril_indices(p + 1)
+    used = np.concatenate([np.ones((k, 1), bool), scales > 0], axis=1)
+    # The penalty of a coefficient, in terms of the coefficient of the scaled column.
+    penalty = np.zeros((k, p + 1))
+    penalty[:, 1:] = l2 / np.where(used[:, 1:], scales, 1.0) ** 2
+    loss = sums[:, 0] + (penalty * tried**2).sum(axis=1) / 2
+    by = np.where(used, sums[:, 1 : p + 2] + penalty * tried, 0.0)
+    curve = np.zeros((k, p + 1, p + 1))
+    curve[:, low[0], low[1]] = sums[:, p + 2 :]
+    curve[:, low[1], low[0]] = sums[:, p + 2 :]
+    spot = np.arange(p + 1)
+    curve[:, spot, spot] += penalty + np.where(used, 1e-12 * n[:, None], 1.0)
+    good = (loss <= before + 1e-12 * np.abs(before)) | np.isinf(before)
+    close = good & (np.abs(by).max(axis=1) <= CLOSE * n)
+    moved = tried - np.linalg.solve(curve, by[:, :, None])[:, :, 0]
+    stuck = ~good & (np.abs(tried - held).max(axis=1) < 1e-12)
+    after_held = np.where(good[:, None], tried, held)
+    after_tried = np.where(good[:, None], moved, (held + tried) / 2)
+    return after_held, after_tried, np.where(good, loss, before), close | stuck
+
+
 def _lists(rows: np.ndarray) -> pa.ListArray:
     at = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
     return pa.ListArray.from_arrays(pa.array(at), pa.array(rows.ravel()))

@@ -62,6 +62,30 @@ def test_logistic_odd_keys(spark):
     assert logistic_by_key.fit_by_key(df.limit(0), columns=COLUMNS).count() == 0
 
 
+def test_logistic_of_small_keys_reads_their_rows_once(spark, monkeypatch):
+    """Keys of few rows take all steps in one task, with the results of steps by aggregations."""
+    df, _ = rows_of(spark, 900, ("a", "b", "c", "d"))
+    df = df.union(df.where("symbol = 'a'").withColumn("symbol", F.lit("e")).withColumn("target", F.lit(1)))
+    df = df.union(df.where("symbol = 'b'").withColumn("symbol", F.lit("f")).withColumn("w", F.lit(2.0)))
+    summed = []
+    sums = logistic_by_key._sums
+    monkeypatch.setattr(
+        logistic_by_key, "_sums", lambda *a: summed.append(1) or sums(*a)
+    )
+    found = [logistic_by_key.fit_by_key(df, columns=COLUMNS).collect()]
+    assert not summed
+    found += [logistic_by_key.fit_by_key(df, columns=COLUMNS, few_rows=n).collect() for n in (0, 225)]
+    assert summed
+    here, *others = ({r["symbol"]: r for r in rows} for rows in found)
+    assert set(here) == set("abcdef")
+    for other in others:
+        for k, r in here.items():
+            assert r["n_rows"] == other[k]["n_rows"] and r["converged"] == other[k]["converged"]
+            assert np.allclose(r["coefficients"], other[k]["coefficients"], atol=1e-9)
+            assert r["intercept"] == pytest.approx(other[k]["intercept"], abs=1e-7)
+            assert abs(r["steps"] - other[k]["steps"]) <= 1
+
+
 def test_logistic_jobs_do_not_grow_with_keys(spark):
     tracker = spark.sparkContext.statusTracker()
 

@@ -13,8 +13,9 @@ meet in a bucket. Links are sought where they can still join components: first e
 compared with the least class of all its buckets, then with the least class of each bucket that
 is not in its component. Buckets that still hold several components are searched in blocks of
 bounded size inside tasks, by signatures: pairs of different components whose registers agree
-as often as similar ones do (three deviations below the level) are compared. Each comparison of
-sets is exact. Groups are the connected components of the links.
+as often as similar ones do (three deviations below the level) are compared there, unless links
+of the block already join them; so a block gives fewer links than it has members. Each comparison
+of sets is exact. Groups are the connected components of the links.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,6 +37,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 42, 6
 #: Members of a bucket that a task compares with so many others at a time.
 BLOCK = 1000
+#: Text bytes of the members of a block.
+BLOCK_BYTES = 8_000_000
 #: Text bytes that a task signs or compares at a time; one text stays whole.
 PIECE_BYTES = 500_000
 _U = np.uint64
@@ -190,27 +194,33 @@ def labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFr
     return rows.join(known, node, "left").withColumn(name, F.coalesce(name, node))
 
 
-def mixed_pairs(
+def mixed_links(
     members: DataFrame,
     labels: DataFrame,
     heads: DataFrame,
+    texts: DataFrame,
     bands: int,
     rows: int,
     level: float,
     block: int,
 ) -> DataFrame:
-    """Pairs (a, b) of different components in one bucket whose registers agree often enough.
+    """Links (a, b) that join different components which meet in a bucket.
 
     A bucket of more than two blocks of members is searched as pairs of blocks, each a task's
-    worth; only pairs that pass leave it, each from one bucket.
+    worth. Members with some pair whose registers agree often enough get their texts, and the
+    pairs are compared, each in one bucket and the most alike first.
     """
     placed = labelled(members, labels, "node", "label")
     spans = placed.groupBy("key").agg(
-        F.min("label").alias("_a"), F.max("label").alias("_b"), F.count("*").alias("_n")
+        F.min("label").alias("_a"),
+        F.max("label").alias("_b"),
+        F.count("*").alias("_n"),
+        F.sum("size").alias("_size"),
     )
     # The two members of a bucket of two have been compared.
+    blocks = F.ceil(F.greatest(F.col("_n") / block, F.col("_size") / BLOCK_BYTES))
     wide = spans.where("_a != _b and _n > 2").select(
-        "key", F.ceil(F.col("_n") / F.lit(block)).cast("int").alias("_blocks")
+        "key", F.least(blocks, F.col("_n")).cast("int").alias("_blocks")
     )
     own = F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int")
     spread = (
@@ -232,7 +242,8 @@ def mixed_pairs(
     rows_of = spread.join(known, "node")
     least = level - 3 * (level * (1 - level) / (bands * rows)) ** 0.5
 
-    def search(table: pa.Table) -> pa.Table:
+    def agreeing(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the pairs to compare, and how often their registers agree."""
         node, label = (table.column(c).to_numpy() for c in ("node", "label"))
         side = table.column("_own").to_numpy()
         first = table.column("_first").to_numpy()
@@ -240,32 +251,61 @@ def mixed_pairs(
         low, high = table.column("_low")[0].as_py(), table.column("_high")[0].as_py()
         shape = (len(node), bands, rows)
         held = np.frombuffer(b"".join(table.column("registers").to_pylist()), "<u2").reshape(shape)
-        found: list[tuple[int, int]] = []
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
         for i in range(len(node)):
-            if side[i] != low:
+            if side[i] != low or first[i]:
                 continue
             other = label != label[i]
             other &= (node > node[i]) if low == high else side == high
-            if first[i]:
-                continue
             at = np.flatnonzero(other & ~first)
             if not len(at):
                 continue
             same = held[at] == held[i]
-            often = same.reshape(len(at), -1).mean(axis=1) >= least
-            # Of all buckets that a pair shares only the first one names it.
-            often &= same.all(axis=2).argmax(axis=1) == band
-            for j in at[often].tolist():
-                found.append((int(node[i]), int(node[j])))
+            share = same.reshape(len(at), -1).mean(axis=1)
+            # Of all buckets that a pair shares only the first one compares it.
+            often = (share >= least) & (same.all(axis=2).argmax(axis=1) == band)
+            at = at[often]
+            found.append((np.full(len(at), i), at, share[often]))
+        one, two, share = (np.concatenate(part) for part in zip(*found, strict=True))
+        return one, two, share
+
+    def search(table: pa.Table) -> pa.Table:
+        one, two, _ = agreeing(table)
+        return table.take(pa.array(np.union1d(one, two)))
+
+    def verify(table: pa.Table) -> pa.Table:
+        one, two, share = agreeing(table)
+        order = np.argsort(-share, kind="stable")
+        sets = []
+        for piece in chunks(table.combine_chunks().to_batches(), "text", PIECE_BYTES):
+            sets += _sets(piece.column("text").to_pylist())
+        node = table.column("node").to_pylist()
+        label = table.column("label").to_pylist()
+        above: dict[int, int] = {}
+
+        def root(name: int) -> int:
+            while name in above:
+                if above[name] in above:
+                    above[name] = above[above[name]]
+                name = above[name]
+            return name
+
+        found: list[tuple[int, int]] = []
+        for i, j in zip(one[order].tolist(), two[order].tolist(), strict=True):
+            a, b = root(label[i]), root(label[j])
+            if a != b and similarity(sets[i], sets[j]) >= level:
+                above[max(a, b)] = min(a, b)
+                found.append((min(node[i], node[j]), max(node[i], node[j])))
         return pa.table(
             {
-                "a": pa.array([min(f) for f in found], pa.int64()),
-                "b": pa.array([max(f) for f in found], pa.int64()),
+                "a": pa.array([f[0] for f in found], pa.int64()),
+                "b": pa.array([f[1] for f in found], pa.int64()),
             }
         )
 
-    groups = rows_of.groupBy("key", "_low", "_high")
-    return groups.applyInArrow(search, "a long, b long").distinct()
+    part = ["key", "_low", "_high"]
+    some = rows_of.groupBy(*part).applyInArrow(search, rows_of.schema)
+    return some.join(texts, "node").groupBy(*part).applyInArrow(verify, "a long, b long")
 
 
 def near_groups(
@@ -297,8 +337,9 @@ def near_groups(
                     pa.array(prints, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array(registers, pa.binary()),
+                    pc.binary_length(piece.column("text")).cast(pa.int64()),
                 ],
-                ["_row", "_id", "_sha", "print", "bands", "registers"],
+                ["_row", "_id", "_sha", "print", "bands", "registers", "size"],
             )
 
     id_type = docs.schema[id_col].dataType.simpleString()
@@ -311,7 +352,7 @@ def near_groups(
     signed = hand_over(
         read.mapInArrow(
             sign, f"_row long, _id {id_type}, _sha binary, print binary, bands array<long>, "
-            "registers binary",
+            "registers binary, size long",
         ),
         "signed",
     )
@@ -323,7 +364,9 @@ def near_groups(
         "classes",
     )
     heads = signed.join(classes.select(F.col("node").alias("_row")), "_row", "left_semi")
-    keys = heads.select(F.col("_row").alias("node"), F.posexplode("bands").alias("band", "key"))
+    keys = heads.select(
+        F.col("_row").alias("node"), "size", F.posexplode("bands").alias("band", "key")
+    )
     buckets = keys.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("_last"))
     buckets = buckets.where("pivot != _last").drop("_last")
     members = hand_over(keys.join(buckets, "key"), "members")
@@ -352,8 +395,8 @@ def near_groups(
         found = found.where(F.col("sim") >= level).select("a", "b")
         links = found if links is None else links.unionByName(found)
         labels = hand_over(components(links), "labels")
-    rest = mixed_pairs(members, labels, heads, bands, rows, level, block)
-    found = compare(rest, texts).where(F.col("sim") >= level).select("a", "b")
+    found = mixed_links(members, labels, heads, texts, bands, rows, level, block)
+    found = hand_over(found, "links")
     if not found.isEmpty():
         old = labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
         labels = hand_over(components(old.unionByName(found)), "labels")

@@ -286,3 +286,26 @@ def test_near_compares_members_that_the_pivot_does_not_link(spark, tmp_path):
 
 def test_near_empty(spark, tmp_path):
     assert near_dedup.near_groups(table(spark, tmp_path / "t", [])).count() == 0
+
+
+def test_near_search_gives_fewer_links_than_members(spark, tmp_path, monkeypatch):
+    """Copies that are alike by pairs, none of which the pivot links: links, not pairs, come out."""
+    made = []
+    store = near_dedup.hand_over
+
+    def counting(df, label):
+        stored = store(df, label)
+        if label in ("compared", "links"):
+            made.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(near_dedup, "hand_over", counting)
+    base = prose(31, 403).replace("\n", " ")
+    # The rows read first are far from all others.
+    rows = [(k, near_copy(base, 60 + k, 30)) for k in range(4)]
+    rows += [(10 + k, near_copy(base, 80 + k, 6)) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = near_dedup.near_groups(docs, bands=60, rows=1).collect()
+    got = Counter((r["doc_id"], r["class_id"], r["class_size"], r["kept"]) for r in found)
+    assert got == plain_near(rows)
+    assert 0 < made[-1] < len(rows)

@@ -72,23 +72,27 @@ class Encoder:
         return [_packed(e.ids) for e in found]
 
     def _learn(self, words: set[str]) -> None:
-        rest, cut = [], {}
+        rest, cut = [], []
+        memory, tokenize = self._memory, self._model.tokenize
         for word in words:
-            if word.lstrip(" ").isalpha() and (word.isascii() or max(word) <= "\xff"):
-                seen = word.lower() if self.words else word
-                if not (self.words and word.isascii()):
-                    seen = seen.encode().decode("latin-1").translate(self._table)
-                self._memory[word] = _packed([t.id for t in self._model.tokenize(seen)])
+            letters = word.isalpha() if self.words else word.lstrip(" ").isalpha()
+            if letters and self.words and word.isascii():
+                memory[word] = _packed([t.id for t in tokenize(word.lower())])
+            elif letters and (word.isascii() or max(word) <= "\xff"):
+                seen = (word.lower() if self.words else word).encode().decode("latin-1")
+                memory[word] = _packed([t.id for t in tokenize(seen.translate(self._table))])
             elif self.words and len(parts := self._cut.findall(word)) > 1:
-                cut[word] = parts
+                cut.append((word, *parts))
             else:
                 rest.append(word)
         if rest:
             self._memory.update(zip(rest, self._direct(rest), strict=True))
         if cut:
-            self._learn(set().union(*cut.values()).difference(self._memory))
-            for word, parts in cut.items():
-                self._memory[word] = b"".join([self._memory[p] for p in parts])
+            new = {p for _, *parts in cut for p in parts if p not in memory}
+            if new:
+                self._learn(new)
+            for word, first, second in cut:
+                memory[word] = memory[first] + memory[second]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """An array of unsigned 32-bit ids for each text."""

@@ -32,6 +32,8 @@ FEW_KEYS = 50_000
 FEW_ROWS = 20_000
 #: Rows of a task that takes all steps of its keys.
 TASK_ROWS = 100_000
+#: From so many rows a key on, curvatures are products of matrices, key by key.
+LOOP_ROWS = 16
 
 
 def _moments(rows: DataFrame, key: str, columns: Sequence[str], label: str) -> DataFrame:
@@ -154,9 +156,15 @@ def _sums_here(z: np.ndarray, y: np.ndarray, tried: np.ndarray, owner: np.ndarra
     loss = np.maximum(margin, 0.0) + np.log1p(np.exp(-np.abs(margin))) - y * margin
     starts = np.flatnonzero(np.diff(owner, prepend=-1))
     low = np.tril_indices(z.shape[1])
-    curve = (chance * (1 - chance))[:, None] * z
-    cells = [loss[:, None], (chance - y)[:, None] * z, curve[:, low[0]] * z[:, low[1]]]
-    return np.concatenate([np.add.reduceat(c, starts, axis=0) for c in cells], axis=1)
+    weighed = (chance * (1 - chance))[:, None] * z
+    if len(y) >= LOOP_ROWS * len(starts):
+        # Keys of many rows: a product of small matrices for each.
+        ends = np.append(starts[1:], len(y))
+        curve = np.stack([weighed[i:j].T @ z[i:j] for i, j in zip(starts, ends)])[:, low[0], low[1]]
+    else:
+        curve = np.add.reduceat(weighed[:, low[0]] * z[:, low[1]], starts, axis=0)
+    cells = [loss[:, None], (chance - y)[:, None] * z]
+    return np.concatenate([*[np.add.reduceat(c, starts, axis=0) for c in cells], curve], axis=1)
 
 
 def _begin(moments: DataFrame, key: str, p: int, l2: float) -> DataFrame:

@@ -211,6 +211,44 @@ def test_trees_learn_and_rerun_alike(spark):
     assert forest.predict(df.withColumn("symbol", F.lit("new")), "rf").where("rf_pred IS NOT NULL").isEmpty()
 
 
+@pytest.mark.parametrize("boosted", [False, True])
+def test_trees_in_tasks_are_those_over_all_tasks(spark, monkeypatch, boosted):
+    df, _ = rows_of(spark, 900, seed=5)
+    df = df.unionByName(df.where("v > 0.8")).unionByName(df.withColumn("w", F.lit(None).cast("double")))
+    monkeypatch.setattr(trees_by_key, "ENTRIES", 700)
+    if boosted:
+        fit, settings = trees_by_key.boost_by_key, {"rounds": 3, "depth": 3, "step": 0.5}
+    else:
+        fit, settings = trees_by_key.forest_by_key, {"trees": 5, "depth": 4}
+    found = {}
+    for few in (0, 450, 20_000):  # no key, some keys and all keys in tasks
+        trees = fit(df, columns=COLUMNS, bins=8, few_rows=few, **settings)
+        nodes = trees.nodes.select("symbol", "tree", "node", "at", "bin", "gain", "a", "b").collect()
+        found[few] = sorted((tuple(r) for r in nodes), key=lambda r: r[:3])
+    assert len(found[0]) > 60
+    for few in (450, 20_000):
+        assert [r[:5] for r in found[few]] == [r[:5] for r in found[0]]
+        for some, other in zip(found[few], found[0]):
+            assert some[6:] == pytest.approx(other[6:], abs=64)
+
+
+def test_few_jobs_for_trees_of_small_keys_and_dealt_out_rows(spark, monkeypatch):
+    df, _ = rows_of(spark, 300)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("trees-here", "")
+    try:
+        trees = trees_by_key.boost_by_key(df, columns=COLUMNS, rounds=12, depth=5)
+        jobs = len(tracker.getJobIdsForGroup("trees-here"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs < 20
+    # Rows of a key that has many are walked in several tasks.
+    pick = ("u", "v", "w", "symbol", "xgb_probability")
+    once = sorted(map(str, trees.predict(df, "xgb").select(*pick).collect()))
+    monkeypatch.setattr(trees_by_key, "TASK_ROWS", 30)
+    assert sorted(map(str, trees.predict(df, "xgb").select(*pick).collect())) == once
+
+
 def test_trees_of_nothing(spark):
     df, _ = rows_of(spark, 30)
     none = df.limit(0)

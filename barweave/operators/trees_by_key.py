@@ -129,13 +129,17 @@ def _columns_of(rule: Rule, width: int, key: str, tree: Column, node: Column) ->
     return F.transform(F.slice(F.sort_array(drawn), 1, rule.columns), lambda x: x["i"])
 
 
-def _splits(state: DataFrame, key: str, rule: Rule, width: int) -> DataFrame:
+def _splits(state: DataFrame, nodes: DataFrame, key: str, rule: Rule, width: int) -> DataFrame:
     """For every node its sums, and the column and bin of its best cut, NULL if none gains.
 
-    ``state`` has (key, tree, node, bins, a, b), where a and b are the row's two numbers.
+    ``state`` has (key, tree, node, bins, a, b), where a and b are the row's two numbers, and
+    ``nodes`` all (key, tree, node) of it, for which columns are drawn, not for every row.
     """
     at = [key, "tree", "node"]
-    each = state.withColumn("at", F.explode(_columns_of(rule, width, key, F.col("tree"), F.col("node"))))
+    columns = _columns_of(rule, width, key, F.col("tree"), F.col("node"))
+    if _draws_columns(rule, width):
+        state, columns = state.join(_few(nodes.withColumn("columns", columns)), at), F.col("columns")
+    each = state.withColumn("at", F.explode(columns))
     cells = each.groupBy(*at, "at", F.col("bins")[F.col("at")].alias("bin")).agg(
         F.sum("a").alias("a"), F.sum("b").alias("b")
     )
@@ -170,13 +174,16 @@ def _grown(state: DataFrame, key: str, rule: Rule, width: int) -> DataFrame:
     Node n has the children 2 n and 2 n + 1; rows whose bin is above the cut go to the second.
     """
     levels = []
+    at = hand_over(state.select(key, "tree", "node").distinct(), "at")
     for _ in range(rule.depth):
-        found = hand_over(_splits(state, key, rule, width), "splits")
+        found = hand_over(_splits(state, at, key, rule, width), "splits")
         levels.append(found)
         cut = found.where("at IS NOT NULL")
         if cut.isEmpty():
             break
         state = hand_over(_descended(state, cut, key, "inner"), "nodes")
+        child = F.explode(F.array(2 * F.col("node"), 2 * F.col("node") + 1)).alias("node")
+        at = cut.select(key, "tree", child)
     else:
         ends = state.groupBy(key, "tree", "node").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
         levels.append(ends)

@@ -165,7 +165,8 @@ def _scored(spark: SparkSession, sf: str) -> dict[str, str]:
         dead_letters=out["dead"],
         metrics=out["metrics"],
     )
-    stream = scoring.bars_from_messages(messages.folder_stream(spark, topic, files_per_trigger=4))
+    texts = scoring.spread(messages.folder_stream(spark, topic, files_per_trigger=4))
+    stream = scoring.bars_from_messages(texts)
     progress = storage.new_path(spark, "progress")
     sinks.drained(sinks.each_batch(stream, write, progress, **DRAIN))
     return out
@@ -404,9 +405,8 @@ def stream_score_fitted(spark, sf):
     write = scoring.scoring_writer(
         lambda df: models.predict(df, fitted), list(recipes), sink, keep=("symbol", "date")
     )
-    stream = scoring.bars_from_messages(
-        messages.folder_stream(spark, topic, files_per_trigger=2), SYMBOL_SCHEMA
-    )
+    texts = scoring.spread(messages.folder_stream(spark, topic, files_per_trigger=2))
+    stream = scoring.bars_from_messages(texts, SYMBOL_SCHEMA)
     sinks.drained(sinks.each_batch(stream, write, storage.new_path(spark, "progress"), **DRAIN))
     batch = models.predict(test, fitted).select(
         "symbol", "date", *[F.col(f"{n}_pred").alias(f"{n}_batch") for n in recipes]

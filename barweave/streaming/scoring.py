@@ -26,6 +26,13 @@ def bars_from_messages(messages: DataFrame, schema: T.StructType | None = None)
     return stamped(to_internal(parse(kept, schema)).withColumnRenamed("text", "value"))
 
 
+def spread(messages: DataFrame) -> DataFrame:
+    """The messages of a batch dealt out to all cores. A packed file is read by one task, so a batch
+    of few files would otherwise be parsed and scored by as few."""
+    tasks = messages.sparkSession.sparkContext.defaultParallelism
+    return messages.repartition(tasks, F.xxhash64("value"))
+
+
 def json_predictions(
     stream: DataFrame, predict: Callable[[DataFrame], DataFrame], names: dict[str, str]
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -55,6 +56,35 @@ class LastRows(StatefulProcessor):
         pass
 
 
+class LastColumns(LastRows):
+    """Like ``LastRows``, but ``compute`` takes and gives columns as arrays: no Python objects for
+    the rows of a batch, only for those remembered."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        known = [tuple(r) for r in self._last.get()]
+        new = pd.concat([part[self._columns] for part in rows], ignore_index=True)
+        order = self._columns[: self._order]
+        new = new.sort_values(order, kind="stable", na_position="first")
+        every = {c: _behind([r[i] for r in known], new[c]) for i, c in enumerate(self._columns)}
+        last = zip(*(every[c][-self._depth :].tolist() for c in self._columns))
+        # Only NaN and NaT differ from themselves.
+        self._last.put([tuple(None if v != v else v for v in r) for r in last])
+        found = self._compute(every, len(known))
+        out = pd.DataFrame(dict(zip(self._out, found, strict=True)))
+        if len(out):
+            out.insert(0, self._key, key[0])
+            yield out
+
+
+def _behind(known: list, new: pd.Series) -> np.ndarray:
+    """Values remembered, then new ones: floats, or objects of any kind."""
+    numbers = new.dtype.kind == "f" and all(v is None or isinstance(v, float) for v in known)
+    kind = float if numbers else object
+    before = np.empty(len(known), kind)
+    before[:] = known
+    return np.concatenate([before, new.to_numpy(kind)])
+
+
 def _kind(stream: DataFrame, names: Sequence[str]) -> T.StructType:
     return T.StructType([stream.schema[n] for n in names])
 
@@ -64,10 +94,12 @@ def use_state_store(spark: SparkSession) -> None:
     spark.conf.set(_PROVIDER, _ROCKS)
 
 
-def _run(stream, key, columns, order, depth, out: T.StructType, compute) -> DataFrame:
+def _run(
+    stream, key, columns, order, depth, out: T.StructType, compute, kind: type[LastRows] = LastRows
+) -> DataFrame:
     use_state_store(stream.sparkSession)
     result = T.StructType([stream.schema[key], *out.fields])
-    processor = LastRows(key, list(columns), order, _kind(stream, columns), depth, out.names, compute)
+    processor = kind(key, list(columns), order, _kind(stream, columns), depth, out.names, compute)
     return (
         stream.select(key, *columns)
         .groupBy(key)
@@ -98,36 +130,49 @@ def sequences(
     return _run(stream, key, [*order, *features], n, length - 1 or 1, out, compute)
 
 
-def _ratio(now: float | None, before: float | None) -> float:
-    """Change against an earlier price; 0 where there is none or it is 0."""
-    if now is None or before is None or before == 0:
-        return 0.0
-    return now / before - 1
+def _before(prices: np.ndarray, k: int) -> np.ndarray:
+    """The prices ``k`` rows earlier, NaN where there are none."""
+    return np.concatenate([np.full(min(k, len(prices)), np.nan), prices[: max(0, len(prices) - k)]])
+
 
+def _ratios(prices: np.ndarray, k: int) -> np.ndarray:
+    """Change against the price ``k`` rows earlier; 0 where there is none or it is 0."""
+    before = _before(prices, k)
+    with np.errstate(all="ignore"):
+        return np.where(np.isnan(prices) | np.isnan(before) | (before == 0), 0.0, prices / before - 1)
 
-def _average(prices: list[float | None]) -> float | None:
-    known = [p for p in prices if p is not None]
-    return sum(known) / len(known) if known else None
+
+def _averages(prices: np.ndarray, back: int) -> np.ndarray:
+    """Average of the known prices from ``back`` rows earlier on; NaN where there is none. What a
+    sum loses by rounding is added at its end, as ``sum`` does it."""
+    total, lost, known = np.zeros((3, len(prices)))
+    with np.errstate(all="ignore"):
+        for k in range(back, -1, -1):
+            price = _before(prices, k)
+            there = ~np.isnan(price)
+            price = np.where(there, price, 0.0)
+            after = total + price
+            larger, smaller = np.where(abs(total) >= abs(price), (total, price), (price, total))
+            lost += (larger - after) + smaller
+            total = after
+            known += there
+        return np.where(np.isfinite(lost), total + lost, total) / known
 
 
 def bar_features(stream: DataFrame, key: str = "symbol", price: str = "close") -> DataFrame:
     """Bars of raw prices with averages, returns and label, each given out when the next bar of its
     symbol arrives and the label is known; the last bar of a symbol waits for it in the state."""
     columns = ["date", *PRICE_COLUMNS]
-    at = columns.index(price)
 
-    def compute(rows: list[tuple], known: int) -> list[tuple]:
-        prices = [r[at] for r in rows]
-        out = []
+    def compute(rows: dict[str, np.ndarray], known: int) -> list[np.ndarray]:
+        prices = rows[price].astype(float)
         # The last remembered row has waited for its successor.
-        for i in range(max(0, known - 1), len(rows) - 1):
-            now, after = prices[i], prices[i + 1]
-            label = int(after > now) if now is not None and after is not None else 0
-            back = [_ratio(now, prices[i - k]) if i >= k else 0.0 for k in (1, 5)]
-            averages = [_average(prices[max(0, i - k) : i + 1]) for k in (4, 9)]
-            out.append((*rows[i], *averages, *back, label))
-        return out
+        some = slice(max(0, known - 1), len(prices) - 1)
+        averages = [_averages(prices, k)[some] for k in (4, 9)]
+        back = [_ratios(prices, k)[some] for k in (1, 5)]
+        label = (prices[1:] > prices[:-1]).astype(np.int32)[some]
+        return [*(rows[c][some] for c in columns), *averages, *back, label]
 
     derived = [T.StructField(c, T.DoubleType()) for c in DERIVED_COLUMNS]
     fields = [*_kind(stream, columns).fields, *derived, T.StructField("target", T.IntegerType())]
-    return _run(stream, key, columns, 1, 10, T.StructType(fields), compute)
+    return _run(stream, key, columns, 1, 10, T.StructType(fields), compute, LastColumns)

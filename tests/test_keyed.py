@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +15,7 @@ from barweave.schema import message_schema, to_internal
 from barweave.sources import messages
 from barweave.sources.bars import ordered_daily
 from barweave.streaming import keyed, scoring, sinks
-from tests.helpers import price_rows, same_rows
+from tests.helpers import START, price_rows, same_rows
 
 DRAIN = sinks.trigger(drain=True)
 SCHEMA = T.StructType([T.StructField("symbol", T.StringType()), *message_schema().fields])
@@ -120,3 +122,21 @@ def test_heavy_symbols_keep_the_other_way(spark):
     wanted = sequences.add_sequences(bars_, 2, ["close"], include_current=True).rows()
     found, _ = in_batches(spark, [rows], lambda s: keyed.sequences(s, 2, ["close"]))
     assert same_rows(found, wanted.select(found.columns))
+
+
+def test_columns_are_worked_out_as_row_by_row():
+    """Sums as ``sum`` gives them, absent and zero prices, remembered rows behind gaps."""
+    rng = np.random.default_rng(1)
+    prices = rng.choice([0.0, np.nan, 1e16, 1.0, -1e16, 3.7], 200)
+    known = [None if v != v else v for v in prices.tolist()]
+    for back in (4, 9):
+        own = [[v for v in known[max(0, i - back) : i + 1] if v is not None] for i in range(200)]
+        expected = [sum(o) / len(o) if o else np.nan for o in own]
+        np.testing.assert_array_equal(keyed._averages(prices, back), expected)
+    for k in (1, 5):
+        pairs = [(known[i], known[i - k] if i >= k else None) for i in range(200)]
+        expected = [a / b - 1 if a is not None and b else 0.0 for a, b in pairs]
+        np.testing.assert_array_equal(keyed._ratios(prices, k), expected)
+    mixed = keyed._behind([None, 2.0], pd.Series([np.nan, 3.0])).tolist()
+    assert [v if v == v else None for v in mixed] == [None, 2.0, None, 3.0]
+    assert keyed._behind([START], pd.Series([None, START])).tolist() == [START, None, START]

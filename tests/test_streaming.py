@@ -177,3 +177,17 @@ def test_console_and_scores_from_any_source(spark):
     row = scoring.bars_from_messages(df).first()
     assert (row.date, row.close, row.value) == ("d", 1.0, '{"Date": "d", "Close": 1}')
     assert row.ingest_time is not None
+
+
+def test_local_progress_is_renamed_without_processes(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.txt").write_text("one\ntwo\n")
+    key, seen = "spark.sql.streaming.checkpointFileManagerClass", []
+
+    def write(batch, batch_id):
+        seen.append((batch.count(), batch.sparkSession.conf.get(key, None)))
+
+    stream = spark.readStream.text(str(tmp_path / "in"))
+    sinks.drained(sinks.each_batch(stream, write, str(tmp_path / "c"), **sinks.trigger(drain=True)))
+    assert seen[0][0] == 2 and seen[0][1].endswith(".FileSystemBasedCheckpointFileManager")
+    assert spark.conf.get(key, None) is None

@@ -1,9 +1,12 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barweave import storage
 from barweave.operators import score, sequences
+from barweave.plans import stream_queries
 from barweave.schema import message_schema, to_internal
 from barweave.sources import messages
 from barweave.sources.bars import ordered_daily
@@ -191,3 +194,16 @@ def test_local_progress_is_renamed_without_processes(spark, tmp_path):
     sinks.drained(sinks.each_batch(stream, write, str(tmp_path / "c"), **sinks.trigger(drain=True)))
     assert seen[0][0] == 2 and seen[0][1].endswith(".FileSystemBasedCheckpointFileManager")
     assert spark.conf.get(key, None) is None
+
+
+def test_windows_in_halves_keep_no_copies(spark):
+    rows = feature_rows(spark, [1.0, 2.0, 3.0, 4.0]).withColumn("symbol", F.lit(7).cast("long"))
+    os.makedirs(storage.run_dir(spark), exist_ok=True)
+    before = set(os.listdir(storage.run_dir(spark)))
+    rows = storage.hand_over(rows, "features")
+    windows = windows_of(storage.new_path(spark, "state"), 2, ["close"])
+    found = stream_queries._windows_in_halves(spark, rows, F.col("close") < 3, windows)
+    steps = [r.sequence for r in found.orderBy("date").collect()]
+    assert steps == [None, [[1.0], [2.0]], [[2.0], [3.0]], [[3.0], [4.0]]]
+    new = set(os.listdir(storage.run_dir(spark))) - before
+    assert {n.split("-")[0] for n in new} == {"progress", "sink", "state", "topic"}

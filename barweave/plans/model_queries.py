@@ -77,7 +77,7 @@ def train_sequence(spark, sf):
     scaled = features.scale(marked, FEATURES, F.coalesce("is_train", F.lit(True)))
     windows = sequences.complete_sequences(sequences.add_sequences(scaled, 5).rows())
     columns = ("symbol", "date", "target", "sequence", "is_train")
-    rows = storage.hand_over(windows.select(*columns), "windows")
+    rows = storage.hand_over(windows.select(*columns), "windows", "zstd")
     vectors = models.sequence_vectors(rows).select("symbol", "date", "target", "features", "is_train")
     training = split.train_rows(vectors).withColumn("target", F.col("target").cast("double"))
     net = {"lstm": models.sequence_net()}

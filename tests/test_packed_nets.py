@@ -79,3 +79,15 @@ def test_rows_without_values_are_refused(spark, monkeypatch):
         table = spark.createDataFrame([(Vectors.dense(v), label)] * 3, ["features", "target"])
         with pytest.raises(Exception, match="NaN|labels"):
             models.fit_all(table, {"lstm": models.sequence_net()}, stages=list)
+
+
+def test_few_files_are_dealt_out(spark):
+    x, y = windows(50_000)
+    rows = [(Vectors.dense(v), float(t)) for v, t in zip(x[:, :9], y, strict=True)]
+    table = spark.createDataFrame(rows, ["features", "target"]).coalesce(1)
+    blocks = packed_nets.pack(table, "features", "target", 2)
+    sizes = [n for n in blocks.map(lambda b: b[0]).glom().map(sum).collect() if n]
+    assert sum(sizes) == 50_000 and len(sizes) == spark.sparkContext.defaultParallelism
+    again = np.concatenate([packed_nets.unpacked(b)[0] for b in blocks.collect()])
+    assert sorted(map(bytes, again)) == sorted(map(bytes, np.ascontiguousarray(x[:, :9])))
+    blocks.unpersist()

@@ -104,3 +104,26 @@ def test_rows_without_a_vector(spark, table, packed_from):
     assert scored.where("(gbt_raw is null) <> (date % 2 <> 0)").isEmpty()
     known = scored.where("gbt_raw is not null").select(vector_to_array("gbt_raw").alias("r"))
     assert known.where("r[0] <> -r[1]").isEmpty()
+
+
+def test_of_two_siblings_the_smaller_is_counted():
+    rng = np.random.default_rng(1)
+    nodes = rng.integers(0, 9, (4, 3, binned_trees.BINS, 2))
+    parents = nodes.reshape(2, 2, *nodes.shape[1:]).sum(axis=1)
+    for right in ([0, 1], [1, 0], [0, 0], [1, 1]):
+        counted = nodes[np.array([0, 2]) + right]
+        assert (binned_trees._with_siblings(counted, parents, np.array(right)) == nodes).all()
+    whole = np.zeros((2, 1, binned_trees.BINS, 2), np.int64)
+    whole[0, 0, [0, 5], 0] = 3, 4
+    whole[1, 0, [0, 5], 0] = 5, 4
+    kept, right = binned_trees._smaller(whole, [(0, 2, 0.0, 0.0, 0.0)] * 2)
+    assert (kept == whole).all() and right.tolist() == [0, 1]
+    kept, right = binned_trees._smaller(whole, [(None, None, 0.0, None, None)] * 2)
+    assert not len(kept) and not len(right)
+
+
+def test_many_partitions_grow_the_same_trees(table, packed_from, monkeypatch):
+    recipe = models.sampled_boosted_trees(rounds=3, depth=4)
+    one = fit(table, xgb=recipe)
+    monkeypatch.setattr(binned_trees, "_AT_ONCE", 1)
+    assert same_rows(models.predict(table, one), models.predict(table, fit(table, xgb=recipe)))
